@@ -26,7 +26,7 @@ from siltstone.functions.columns import (
     name_parts,
     piece,
 )
-from siltstone.operators.keys import RANK
+from siltstone.operators.keys import RANK, ranked
 from siltstone.operators.rows import (
     CHANGE,
     classify_changes,
@@ -317,13 +317,11 @@ def next_watermarks(spark: SparkSession, sf: str) -> DataFrame:
 SELECT o_custkey, c_mktsegment, row_number() OVER (ORDER BY o_custkey) AS member_rank
 FROM (SELECT DISTINCT o_custkey FROM orders) JOIN customer ON o_custkey = c_custkey""")
 def dense_keys(spark: SparkSession, sf: str) -> DataFrame:
-    from siltstone.operators.keys import ranked
-
     buyers = members(table(spark, sf, "orders"), ["o_custkey"])
     customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     joined = buyers.join(customers, F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey")
     path = new_folder(spark, "ranks")
-    with ranked(joined, ["o_custkey"]) as rows:
+    with ranked(joined, ["o_custkey"]) as (rows, _):
         write_parquet(rows.withColumnRenamed(RANK, "member_rank"), path)
     return spark.read.parquet(path)
 

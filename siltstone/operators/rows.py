@@ -145,11 +145,12 @@ def classify_changes(
 
     The target's attributes come along as ``<name>_Sink`` and its ``carry``
     columns under their own names, NULL for new rows. The target is reduced to
-    the keys at hand first, so a small source never shuffles a big target.
+    the keys at hand first, so a small source never shuffles a big target. The
+    source is expected to hold each key about once, as members do.
     """
     wanted, names = with_null_safe_keys(source.select(*keys), keys)
     held, _ = with_null_safe_keys(target.select(*keys, *attrs, *carry), keys)
-    found = held.join(wanted.select(*names).distinct(), names, "left_semi").select(
+    found = held.join(wanted.select(*names), names, "left_semi").select(
         *names,
         *(F.col(a).alias(f"{a}_Sink") for a in attrs),
         *carry,
