@@ -75,23 +75,26 @@ def with_null_safe_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame,
     share one shuffle.
     """
     added: dict[str, Column] = {}
+    schema = df.schema
     for i, key in enumerate(keys):
-        added[f"__key{i}"] = F.coalesce(F.col(key), _filler(df.schema[key].dataType))
+        added[f"__key{i}"] = F.coalesce(F.col(key), _filler(schema[key].dataType))
         added[f"__nul{i}"] = F.col(key).isNull()
     return df.withColumns(added), list(added)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` in its order and types; a column ``df`` lacks becomes NULL."""
-    unknown = [c for c in df.columns if c not in schema.names]
+    given = {f.name: f.dataType for f in df.schema.fields}
+    unknown = [c for c in given if c not in schema.names]
     if unknown:
         raise ValueError(f"columns not in the target schema: {unknown}")
-    return df.select(
-        *(
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        )
-    )
+
+    def column(f: T.StructField) -> Column:
+        if given.get(f.name) == f.dataType:
+            return F.col(f.name)
+        return (F.col(f.name) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name)
+
+    return df.select(*(column(f) for f in schema.fields))
 
 
 def require_values(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -33,14 +33,14 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session may fall back to a temporary folder: on a cluster a
     machine-local folder is lost with the machine and unseen by the others.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="siltstone-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="siltstone-"))
+    return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

@@ -73,8 +73,14 @@ class Warehouse:
                 return found
         return _no_table()
 
+    def _existing(self, name: str, version: int | None = None) -> dict:
+        rec = self.record(name, version)
+        if rec["dropped"]:
+            raise ValueError(f"table {name} does not exist")
+        return rec
+
     def exists(self, name: str) -> bool:
-        return not self.record(name).get("dropped", False)
+        return not self.record(name)["dropped"]
 
     def version(self, name: str) -> int:
         return self.record(name)["version"]
@@ -89,10 +95,7 @@ class Warehouse:
     # -- reading ----------------------------------------------------------
 
     def schema(self, name: str, version: int | None = None) -> T.StructType:
-        rec = self.record(name, version)
-        if rec.get("dropped", False):
-            raise ValueError(f"table {name} does not exist")
-        return T.StructType.fromJson(rec["schema"])
+        return T.StructType.fromJson(self._existing(name, version)["schema"])
 
     def read(
         self,
@@ -106,9 +109,7 @@ class Warehouse:
         ``internal`` keeps the columns starting with ``__`` that only lay out the
         files, and adds the folder of each row.
         """
-        rec = self.record(name, version)
-        if rec.get("dropped", False):
-            raise ValueError(f"table {name} does not exist")
+        rec = self._existing(name, version)
         schema = T.StructType.fromJson(rec["schema"])
         columns = [c for c in schema.names if internal or not c.startswith("__")]
         wanted = rec["folders"] if folders is None else sorted(folders)
@@ -167,7 +168,10 @@ class Warehouse:
         return fs.listStatus(folder)
 
     def _commit(self, name: str, rec: dict) -> int:
-        number = max(self._versions(name), default=0) + 1
+        versions = self._versions(name)
+        if versions and rec["version"] < versions[-1] and self._load_record(name, versions[-1]):
+            raise RuntimeError(f"table {name} got version {versions[-1]} while this load was running")
+        number = max(versions, default=0) + 1
         rec["version"] = number
         fs, file = hadoop_path(self.spark, f"{self.path(name)}/_commits/{number:08d}.json")
         out = fs.create(file, False)  # fails when another writer was first
@@ -230,7 +234,7 @@ class Warehouse:
         only with ``merge_schema``, which adds them.
         """
         rec = self.record(name)
-        if rec.get("dropped", False):
+        if rec["dropped"]:
             self._check_partitioning(df.schema, partition_by)
             if batch_id is not None:
                 rec["batches"] = {batch_id: dict(note or {})}
@@ -261,7 +265,7 @@ class Warehouse:
         if self.batch(name, batch_id) is not None:
             return self.version(name)
         rec = self.record(name)
-        if rec.get("dropped", False):
+        if rec["dropped"]:
             return self.publish(df, name, partition_by, properties, batch_id=batch_id, note=note)
         schema = self._widened(rec, df, merge_schema)
         return self.replace(name, df, (), batch_id, note, properties, schema)
@@ -275,7 +279,7 @@ class Warehouse:
     ) -> int:
         """Empty typed table; NOT NULL columns are checked by every later write."""
         rec = self.record(name)
-        if not rec.get("dropped", False):
+        if not rec["dropped"]:
             return rec["version"]
         self._check_partitioning(schema, partition_by)
         rec.update(
@@ -301,7 +305,7 @@ class Warehouse:
 
     def drop(self, name: str) -> int:
         """Commit the end of the table; older versions stay readable by number."""
-        return self._commit(name, _no_table())
+        return self._commit(name, {**_no_table(), "version": self.version(name)})
 
     def delete_where(self, name: str, predicate: Column) -> int:
         """Delete matching rows, rewriting only the folders that hold one."""

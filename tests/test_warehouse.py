@@ -1,0 +1,179 @@
+from __future__ import annotations
+
+import pytest
+from conftest import rows
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from siltstone import Warehouse
+from siltstone.session import hadoop_path, shared_folder
+
+
+def test_publish_read_and_older_versions(wh, frame):
+    one = wh.publish(frame([(1, "a")], "k int, v string"), "silver.t")
+    two = wh.publish(frame([(2, "b")], "k int, v string"), "silver.t")
+    assert rows(wh.read("silver.t")) == [(2, "b")]
+    assert rows(wh.read("silver.t", one)) == [(1, "a")]
+    assert (one, two, wh.version("silver.t")) == (1, 2, 2)
+    with pytest.raises(ValueError, match="no version 9"):
+        wh.read("silver.t", 9)
+
+
+def test_existence_drop_and_reuse_of_a_name(wh, frame):
+    assert not wh.exists("t")
+    with pytest.raises(ValueError, match="does not exist"):
+        wh.read("t")
+    wh.publish(frame([(1,)], "k int"), "t", batch_id="b")
+    assert wh.exists("t")
+    wh.drop("t")
+    assert not wh.exists("t")
+    assert rows(wh.read("t", 1)) == [(1,)]
+    wh.append(frame([(2,)], "k int"), "t", batch_id="b")
+    assert rows(wh.read("t")) == [(2,)]
+
+
+def test_append_adds_a_folder_and_rewrites_nothing(wh, frame):
+    wh.publish(frame([(1,)], "k int"), "t")
+    before = wh.record("t")["folders"]
+    wh.append(frame([(2,)], "k int"), "t")
+    assert wh.record("t")["folders"][:1] == before
+    assert rows(wh.read("t")) == [(1,), (2,)]
+
+
+def test_append_of_a_committed_batch_is_skipped(wh, frame):
+    for _ in range(3):
+        wh.append(frame([(1,)], "k int"), "t", batch_id="one")
+    assert rows(wh.read("t")) == [(1,)]
+    assert wh.version("t") == 1
+
+
+def test_failed_write_leaves_the_current_version(wh, frame):
+    wh.publish(frame([(1,)], "k int"), "t")
+    bad = frame([(0,)], "k int").select((F.lit(1) / F.col("k")).cast("int").alias("k"))
+    with pytest.raises(PySparkException):
+        wh.publish(bad, "t")
+    assert rows(wh.read("t")) == [(1,)]
+
+
+def test_a_frame_of_an_old_version_survives_the_next_publish(wh, frame):
+    wh.publish(frame([(1,), (2,)], "k int"), "t")
+    lazy = wh.read("t").filter("k > 1")
+    wh.publish(lazy.select((F.col("k") * 10).alias("k")), "t")
+    assert rows(lazy) == [(2,)]
+    assert rows(wh.read("t")) == [(20,)]
+
+
+def test_a_record_cut_short_is_no_version(wh, spark, frame):
+    wh.publish(frame([(1,)], "k int"), "t")
+    fs, file = hadoop_path(spark, f"{wh.path('t')}/_commits/00000002.json")
+    fs.create(file, False).close()
+    assert wh.version("t") == 1
+    assert wh.append(frame([(2,)], "k int"), "t") == 3
+    assert rows(wh.read("t")) == [(1,), (2,)]
+
+
+def test_a_second_writer_fails(wh, spark, frame):
+    wh.publish(frame([(1,)], "k int"), "t")
+    stale = wh.record("t")
+    wh.append(frame([(2,)], "k int"), "t")
+    with pytest.raises(RuntimeError, match="while this load was running"):
+        wh._commit("t", stale)
+
+
+def test_not_null_columns_are_enforced(wh, frame):
+    schema = T.StructType([T.StructField("k", T.IntegerType(), False), T.StructField("v", T.StringType())])
+    wh.create_if_absent("t", schema)
+    assert wh.create_if_absent("t", schema) == 1
+    assert wh.read("t").dtypes == [("k", "int"), ("v", "string")]
+    wh.append(frame([(1, None)], "k int, v string"), "t")
+    with pytest.raises(PySparkException, match="NULL in NOT NULL column k"):
+        wh.append(frame([(None, "x")], "k int, v string"), "t")
+    assert rows(wh.read("t")) == [(1, None)]
+
+
+def test_types_are_kept_and_columns_added_only_on_request(wh, frame):
+    wh.publish(frame([(1,)], "k bigint"), "t")
+    wh.append(frame([(2,)], "k int"), "t")
+    assert wh.read("t").dtypes == [("k", "bigint")]
+    with pytest.raises(ValueError, match="extra"):
+        wh.append(frame([(3, "x")], "k int, extra string"), "t")
+    wh.append(frame([(3, "x")], "k int, extra string"), "t", merge_schema=True)
+    assert rows(wh.read("t")) == [(1, None), (2, None), (3, "x")]
+    assert wh.read("t", 1).columns == ["k"]
+
+
+def test_properties_clone_and_namespace(wh, frame):
+    wh.create_namespace("etl")
+    wh.publish(frame([(1, 5)], "k int, p int"), "etl.a", ["p"], {"quality": "gold", "comment": "x"})
+    wh.set_properties("etl.a", {"comment": "y"})
+    wh.clone("etl.a", "etl.b")
+    wh.append(frame([(2, 6)], "k int, p int"), "etl.a")
+    wh.clone("etl.a", "etl.b")
+    assert rows(wh.read("etl.b")) == [(1, 5)]
+    assert wh.properties("etl.b") == {"quality": "gold", "comment": "y"}
+    assert wh.record("etl.b")["partition_by"] == ["p"]
+
+
+def test_delete_and_update_touch_only_folders_with_a_match(wh, frame):
+    wh.publish(frame([(1, "a b/c%"), (2, "+x"), (None, "+x")], "k int, p string"), "t", ["p"])
+    before = set(wh.record("t")["folders"])
+    wh.delete_where("t", F.col("k") == 2)
+    after = set(wh.record("t")["folders"])
+    assert rows(wh.read("t")) == [(1, "a b/c%"), (None, "+x")]
+    assert len(before & after) == 1 and len(after) == 2
+    wh.update_where("t", F.col("k") == 1, {"k": F.col("k") + 10})
+    assert rows(wh.read("t")) == [(11, "a b/c%"), (None, "+x")]
+    version = wh.version("t")
+    wh.delete_where("t", F.col("k") == 99)
+    assert wh.version("t") == version
+
+
+def test_rows_where_the_predicate_is_null_are_kept(wh, frame):
+    wh.publish(frame([(1,), (None,)], "k int"), "t")
+    wh.delete_where("t", F.col("k") > 0)
+    assert rows(wh.read("t")) == [(None,)]
+
+
+def test_empty_tables(wh, frame):
+    wh.publish(frame([], "k int, p int"), "t", ["p"])
+    assert rows(wh.read("t")) == []
+    wh.append(frame([(1, 2)], "k int, p int"), "t")
+    assert rows(wh.read("t")) == [(1, 2)]
+
+
+def test_partition_pruning_reaches_the_scan(wh, frame):
+    wh.publish(frame([(1, 1), (2, 2)], "k int, p int"), "t", ["p"])
+    plan = wh.read("t").filter("p = 1 AND k = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p" in plan and "EqualTo(k,1)" in plan
+
+
+class _Session:
+    """A session as the cluster would hand it over."""
+
+    def __init__(self, master, conf=None):
+        self.conf = conf or {}
+        self.sparkContext = self
+        self.master = master
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_the_shared_folder_is_the_one_the_session_names():
+    session = _Session("yarn", {"spark.checkpoint.dir": "hdfs://nn/shared/"})
+    assert shared_folder(session) == "hdfs://nn/shared"
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("yarn"))
+
+
+def test_a_local_session_keeps_one_folder(spark):
+    assert shared_folder(spark) == shared_folder(spark)
+
+
+def test_root_with_trailing_slash(spark, wh, frame):
+    wh.publish(frame([(1,)], "k int"), "t")
+    assert rows(Warehouse(spark, wh.root + "/").read("t")) == [(1,)]
