@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import ExitStack
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.columns import conform, with_null_safe_keys
-from siltstone.operators.rows import seen_keys, union_all, without_keys
+from siltstone.operators.rows import members, seen_keys, union_all, without_keys
 from siltstone.session import staged
 from siltstone.sources.warehouse import FOLDER, Warehouse
 
@@ -45,72 +46,83 @@ def merge(
     Two source rows hitting one target row are an error.
 
     Only folders with a matched row are rewritten. Matched target rows are found
-    by a keys-only scan; the rewrite joins the touched folders with one row per
-    source key, so both big sides of the plan can be split when a key is hot.
+    by a keys-only scan, and the rewrite joins the touched folders. Both join
+    with one staged row per source key: small ones are broadcast, so the target
+    is not shuffled, and against big ones a hot target key can be split at run
+    time, which needs a plain shuffle on both sides of the join.
     """
     if wh.batch(name, batch_id) is not None:
         return wh.version(name)
-    columns = wh.schema(name).names
-    if any(c.startswith("__") for c in columns):
+    layout = wh.schema(name)
+    if any(c.startswith("__") for c in layout.names):
         raise ValueError(f"{name} has a file layout of its own load; merge would not keep it")
-    updates = _values(update, source, columns)
-    inserts = _values(insert, source, columns)
+    updates = _values(update, source, layout.names)
+    inserts = _values(insert, source, layout.names)
     if tag_column:
         if updates is not None:
             updates[tag_column] = F.lit("Update")
         if inserts is not None:
             inserts[tag_column] = F.lit("Insert")
 
-    with staged(source) as src:
-        target = wh.read(name, internal=True)
-        open_rows = target if target_where is None else target.filter(target_where)
-        with staged(seen_keys(src, open_rows, on, [FOLDER])) as seen:
-            touched = wh.touched_folders(seen) if updates is not None else set()
-            branches = []
-            if touched:
-                branches += _rewritten(wh, name, touched, src, on, updates, target_where)
-            if inserts is not None:
-                fresh = without_keys(src, seen, on)
-                branches.append(fresh.select(*(v.alias(c) for c, v in inserts.items())))
-            layout = wh.schema(name)
-            ready = [conform(branch, layout) for branch in branches]
-            return wh.replace(
-                name,
-                union_all(ready) if ready else None,
-                touched,
-                batch_id,
-                properties=properties,
-                skip_empty=True,
-            )
+    target = wh.read(name, with_folder=True)
+    if target_where is not None:
+        target = target.filter(target_where)
+    with ExitStack() as stack:
+        src = stack.enter_context(staged(source))
+        by_key = stack.enter_context(staged(_one_row_per_key(src, on, updates)))
+        seen = stack.enter_context(staged(seen_keys(by_key, target, on, [FOLDER])))
+        touched = wh.touched_folders(seen) if updates is not None else set()
+        branches = []
+        if touched:
+            branches += _rewritten(wh, name, touched, by_key, on, updates, target_where)
+        if inserts is not None:
+            held = stack.enter_context(staged(members(seen, on)))
+            fresh = without_keys(src, held, on)
+            branches.append(fresh.select(*(v.alias(c) for c, v in inserts.items())))
+        ready = [conform(branch, layout) for branch in branches]
+        return wh.replace(
+            name,
+            union_all(ready) if ready else None,
+            touched,
+            batch_id,
+            properties=properties,
+            skip_empty=True,
+        )
+
+
+def _one_row_per_key(
+    src: DataFrame, on: Sequence[str], updates: Mapping[str, Column] | None
+) -> DataFrame:
+    """Each source key once, with the number of its rows and the values to set."""
+    if updates is None:
+        return members(src, on)
+    values = F.struct(*(v.alias(c) for c, v in updates.items()))
+    return src.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"), F.first(values).alias("__set"))
 
 
 def _rewritten(
     wh: Warehouse,
     name: str,
     touched: set[str],
-    src: DataFrame,
+    by_key: DataFrame,
     on: Sequence[str],
     updates: Mapping[str, Column],
     target_where: Column | None,
 ) -> list[DataFrame]:
     """All rows of the touched folders, matched ones updated."""
-    rows = wh.read(name, folders=touched, internal=True).drop(FOLDER)
+    rows = wh.read(name, folders=touched)
     carried = []
     if target_where is not None:
         carried.append(rows.filter(~F.coalesce(target_where, F.lit(False))))
         rows = rows.filter(target_where)
-    keyed, names = with_null_safe_keys(src, on)
-    new_values = F.struct(*(v.alias(c) for c, v in updates.items()))
-    per_key = keyed.groupBy(*names).agg(
-        F.count(F.lit(1)).alias("__n"), F.first(new_values).alias("__set")
-    )
-    held, _ = with_null_safe_keys(rows, on)
+    held, names = with_null_safe_keys(rows, on)
+    new, _ = with_null_safe_keys(by_key, on)
     # Inside every updated column, so no column pruning can drop the check.
     matched = F.when(
         F.col("__n") > 1,
         F.raise_error(F.lit(f"several source rows match one row of {name}")).cast("boolean"),
     ).otherwise(F.col("__n").isNotNull())
-    joined = held.join(per_key, names, "left").select(
+    joined = held.join(new.select(*names, "__n", "__set"), names, "left").select(
         *(
             F.when(matched, F.col("__set").getField(c)).otherwise(F.col(c)).alias(c) if c in updates else F.col(c)
             for c in rows.columns

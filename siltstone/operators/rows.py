@@ -113,25 +113,28 @@ def seen_keys(source: DataFrame, target: DataFrame, keys: Sequence[str], take: S
     """Key columns (and ``take``) of the target rows whose key the source holds.
 
     The target is scanned for its keys only. A small source is broadcast, so a
-    big target is not shuffled; otherwise a hot target key sits on the left of a
-    semi join, where it can be split at run time, and source keys are reduced
-    to distinct ones in the map tasks.
+    big target is not shuffled; a hot target key sits on the left of a semi
+    join, where run-time skew handling can split it.
     """
     left, names = with_null_safe_keys(target.select(*keys, *take), keys)
     right, _ = with_null_safe_keys(source.select(*keys), keys)
-    return left.join(right.select(*names).distinct(), names, "left_semi").select(*keys, *take)
+    return left.join(right.select(*names), names, "left_semi").select(*keys, *take)
 
 
 def without_keys(source: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key is not among the ``seen`` ones."""
     left, names = with_null_safe_keys(source, keys)
     right, _ = with_null_safe_keys(seen.select(*keys), keys)
-    return left.join(right.select(*names).distinct(), names, "left_anti").drop(*names)
+    return left.join(right.select(*names), names, "left_anti").drop(*names)
 
 
 def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows whose key is absent from the target; a NULL key equals a NULL key."""
-    return without_keys(source, seen_keys(source, target, keys), keys)
+    """Source rows whose key is absent from the target; a NULL key equals a NULL key.
+
+    Repeated keys on the inner side of either join are combined in the map tasks.
+    """
+    seen = seen_keys(members(source, keys), target, keys)
+    return without_keys(source, members(seen, keys), keys)
 
 
 def classify_changes(
@@ -148,9 +151,8 @@ def classify_changes(
     the keys at hand first, so a small source never shuffles a big target. The
     source is expected to hold each key about once, as members do.
     """
-    wanted, names = with_null_safe_keys(source.select(*keys), keys)
-    held, _ = with_null_safe_keys(target.select(*keys, *attrs, *carry), keys)
-    found = held.join(wanted.select(*names), names, "left_semi").select(
+    held, names = with_null_safe_keys(seen_keys(source, target, keys, [*attrs, *carry]), keys)
+    found = held.select(
         *names,
         *(F.col(a).alias(f"{a}_Sink") for a in attrs),
         *carry,

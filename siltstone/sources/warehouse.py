@@ -103,11 +103,12 @@ class Warehouse:
         version: int | None = None,
         folders: Collection[str] | None = None,
         internal: bool = False,
+        with_folder: bool = False,
     ) -> DataFrame:
         """Rows of a version, or of some of its folders.
 
         ``internal`` keeps the columns starting with ``__`` that only lay out the
-        files, and adds the folder of each row.
+        files; ``with_folder`` adds the folder each row lies in.
         """
         rec = self._existing(name, version)
         schema = T.StructType.fromJson(rec["schema"])
@@ -115,21 +116,21 @@ class Warehouse:
         wanted = rec["folders"] if folders is None else sorted(folders)
         if not wanted:
             empty = self.spark.createDataFrame([], schema).select(*columns)
-            return empty.withColumn(FOLDER, F.lit("")) if internal else empty
+            return empty.withColumn(FOLDER, F.lit("")) if with_folder else empty
         base = self.path(name)
         df = (
             self.spark.read.schema(schema)
             .option("basePath", base)
             .parquet(*(f"{base}/{folder}" for folder in wanted))
         )
-        if internal:
-            below_load = F.split_part(F.col("_metadata.file_path"), F.lit("/__load="), F.lit(2))
-            df = df.withColumn(FOLDER, F.substring_index(below_load, "/", 1 + len(rec["partition_by"])))
-            columns.append(FOLDER)
-        return df.select(*columns)
+        if not with_folder:
+            return df.select(*columns)
+        below_load = F.split_part(F.col("_metadata.file_path"), F.lit("/__load="), F.lit(2))
+        folder = F.substring_index(below_load, "/", 1 + len(rec["partition_by"]))
+        return df.select(*columns, folder.alias(FOLDER))
 
     def touched_folders(self, rows: DataFrame) -> set[str]:
-        """Distinct folders of some rows of an ``internal`` read: at most one per folder listed."""
+        """Distinct folders of some rows read ``with_folder``: at most one per folder listed."""
         return {self.folder(r[0]) for r in rows.select(FOLDER).distinct().collect()}
 
     @staticmethod
@@ -300,7 +301,7 @@ class Warehouse:
             return self.version(target)
         rec = self.record(source)
         return self.publish(
-            self.read(source, internal=True).drop(FOLDER), target, rec["partition_by"], rec["properties"]
+            self.read(source, internal=True), target, rec["partition_by"], rec["properties"]
         )
 
     def drop(self, name: str) -> int:
@@ -309,18 +310,18 @@ class Warehouse:
 
     def delete_where(self, name: str, predicate: Column) -> int:
         """Delete matching rows, rewriting only the folders that hold one."""
-        hit = self.touched_folders(self.read(name, internal=True).filter(predicate))
+        hit = self.touched_folders(self.read(name, with_folder=True).filter(predicate))
         if not hit:
             return self.version(name)
-        rows = self.read(name, folders=hit, internal=True).drop(FOLDER)
+        rows = self.read(name, folders=hit, internal=True)
         return self.replace(name, rows.filter(~F.coalesce(predicate, F.lit(False))), hit)
 
     def update_where(self, name: str, predicate: Column, values: Mapping[str, Column]) -> int:
         """Set columns of matching rows, rewriting only the folders that hold one."""
-        hit = self.touched_folders(self.read(name, internal=True).filter(predicate))
+        hit = self.touched_folders(self.read(name, with_folder=True).filter(predicate))
         if not hit:
             return self.version(name)
-        rows = self.read(name, folders=hit, internal=True).drop(FOLDER)
+        rows = self.read(name, folders=hit, internal=True)
         return self.replace(
             name,
             rows.select(
