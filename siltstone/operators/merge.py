@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.columns import conform, with_null_safe_keys
 from siltstone.operators.rows import members, seen_keys, union_all, without_keys
-from siltstone.session import staged
+from siltstone.session import fits_broadcast, staged, staged_with_size
 from siltstone.sources.warehouse import FOLDER, Warehouse
 
 Values = Mapping[str, Column] | str | None
@@ -46,10 +46,11 @@ def merge(
     Two source rows hitting one target row are an error.
 
     Only folders with a matched row are rewritten. Matched target rows are found
-    by a keys-only scan, and the rewrite joins the touched folders. Both join
-    with one staged row per source key: small ones are broadcast, so the target
-    is not shuffled, and against big ones a hot target key can be split at run
-    time, which needs a plain shuffle on both sides of the join.
+    by a keys-only scan, and the rewrite joins the touched folders, both with
+    one row per source key. A source whose staged size is below the broadcast
+    threshold is broadcast, so the target is not shuffled. A bigger one is
+    staged by key as well: run-time skew handling can split a hot key only
+    between two plain shuffles, not next to an aggregation.
     """
     if wh.batch(name, batch_id) is not None:
         return wh.version(name)
@@ -68,16 +69,21 @@ def merge(
     if target_where is not None:
         target = target.filter(target_where)
     with ExitStack() as stack:
-        src = stack.enter_context(staged(source))
-        by_key = stack.enter_context(staged(_one_row_per_key(src, on, updates)))
-        seen = stack.enter_context(staged(seen_keys(by_key, target, on, [FOLDER])))
+        src, size = stack.enter_context(staged_with_size(source))
+        small = fits_broadcast(wh.spark, size)
+
+        def held(df: DataFrame) -> DataFrame:
+            return F.broadcast(df) if small else stack.enter_context(staged(df))
+
+        by_key = held(_one_row_per_key(src, on, updates))
+        found = seen_keys(by_key, target, on, [FOLDER])
+        seen = stack.enter_context(staged(found.distinct() if small else found))
         touched = wh.touched_folders(seen) if updates is not None else set()
         branches = []
         if touched:
             branches += _rewritten(wh, name, touched, by_key, on, updates, target_where)
         if inserts is not None:
-            held = stack.enter_context(staged(members(seen, on)))
-            fresh = without_keys(src, held, on)
+            fresh = without_keys(src, held(members(seen, on)), on)
             branches.append(fresh.select(*(v.alias(c) for c, v in inserts.items())))
         ready = [conform(branch, layout) for branch in branches]
         return wh.replace(

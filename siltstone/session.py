@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,8 +55,8 @@ def hadoop_path(spark: SparkSession, path: str):
 
 
 @contextmanager
-def staged(df: DataFrame):
-    """Write ``df`` once to the shared folder and hand back the written rows.
+def staged_with_size(df: DataFrame) -> Iterator[tuple[DataFrame, int]]:
+    """Write ``df`` once to the shared folder; hand back the written rows and their file size.
 
     Used where a frame feeds several branches that must see the same rows, and
     where the exact file size should guide the join choice. The files outlive a
@@ -65,8 +66,19 @@ def staged(df: DataFrame):
     spark = df.sparkSession
     path = new_folder(spark, "stage")
     df.write.parquet(path)
+    fs, folder = hadoop_path(spark, path)
     try:
-        yield spark.read.schema(df.schema).parquet(path)
+        yield spark.read.schema(df.schema).parquet(path), fs.getContentSummary(folder).getLength()
     finally:
-        fs, target = hadoop_path(spark, path)
-        fs.delete(target, True)
+        fs.delete(folder, True)
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    with staged_with_size(df) as (rows, _):
+        yield rows
+
+
+def fits_broadcast(spark: SparkSession, size: int) -> bool:
+    """Whether a staged frame of ``size`` bytes is below the session's broadcast threshold."""
+    return size <= spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()

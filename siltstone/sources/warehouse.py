@@ -33,6 +33,8 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._last: dict[str, int] = {}
+        self._records: dict[tuple[str, int], str] = {}
 
     # -- names and records ------------------------------------------------
 
@@ -43,31 +45,46 @@ class Warehouse:
         fs, target = hadoop_path(self.spark, self.path(name))
         fs.mkdirs(target)
 
-    def _versions(self, name: str) -> list[int]:
-        fs, folder = hadoop_path(self.spark, f"{self.path(name)}/_commits")
-        if not fs.exists(folder):
-            return []
-        files = (status.getPath().getName() for status in fs.listStatus(folder))
-        return sorted(int(f.removesuffix(".json")) for f in files if f.endswith(".json"))
+    def _record_file(self, name: str, version: int):
+        return hadoop_path(self.spark, f"{self.path(name)}/_commits/{version:08d}.json")
+
+    def _newest(self, name: str) -> int:
+        """Highest version number in use: listed once, then followed upwards."""
+        if name not in self._last:
+            fs, folder = hadoop_path(self.spark, f"{self.path(name)}/_commits")
+            files = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+            numbers = (int(f.removesuffix(".json")) for f in files if f.endswith(".json"))
+            self._last[name] = max(numbers, default=0)
+        while True:
+            fs, file = self._record_file(name, self._last[name] + 1)
+            if not fs.exists(file):
+                return self._last[name]
+            self._last[name] += 1
 
     def _load_record(self, name: str, version: int) -> dict | None:
-        fs, file = hadoop_path(self.spark, f"{self.path(name)}/_commits/{version:08d}.json")
-        stream = fs.open(file)
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        # A writer that died between creating and filling its record left no version.
-        return json.loads(text) if text.endswith("}\n") else None
+        """A version's record, None where there is none; a record never changes once written."""
+        if (name, version) not in self._records:
+            fs, file = self._record_file(name, version)
+            if not fs.exists(file):
+                return None
+            stream = fs.open(file)
+            try:
+                text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            if not text.endswith("}\n"):
+                return None  # its writer died between creating and filling it
+            self._records[name, version] = text
+        return json.loads(self._records[name, version])
 
     def record(self, name: str, version: int | None = None) -> dict:
         """The given or the newest version's record; an empty one for an unknown table."""
         if version is not None:
-            found = self._load_record(name, version) if version in self._versions(name) else None
+            found = self._load_record(name, version)
             if found is None:
                 raise ValueError(f"table {name} has no version {version}")
             return found
-        for number in reversed(self._versions(name)):
+        for number in range(self._newest(name), 0, -1):
             found = self._load_record(name, number)
             if found:
                 return found
@@ -169,12 +186,11 @@ class Warehouse:
         return fs.listStatus(folder)
 
     def _commit(self, name: str, rec: dict) -> int:
-        versions = self._versions(name)
-        if versions and rec["version"] < versions[-1] and self._load_record(name, versions[-1]):
-            raise RuntimeError(f"table {name} got version {versions[-1]} while this load was running")
-        number = max(versions, default=0) + 1
-        rec["version"] = number
-        fs, file = hadoop_path(self.spark, f"{self.path(name)}/_commits/{number:08d}.json")
+        newest = self._newest(name)
+        if rec["version"] < newest and self._load_record(name, newest):
+            raise RuntimeError(f"table {name} got version {newest} while this load was running")
+        number = rec["version"] = newest + 1
+        fs, file = self._record_file(name, number)
         out = fs.create(file, False)  # fails when another writer was first
         try:
             out.write((json.dumps(rec) + "\n").encode())
