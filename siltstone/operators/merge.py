@@ -7,12 +7,15 @@ from contextlib import ExitStack
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.functions.columns import conform, with_null_safe_keys
 from siltstone.operators.rows import members, seen_keys, union_all, without_keys
 from siltstone.session import fits_broadcast, staged, staged_with_size
 from siltstone.sources.warehouse import FOLDER, Warehouse
 
+MAX_PRUNED_VALUES = 1000
+
 Values = Mapping[str, Column] | str | None
 
 
@@ -46,7 +49,8 @@ def merge(
     Two source rows hitting one target row are an error.
 
     Only folders with a matched row are rewritten. Matched target rows are found
-    by a keys-only scan, and the rewrite joins the touched folders, both with
+    by a keys-only scan, of the source's partitions only where the table is
+    partitioned by key columns, and the rewrite joins the touched folders, both with
     one row per source key. A source whose staged size is below the broadcast
     threshold is broadcast, so the target is not shuffled. A bigger one is
     staged by key as well: run-time skew handling can split a hot key only
@@ -71,6 +75,8 @@ def merge(
     with ExitStack() as stack:
         src, size = stack.enter_context(staged_with_size(source))
         small = fits_broadcast(wh.spark, size)
+        shared = [c for c in wh.record(name)["partition_by"] if c in on]
+        target = target.filter(_within_partitions_of(src, shared, layout))
 
         def held(df: DataFrame) -> DataFrame:
             return F.broadcast(df) if small else stack.enter_context(staged(df))
@@ -96,6 +102,25 @@ def merge(
         )
 
 
+def _within_partitions_of(src: DataFrame, columns: Sequence[str], layout: T.StructType) -> Column:
+    """Predicate that prunes the target to the partitions the source can match.
+
+    Partition values are few by nature; with too many of them nothing is pruned.
+    """
+    if not columns:
+        return F.lit(True)
+    typed = [F.col(c).cast(layout[c].dataType).alias(c) for c in columns]
+    found = src.select(*typed).distinct().limit(MAX_PRUNED_VALUES + 1).collect()
+    if len(found) > MAX_PRUNED_VALUES:
+        return F.lit(True)
+    keep = F.lit(True)
+    for i, c in enumerate(columns):
+        values = {row[i] for row in found}
+        held = F.col(c).isin([v for v in values if v is not None])
+        keep = keep & (held | F.col(c).isNull() if None in values else held)
+    return keep
+
+
 def _one_row_per_key(
     src: DataFrame, on: Sequence[str], updates: Mapping[str, Column] | None
 ) -> DataFrame:

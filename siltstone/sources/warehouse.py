@@ -146,6 +146,12 @@ class Warehouse:
         folder = F.substring_index(below_load, "/", 1 + len(rec["partition_by"]))
         return df.select(*columns, folder.alias(FOLDER))
 
+    def register_view(self, name: str, view: str | None = None, version: int | None = None) -> str:
+        """Session view of a version for SQL; a dotted name becomes one with underscores."""
+        view = view or name.replace(".", "_")
+        self.read(name, version).createOrReplaceTempView(view)
+        return view
+
     def touched_folders(self, rows: DataFrame) -> set[str]:
         """Distinct folders of some rows read ``with_folder``: at most one per folder listed."""
         return {self.folder(r[0]) for r in rows.select(FOLDER).distinct().collect()}
@@ -174,10 +180,10 @@ class Warehouse:
             ]
         return found
 
-    def _without_empty(self, name: str, folders: list[str]) -> list[str]:
+    def _without_empty(self, name: str, folders: list[str], schema: T.StructType) -> list[str]:
         """No folder at all where a write produced no row; stops at the first row found."""
         paths = [f"{self.path(name)}/{folder}" for folder in folders]
-        if not paths or self.spark.read.parquet(*paths).isEmpty():
+        if not paths or self.spark.read.schema(schema).parquet(*paths).isEmpty():
             return []
         return folders
 
@@ -225,7 +231,7 @@ class Warehouse:
             ready = require_values(conform(df, target), target)
             added = self._write(name, ready, rec["partition_by"], rebalance)
             if skip_empty and not dropped_folders:
-                added = self._without_empty(name, added)
+                added = self._without_empty(name, added, target)
         if skip_empty and not (dropped_folders or added or properties or batch_id is not None):
             return rec["version"]
         rec["folders"] = kept + added
@@ -364,5 +370,11 @@ class Warehouse:
         return T.StructType(schema.fields + _relaxed(T.StructType(extra)).fields)
 
 
+def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """Rows of a warehouse table addressed by its path."""
+    root, name = path.rstrip("/").rsplit("/", 1)
+    return Warehouse(spark, root).read(name, version)
+
+
 def _relaxed(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])

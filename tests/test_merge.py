@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from siltstone.operators.merge import insert_absent, merge
+from siltstone.operators.merge import _within_partitions_of, insert_absent, merge
 
 KV = "k int, v string"
 
@@ -135,8 +135,39 @@ def test_source_types_are_brought_to_the_target(wh, frame):
     assert wh.read("t").dtypes == [("k", "bigint"), ("v", "string")]
 
 
-def test_a_hot_key_on_both_sides(wh, spark):
+def test_the_match_reads_only_the_partitions_of_the_source(wh, frame):
+    schema = "k int, p bigint, q string"
+    wh.publish(frame([(1, 1, "a"), (2, 2, "a"), (3, None, "b"), (4, 2, None)], schema), "t", ["p", "q"])
+    source = frame([(2, 2, "a"), (3, None, "b"), (9, 7, "z")], "k int, p int, q string")
+    keep = _within_partitions_of(source, ["p", "q"], wh.schema("t"))
+    pruned = wh.read("t").filter(keep)
+    assert rows(pruned.select("k")) == [(2,), (3,)]
+    assert "PartitionFilters: [(p" in pruned._jdf.queryExecution().executedPlan().toString()
+    merge(wh, "t", source, ["k", "p", "q"], update=None)
+    assert rows(wh.read("t").select("k")) == [(1,), (2,), (3,), (4,), (9,)]
+
+
+def test_too_many_partition_values_prune_nothing(wh, frame, spark, monkeypatch):
+    import siltstone.operators.merge as module
+
+    monkeypatch.setattr(module, "MAX_PRUNED_VALUES", 2)
+    wh.publish(frame([(i, i) for i in range(5)], "k int, p int"), "t", ["p"])
+    merge(wh, "t", frame([(i, i) for i in range(3, 8)], "k int, p int"), ["k", "p"], update=None)
+    assert [r.k for r in wh.read("t").orderBy("k").collect()] == list(range(8))
+
+
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_a_hot_key_on_both_sides(wh, spark, broadcast):
     """A third of the target has one key, a third of the source another one that is new."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        _merge_hot_keys(wh, spark)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def _merge_hot_keys(wh, spark):
     n = 30_000
     hot = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).cast("int")
     wh.publish(spark.range(n).select(hot.alias("k"), F.lit("a").alias("v")), "t")

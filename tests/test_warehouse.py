@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from siltstone import Warehouse
 from siltstone.session import hadoop_path, shared_folder
+from siltstone.sources.warehouse import read_snapshot
 
 
 def test_publish_read_and_older_versions(wh, frame):
@@ -174,6 +175,14 @@ def test_a_local_session_keeps_one_folder(spark):
     assert shared_folder(spark) == shared_folder(spark)
 
 
+def test_a_table_by_path_and_as_a_view(spark, wh, frame):
+    first = wh.publish(frame([(1,)], "k int"), "gold.t")
+    wh.publish(frame([(2,)], "k int"), "gold.t")
+    assert rows(read_snapshot(spark, wh.path("gold.t"))) == [(2,)]
+    assert rows(read_snapshot(spark, wh.path("gold.t"), first)) == [(1,)]
+    assert rows(spark.sql(f"SELECT k + 1 FROM {wh.register_view('gold.t')}")) == [(3,)]
+
+
 def test_root_with_trailing_slash(spark, wh, frame):
     wh.publish(frame([(1,)], "k int"), "t")
     assert rows(Warehouse(spark, wh.root + "/").read("t")) == [(1,)]
