@@ -72,7 +72,7 @@ sales AS (
          CAST(l_quantity AS BIGINT) AS Units_Sold,
          'DT' || strftime(l_shipdate, '%Y%m') AS Date_ID,
          CAST(day(l_shipdate) AS INTEGER) AS "Day", CAST(month(l_shipdate) AS INTEGER) AS "Month",
-         CAST(year(l_shipdate) AS INTEGER) AS "Year", l_orderkey, l_linenumber
+         CAST(year(l_shipdate) AS INTEGER) AS "Year", l_orderkey, l_linenumber, l_partkey, p_type
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation ON s_nationkey = n_nationkey)"""
 
@@ -96,6 +96,8 @@ def sales_feed(spark: SparkSession, sf: str) -> DataFrame:
             F.year("l_shipdate").alias("Year"),
             "l_orderkey",
             "l_linenumber",
+            "l_partkey",
+            "p_type",
         )
     )
 

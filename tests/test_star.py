@@ -1,0 +1,69 @@
+"""Two incremental files all the way from text to the stars."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from conftest import rows
+
+from siltstone.plans.ingest import Feed, create_control, extract_incremental
+from siltstone.plans.orders import order_line_schema
+from siltstone.plans.star import load_orders_star, load_sales_star
+from siltstone.sources.files import read_csv, read_delimited, write_bronze, read_parquet
+
+HEADER = "Branch_ID,Dealer_ID,Model_ID,Revenue,Units_Sold,Date_ID,Day,Month,Year,BranchName,DealerName,Product_Name"
+INTS = {"Revenue": "bigint", "Units_Sold": "bigint", "Day": "int", "Month": "int", "Year": "int"}
+MAPPING = [(c, c, INTS.get(c, "string")) for c in HEADER.split(",")]
+
+
+def test_sales_from_text_to_fact(wh, spark, tmp_path):
+    files = [
+        ["B1,D1,Aa-1,10,2,DT00001,1,1,2020,North,Ann,Alpha", "B2,D2,Bb-1,20,1,DT00001,1,1,2020,South,Bob,Beta"],
+        # a branch and a product renamed, one sale of a new branch
+        ["B1,D1,Aa-1,30,1,DT00002,2,1,2020,North End,Ann,Alpha_Renamed", "B3,D1,Bb-1,5,5,DT00002,2,1,2020,West,Ann,Beta"],
+    ]
+    create_control(wh, "control.marks", {"car_sales": "key"})
+    for n, lines in enumerate(files, 1):
+        (tmp_path / f"{n}.csv").write_text("﻿" + "\n".join([HEADER, *lines]) + "\n", encoding="utf-8")
+        feed = Feed(lambda: read_delimited(spark, str(tmp_path), MAPPING), "Date_ID")
+        extract_incremental(wh, "control.marks", "car_sales", feed)
+        lake = write_bronze(wh.read("landing.car_sales"), str(tmp_path / "lake"), "car_sales")
+        for _ in range(2):
+            load_sales_star(wh, read_parquet(spark, lake), dt.datetime(2020, 1, n), str(n))
+    assert wh.read("bronze.car_sales").count() == 4
+    assert rows(wh.read("gold.branch_dimension")) == [(1, "B1", "North End"), (2, "B2", "South"), (3, "B3", "West")]
+    assert rows(wh.read("gold.product_dimension").drop("Start_Time", "End_Time")) == [
+        (1, "Aa-1", "Alpha"), (2, "Bb-1", "Beta"), (3, "Aa-1", "Alpha_Renamed"),
+    ]
+    fact = wh.read("gold.sales_fact").select("Branch_ID", "Model_SK", "Total_Revenue", "Date_ID", "Process_Type")
+    assert rows(fact) == [
+        ("B1", 1, 20, "DT00001", "Insert"),
+        ("B1", 3, 30, "DT00002", "Insert"),
+        ("B2", 2, 20, "DT00001", "Insert"),
+        ("B3", 2, 25, "DT00002", "Insert"),
+    ]
+
+
+def test_orders_from_text_to_fact(wh, spark, frame, tmp_path):
+    day = dt.date(2024, 5, 1)
+    drops = [
+        [("o1", 1, day, "Ada L", "a", "pen", 1, 10.0, 0.5), ("o1", 2, day, "Ada L", "a", "ink", 2, 20.0, 0.5)],
+        [("o1", 2, day, "Ada L", "a", "ink", 9, 20.0, 0.5), ("o2", 1, day, "", "b", "pad", 3, 900.0, 0.5)],
+    ]
+    for n, drop in enumerate(drops):
+        folder = str(tmp_path / str(n))
+        frame(drop, order_line_schema()).write.option("header", True).csv(folder)
+        lines = read_csv(spark, f"{folder}/*.csv", order_line_schema())
+        for _ in range(2):
+            load_orders_star(wh, lines, dt.datetime(2024, 5, 1 + n), str(n))
+    assert rows(wh.read("silver.sales_silver").select("OrderNumber", "Item", "Qty", "update_status")) == [
+        ("o1", "ink", 9, "updated_record"), ("o1", "pen", 1, ""), ("o2", "pad", 3, ""),
+    ]
+    assert rows(wh.read("gold.customer_dim_gold")) == [
+        ("Ada L", "a", "Ada", "L", 1), ("Unknown", "b", "Unknown", None, 2),
+    ]
+    assert rows(wh.read("gold.date_dim_gold").select("DateKey", "mmmyyyy")) == [(day, "May-2024")]
+    # Insert if absent: a line in the fact keeps the values it came with.
+    assert rows(wh.read("gold.orderfact_gold").select("CustomerID", "OrderNumber", "LineNumber", "Quantity")) == [
+        (1, "o1", 1, 1), (1, "o1", 2, 2), (2, "o2", 1, 3),
+    ]
