@@ -102,7 +102,7 @@ def declared_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderdate > TIMESTAMP '1999-06-30'")
-def delta_scan(spark: SparkSession, sf: str) -> DataFrame:
+def rows_since_mark(spark: SparkSession, sf: str) -> DataFrame:
     fresh = read_since(table(spark, sf, "orders"), "o_orderdate", "1999-06-30")
     return fresh.select("o_orderkey", "o_custkey", "o_totalprice")
 

@@ -143,6 +143,12 @@ def test_empty_tables(wh, frame):
     assert rows(wh.read("t")) == [(1, 2)]
 
 
+def test_text_partition_values_stay_text(wh, frame):
+    values = [(1, "01"), (2, "2024-01-01"), (3, "1e5"), (4, "true")]
+    wh.publish(frame(values, "k int, p string"), "t", ["p"])
+    assert rows(wh.read("t")) == values
+
+
 def test_partition_pruning_reaches_the_scan(wh, frame):
     wh.publish(frame([(1, 1), (2, 2)], "k int, p int"), "t", ["p"])
     plan = wh.read("t").filter("p = 1 AND k = 1")._jdf.queryExecution().executedPlan().toString()
