@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +42,11 @@ def date_parts(day: Column) -> dict[str, Column]:
     }
 
 
+def as_timestamp(value: dt.datetime | Column) -> Column:
+    """A batch time; a datetime without a zone is read in the session's time zone."""
+    return (value if isinstance(value, Column) else F.lit(str(value))).cast("timestamp")
+
+
 def line_total(price: str, units: str) -> Column:
     """Product of two measures; integer overflow raises under ANSI mode."""
     return F.col(price) * F.col(units)

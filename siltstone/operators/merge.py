@@ -52,8 +52,8 @@ def merge(
     by a keys-only scan, of the source's partitions only where the table is
     partitioned by key columns, and the rewrite joins the touched folders, both with
     one row per source key. A source whose staged size is below the broadcast
-    threshold is broadcast, so the target is not shuffled. A bigger one is
-    staged by key as well: run-time skew handling can split a hot key only
+    threshold, and whose rows are few, is broadcast, so the target is not
+    shuffled. A bigger one is staged by key as well: run-time skew handling can split a hot key only
     between two plain shuffles, not next to an aggregation.
     """
     if wh.batch(name, batch_id) is not None:
@@ -74,7 +74,7 @@ def merge(
         target = target.filter(target_where)
     with ExitStack() as stack:
         src, size = stack.enter_context(staged_with_size(source))
-        small = fits_broadcast(wh.spark, size)
+        small = fits_broadcast(src, size)
         shared = [c for c in wh.record(name)["partition_by"] if c in on]
         target = target.filter(_within_partitions_of(src, shared, layout))
 

@@ -79,6 +79,13 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
         yield rows
 
 
-def fits_broadcast(spark: SparkSession, size: int) -> bool:
-    """Whether a staged frame of ``size`` bytes is below the session's broadcast threshold."""
-    return size <= spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def fits_broadcast(stage: DataFrame, size: int) -> bool:
+    """Whether a staged frame of ``size`` bytes is small enough to broadcast.
+
+    Files may compress well, so the row count, read from the file footers, is bounded too.
+    """
+    limit = stage.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size <= limit and stage.count() <= MAX_BROADCAST_ROWS
