@@ -131,10 +131,14 @@ def without_keys(source: DataFrame, seen: DataFrame, keys: Sequence[str]) -> Dat
 def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key is absent from the target; a NULL key equals a NULL key.
 
-    Repeated keys on the inner side of either join are combined in the map tasks.
+    All steps share one partitioning by the key. The target is expected to hold
+    each key about once, as a dimension does; ``merge`` also takes on hot ones.
     """
-    seen = seen_keys(members(source, keys), target, keys)
-    return without_keys(source, members(seen, keys), keys)
+    left, names = with_null_safe_keys(source, keys)
+    held, _ = with_null_safe_keys(target.select(*keys), keys)
+    wanted = members(left, names)
+    seen = members(held.select(*names).join(wanted, names, "left_semi"), names)
+    return left.join(seen, names, "left_anti").drop(*names)
 
 
 def classify_changes(
@@ -151,14 +155,14 @@ def classify_changes(
     the keys at hand first, so a small source never shuffles a big target. The
     source is expected to hold each key about once, as members do.
     """
-    held, names = with_null_safe_keys(seen_keys(source, target, keys, [*attrs, *carry]), keys)
-    found = held.select(
+    tagged, names = with_null_safe_keys(source.select(*keys, *attrs), keys)
+    held, _ = with_null_safe_keys(target.select(*keys, *attrs, *carry), keys)
+    found = held.join(tagged.select(*names), names, "left_semi").select(
         *names,
         *(F.col(a).alias(f"{a}_Sink") for a in attrs),
         *carry,
         F.lit(True).alias("__held"),
     )
-    tagged, _ = with_null_safe_keys(source.select(*keys, *attrs), keys)
     kind = (
         F.when(F.col("__held").isNull(), NEW)
         .when(differs((F.col(a), F.col(f"{a}_Sink")) for a in attrs), UPDATED)

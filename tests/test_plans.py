@@ -81,6 +81,13 @@ def test_no_operator_uses_a_cross_or_nested_loop_join(spark, wh, no_broadcast):
         assert "NestedLoop" not in text and "Cartesian" not in text and "SortMergeJoin" in text
 
 
+def test_each_input_of_a_change_check_is_shuffled_once(spark, wh, no_broadcast):
+    source, target = stored(spark, hot(spark, 1000), wh, "s"), stored(spark, hot(spark, 1000), wh, "t")
+    for df in (new_rows(source, target, ["k"]), classify_changes(source, target, ["k"], ["v"])):
+        # the target, the source, and the source's keys
+        assert plan(df).count("Exchange hashpartitioning") == 3
+
+
 def test_a_hot_fact_key_is_split_in_a_lookup(spark, wh, no_broadcast):
     fact = stored(spark, hot(spark), wh, "fact")
     dim = stored(spark, spark.range(-1, 60_000).select(F.col("id").alias("n"), F.lit("x").alias("w")), wh, "dim")
