@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import table
+from siltstone.llm.license_scan import scan_licenses
 from siltstone.llm.sharding import shards
 from siltstone.llm.token_counts import count_tokens
 from siltstone.llm.token_files import read_token_files, write_token_files
@@ -35,6 +36,12 @@ def op2_patched_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+@query
+def op3_signature_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence findings in all documents."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents, with a cache of its own that starts empty."""
