@@ -87,7 +87,7 @@ def _suppressed(hits: Column) -> Column:
     a hit that stayed, of at least its priority, goes. Only hits that reach past
     the current start are remembered, so a step's work does not grow with the text.
     """
-    ordered = F.array_sort(
+    ordered = F.sort_array(
         F.transform(
             hits,
             lambda h: F.struct(
@@ -189,7 +189,7 @@ def scan_licenses(docs: DataFrame, signatures: Sequence[Rule] | None = None) ->
             F.array_max("starts").cast("long").alias("last_word"),
             F.array_join("base_found", ",").alias("base_labels"),
             F.array_join(
-                F.array_sort(
+                F.sort_array(
                     F.array_union("base_found", F.coalesce("found.kept.labels", no_words))
                 ),
                 ",",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.common import table
 from siltstone.llm.license_scan import scan_licenses
+from siltstone.llm.quality import judge
 from siltstone.llm.sharding import shards
 from siltstone.llm.token_counts import count_tokens
 from siltstone.llm.token_files import read_token_files, write_token_files
@@ -42,6 +43,12 @@ def op3_signature_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_adaptive_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts and verdicts of all documents."""
+    return judge(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents, with a cache of its own that starts empty."""
