@@ -14,6 +14,7 @@ from siltstone.llm.quality import judge
 from siltstone.llm.sharding import shards
 from siltstone.llm.token_counts import count_tokens
 from siltstone.llm.token_files import read_token_files, write_token_files
+from siltstone.llm.toxicity import held_out, score_documents, train
 from siltstone.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,20 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op1_text_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, by a model that never saw the held-out ones."""
+    docs = table(spark, sf_dir, "documents")
+    scored = score_documents(docs, train(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "toxic",
+    )
+
+
 @query
 def op2_patched_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written and read back."""
