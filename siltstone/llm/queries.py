@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from siltstone.llm.common import table
 from siltstone.llm.license_scan import scan_licenses
 from siltstone.llm.quality import judge
+from siltstone.llm.sentencepieces import encode_documents
 from siltstone.llm.sharding import shards
 from siltstone.llm.token_counts import count_tokens
 from siltstone.llm.token_files import read_token_files, write_token_files
@@ -64,6 +65,13 @@ def op4_adaptive_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of all documents, and whether they give the text back."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return encode_documents(table(spark, sf_dir, "documents"), model)
+
+
 @query
 def op7_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents, with a cache of its own that starts empty."""
