@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.common import table
 from siltstone.llm.license_scan import scan_licenses
+from siltstone.llm.near_dups import Plan, near_duplicates
 from siltstone.llm.quality import judge
 from siltstone.llm.sentencepieces import encode_documents
 from siltstone.llm.sharding import shards
@@ -92,3 +93,9 @@ def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op10_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents, over shingles of two words."""
+    return near_duplicates(table(spark, sf_dir, "documents"), Plan(words=2))
