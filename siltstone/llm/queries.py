@@ -12,6 +12,7 @@ from siltstone.llm.common import table
 from siltstone.llm.license_scan import scan_licenses
 from siltstone.llm.near_dups import Plan, near_duplicates
 from siltstone.llm.quality import judge
+from siltstone.llm.repeats import remove_repeats
 from siltstone.llm.sentencepieces import encode_documents
 from siltstone.llm.sharding import shards
 from siltstone.llm.token_counts import count_tokens
@@ -73,6 +74,13 @@ def op5_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), model)
 
 
+@query
+def op6_sampled_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of all documents without 100-byte strings that stand earlier."""
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op7_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents, with a cache of its own that starts empty."""
