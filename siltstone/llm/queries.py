@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import table
+from siltstone.llm.decontamination import with_leaks
 from siltstone.llm.license_scan import scan_licenses
 from siltstone.llm.near_dups import Plan, near_duplicates
 from siltstone.llm.quality import judge
@@ -103,6 +104,13 @@ def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in all documents, one row per document and item."""
+    found = with_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.inline("leaks"))
+
+
 @query
 def op10_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents, over shingles of two words."""

@@ -12,7 +12,10 @@ _SHIFT = np.uint64(29)
 
 def word_hashes(text: str) -> np.ndarray:
     """A hash per word: runs of other bytes than ASCII white space, with A-Z in lower case."""
-    words = text.encode("utf-8", "replace").lower().split()
+    return hashed(text.encode("utf-8", "replace").lower().split())
+
+
+def hashed(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
