@@ -158,11 +158,14 @@ def rules() -> list[Rule]:
     found = []
     for stem, keyword, name, tag, versions in _VERSIONED:
         found.append(Rule(stem, keyword, name, NAMED, 0.8))
-        found.append(Rule(stem, keyword, f"licen[sc]ed under (?:the )?(?:terms of (?:the )?)?{name}", NAMED + 1, 0.9))
+        under = f"licen[sc]ed under (?:the )?(?:terms of (?:the )?)?{name}"
+        found.append(Rule(stem, keyword, under, NAMED + 1, 0.9))
         for version in versions:
             for form, priority, confidence, ending in _FORMS:
                 pattern = form.format(name=name, version=_VERSION, number=_words(version))
                 found.append(Rule(f"{stem}-{version}{ending}", keyword, pattern, priority, confidence))
+            pattern = f"{under}{_VERSION} {_words(version)}"
+            found.append(Rule(f"{stem}-{version}", keyword, pattern, VERSIONED + 1, 0.97))
             tagged = f"spdx licen[sc]e identifier {tag} {version.replace('.', ' ')}"
             for ending, words in (("", ""), ("-only", " only"), ("-or-later", " or later")):
                 found.append(Rule(f"{stem}-{version}{ending}", "spdx", tagged + words, TAG + len(words), 1.0))

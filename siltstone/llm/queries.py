@@ -41,7 +41,7 @@ def op1_text_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_documents(docs, train(docs, table(spark, sf_dir, "labels")))
     return scored.select(
         "doc_id",
-        held_out(F.col("doc_id")).alias("held_out"),
+        F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
         "toxic",

@@ -23,8 +23,10 @@ TABLES = 3
 TABLE_ROWS = 1 << 16
 TABLE_DIMS = 8
 STEM_BYTES = 5
-EPOCHS = 7
 BATCH = 64
+#: Batches that a fit takes, spread over as many whole passes as that gives, within bounds.
+STEPS = 1_050
+PASSES = (7, 30)
 #: Labelled positives that a language needs for a threshold of its own.
 LANGUAGE_POSITIVES = 20
 #: The share of clean documents that a language's threshold may reject.
@@ -129,7 +131,7 @@ def fit(texts: Sequence[str], toxic: Sequence[int], langs: Sequence[str | None],
     seen = {"tables": np.full(model.tables.shape[:2], 1e-3, np.float32)}
     slow = {k: 1e-3 for k in ("bias", "weights", "offset", *range(len(WIDTHS)))}
     rate = 0.15
-    for _ in range(EPOCHS):
+    for _ in range(int(np.clip(STEPS * BATCH // max(1, len(own)), *PASSES))):
         rng.shuffle(own)
         for first in range(0, len(own), BATCH):
             batch = own[first : first + BATCH]

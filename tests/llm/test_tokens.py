@@ -1,0 +1,135 @@
+"""Token files, token counts and SentencePiece ids against the libraries, on given and on odd texts."""
+
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from siltstone.llm import patched_for, queries, token_counts
+from siltstone.llm.byte_bpe import ByteBpe
+from siltstone.llm.sentencepieces import Transducer, encode_documents
+from siltstone.llm.token_files import FILE_SCHEMA, read_token_files, write_token_files
+from siltstone.session import new_folder
+
+from samples import SF
+
+BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+_library = Tokenizer.from_file(BPE)
+_pieces = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+TEXTS = st.text(st.sampled_from("ab the.,'s\n\t 1é中▁ \U0001f600_<|>"), max_size=60)
+
+
+def ids_of(text):
+    return _library.encode(text or "", add_special_tokens=False).ids
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(TEXTS, max_size=4))
+def test_bpe_ids_are_the_librarys(texts):
+    bpe = ByteBpe.at(BPE)
+    found = [np.frombuffer(b, "<u4").tolist() for b in bpe.encode(texts)]
+    assert found == [ids_of(t) for t in texts]
+
+
+def test_bpe_special_strings_and_white_space():
+    odd = ["<|endoftext|>", "a<|endoftext|>b", "a  b", "a \n b", "a\n b", " a", "a ", "\x1ca", "a  b", "it's I'll. x,"]
+    assert [np.frombuffer(b, "<u4").tolist() for b in ByteBpe.at(BPE).encode(odd * 2)] == [ids_of(t) for t in odd * 2]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 2**32 - 1), max_size=700), st.sampled_from([0.5, 0.9, 1.0]))
+def test_segments_round_trip(values, percentile):
+    ids = np.array(values, dtype=np.uint32)
+    segment = patched_for.Segment(patched_for.encode(ids, percentile))
+    assert segment.decode().tolist() == values
+    assert segment.decode(130, 400).tolist() == values[130:400]
+
+
+def test_segments_keep_outliers_apart():
+    ids = np.arange(1280, dtype=np.uint32) % 50 + 7
+    ids[::100] = 50_000
+    raw = patched_for.encode(ids)
+    segment = patched_for.Segment(raw)
+    assert segment.widths.max() <= 6 and len(segment.high) == 13
+    assert len(raw) < 1280 * 2 and segment.decode().tolist() == ids.tolist()
+
+
+def check_files(rows, texts):
+    """``rows``: doc_id, start, n_tokens, ids_crc32, in file order; ``texts`` in the same order."""
+    at = 0
+    for row, text in zip(rows, texts):
+        ids = np.array([*ids_of(text), 0], dtype="<u4")
+        assert (row["start"], row["n_tokens"], row["ids_crc32"]) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+
+
+def test_token_files_of_all_documents(spark, documents):
+    rows = sorted(queries.op2_patched_for(spark, SF).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in rows] == sorted(documents)
+    check_files(rows, [documents[r["doc_id"]] for r in rows])
+
+
+def test_token_files_of_odd_rows(spark, odd, odd_rows, nothing):
+    path = new_folder(spark, "token-files")
+    write_token_files(odd, path, BPE, end_id=0)
+    rows = sorted(read_token_files(spark, path).collect(), key=lambda r: r["start"])
+    placed = sorted(odd_rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
+    assert [r["doc_id"] for r in rows] == [p[0] for p in placed]
+    check_files(rows, [p[1] for p in placed])
+    assert spark.read.parquet(path).columns == [f.split()[0] for f in FILE_SCHEMA.split(", ")]
+    empty = new_folder(spark, "token-files")
+    write_token_files(nothing, empty, BPE, end_id=0)
+    assert read_token_files(spark, empty).count() == 0
+
+
+def test_token_counts(spark, documents, odd, odd_rows, nothing):
+    rows = queries.op7_digest_cache(spark, SF).collect()
+    expected = {i: (len(t.encode()), len(ids_of(t))) for i, t in documents.items()}
+    assert {r["doc_id"]: (r["n_bytes"], r["n_tokens"]) for r in rows} == expected
+    assert all(r["over_limit"] == (r["n_tokens"] > 512) for r in rows)
+    cache = new_folder(spark, "token-counts")
+    found = token_counts.count_tokens(odd, cache, BPE).collect()
+    assert sorted((r["n_bytes"], r["n_tokens"]) for r in found) == sorted(
+        (len((t or "").encode()), len(ids_of(t))) for _, t, _, _ in odd_rows
+    )
+    assert token_counts.count_tokens(nothing, cache, BPE).count() == 0
+
+
+def test_only_misses_are_encoded(spark, odd):
+    cache = new_folder(spark, "token-counts")
+    folder = f"{cache}/tokenizer={token_counts.tokenizer_version(BPE)}"
+    token_counts.count_tokens(odd.filter("doc_id < 100"), cache, BPE).collect()
+    before = spark.read.parquet(folder).collect()
+    token_counts.count_tokens(odd, cache, BPE).collect()
+    after = spark.read.parquet(folder).collect()
+    assert len({bytes(r["digest"]) for r in after}) == len(after) > len(before)
+    token_counts.count_tokens(odd, cache, BPE).collect()
+    assert spark.read.parquet(folder).count() == len(after)
+
+
+@settings(max_examples=400, deadline=None)
+@given(TEXTS)
+def test_pieces_are_the_librarys(text):
+    ids = np.frombuffer(Transducer.at(PIECES).encode(text), "<i4").tolist()
+    assert ids == _pieces.encode(text)
+    assert Transducer.at(PIECES).decode(ids) == text.replace("▁", " ")
+
+
+def test_pieces_of_all_documents(spark, documents):
+    for row in queries.op5_transducer(spark, SF).collect():
+        assert row["ids"] == _pieces.encode(documents[row["doc_id"]])
+        assert row["round_trip"] and row["n_tokens"] == len(row["ids"])
+
+
+def test_pieces_of_odd_rows(odd, odd_rows, nothing):
+    rows = encode_documents(odd, PIECES).collect()
+    assert sorted(r["ids"] for r in rows) == sorted(_pieces.encode(t or "") for _, t, _, _ in odd_rows)
+    assert all(r["round_trip"] for r in rows)
+    assert encode_documents(nothing, PIECES).count() == 0
