@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from siltstone import catalog
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -31,14 +32,14 @@ def _sorted(rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
 
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 5
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_sql(spark, duck, name):
     result = entry_points.queries()[name](spark, SF_DIR)
     expected = duck.sql(entry_points.oracle_sql()[name])
