@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from contextlib import ExitStack
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,11 +12,9 @@ from pyspark.sql import types as T
 
 from siltstone.functions.columns import conform, with_null_safe_keys
 from siltstone.operators.rows import members, seen_keys, union_all, without_keys
-from siltstone.session import fits_broadcast, staged, staged_with_size
+from siltstone.session import broadcast_threshold, staged, staged_with_size
 from siltstone.sources.warehouse import FOLDER, Warehouse
 
-MAX_PRUNED_VALUES = 1000
-
 Values = Mapping[str, Column] | str | None
 
 
@@ -51,10 +50,10 @@ def merge(
     Only folders with a matched row are rewritten. Matched target rows are found
     by a keys-only scan, of the source's partitions only where the table is
     partitioned by key columns, and the rewrite joins the touched folders, both with
-    one row per source key. A source whose staged size is below the broadcast
-    threshold, and whose rows are few, is broadcast, so the target is not
-    shuffled. A bigger one is staged by key as well: run-time skew handling can split a hot key only
-    between two plain shuffles, not next to an aggregation.
+    one row per source key. The join is Spark's choice as long as the source's decoded
+    size is below Spark's own broadcast threshold. A bigger one is staged by key as well and joined by
+    sort and merge: run-time skew handling can split a hot key only between two plain shuffles,
+    not next to an aggregation. A blank text in a partition column is a NULL, as Spark stores it so.
     """
     if wh.batch(name, batch_id) is not None:
         return wh.version(name)
@@ -69,21 +68,22 @@ def merge(
         if inserts is not None:
             inserts[tag_column] = F.lit("Insert")
 
-    target = wh.read(name, with_folder=True)
-    if target_where is not None:
-        target = target.filter(target_where)
+    partition_by = wh.record(name)["partition_by"]
+    source = _blank_as_null(source, partition_by)
     with ExitStack() as stack:
         src, size = stack.enter_context(staged_with_size(source))
-        small = fits_broadcast(src, size)
-        shared = [c for c in wh.record(name)["partition_by"] if c in on]
-        target = target.filter(_within_partitions_of(src, shared, layout))
+        small = size <= broadcast_threshold(wh.spark)
+        folders = _folders_of(wh, name, src, [c for c in partition_by if c in on])
+        target = wh.read(name, folders=folders, with_folder=True)
+        if target_where is not None:
+            target = target.filter(target_where)
 
         def held(df: DataFrame) -> DataFrame:
-            return F.broadcast(df) if small else stack.enter_context(staged(df))
+            return df if small else stack.enter_context(staged(df)).hint("merge")
 
         by_key = held(_one_row_per_key(src, on, updates))
         found = seen_keys(by_key, target, on, [FOLDER])
-        seen = stack.enter_context(staged(found.distinct() if small else found))
+        seen = stack.enter_context(staged(found))
         touched = wh.touched_folders(seen) if updates is not None else set()
         branches = []
         if touched:
@@ -102,23 +102,41 @@ def merge(
         )
 
 
-def _within_partitions_of(src: DataFrame, columns: Sequence[str], layout: T.StructType) -> Column:
-    """Predicate that prunes the target to the partitions the source can match.
+def _blank_as_null(source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Partition columns read a blank text back as NULL, so a source must say NULL too."""
+    blanks = {
+        c: F.nullif(F.col(c), F.lit(""))
+        for c in partition_by
+        if c in source.columns and isinstance(source.schema[c].dataType, T.StringType)
+    }
+    return source.withColumns(blanks) if blanks else source
+
 
-    Partition values are few by nature; with too many of them nothing is pruned.
+def _folders_of(wh: Warehouse, name: str, src: DataFrame, columns: Sequence[str]) -> list[str] | None:
+    """The table's folders whose partition values the source holds; None stands for all.
+
+    The table's own list of folders is joined to the source's distinct values, so the answer
+    is never longer than that list, however many values the source has.
     """
     if not columns:
-        return F.lit(True)
-    typed = [F.col(c).cast(layout[c].dataType).alias(c) for c in columns]
-    found = src.select(*typed).distinct().limit(MAX_PRUNED_VALUES + 1).collect()
-    if len(found) > MAX_PRUNED_VALUES:
-        return F.lit(True)
-    keep = F.lit(True)
-    for i, c in enumerate(columns):
-        values = {row[i] for row in found}
-        held = F.col(c).isin([v for v in values if v is not None])
-        keep = keep & (held | F.col(c).isNull() if None in values else held)
-    return keep
+        return None
+    layout = wh.schema(name)
+    listed = [(f, *(_partition_value(f, c) for c in columns)) for f in wh.record(name)["folders"]]
+    if not listed:
+        return []
+    kinds = ", ".join(["__listed string", *(f"`{c}` string" for c in columns)])
+    folders = wh.spark.createDataFrame(listed, kinds).select(
+        "__listed", *(F.col(f"`{c}`").cast(layout[c].dataType).alias(c) for c in columns)
+    )
+    values = members(src.select(*(F.col(c).cast(layout[c].dataType).alias(c) for c in columns)), columns)
+    return sorted(r[0] for r in seen_keys(values, folders, columns, ["__listed"]).select("__listed").distinct().collect())
+
+
+def _partition_value(folder: str, column: str) -> str | None:
+    """The text after ``column=`` in a folder's path."""
+    found = next(part for part in folder.split("/") if unquote(part).startswith(f"{column}="))
+    value = unquote(found)[len(column) + 1 :]
+    return None if value == "__HIVE_DEFAULT_PARTITION__" else value
 
 
 def _one_row_per_key(

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.sources.files import read_since
 from siltstone.sources.warehouse import Warehouse
@@ -38,13 +39,27 @@ def watermark(wh: Warehouse, control: str, name: str) -> str | None:
     return row[0]
 
 
-def set_watermark(wh: Warehouse, control: str, name: str, value: str) -> int:
-    return wh.update_where(control, F.col("table_name") == name, {"cdc_value": F.lit(value)})
+def set_watermark(wh: Warehouse, control: str, name: str, value: str | None) -> int:
+    """Move the mark. By hand, NULL asks for a full load, an older value for a repetition from there."""
+    moved = {f"runs.{name}": str(_runs(wh, control, name) + 1)}
+    mark = F.lit(value).cast("string")
+    return wh.update_where(control, F.col("table_name") == name, {"cdc_value": mark}, moved)
+
+
+def _runs(wh: Warehouse, control: str, name: str) -> int:
+    """How often the table's mark has been moved."""
+    return int(wh.properties(control).get(f"runs.{name}", 0))
 
 
 def next_watermark(landed: DataFrame, column: str) -> str | None:
-    """Text of the largest landed value, compared in the column's own type."""
-    return landed.agg(F.max(column).cast("string")).first()[0]
+    """Text of the largest landed value, compared in the column's own type.
+
+    Zoned timestamps are noted as microseconds since 1970: their text depends on the session's zone.
+    """
+    most = F.max(column)
+    if isinstance(landed.schema[column].dataType, T.TimestampType):
+        most = F.unix_micros(most)
+    return landed.agg(most.cast("string")).first()[0]
 
 
 def extract_incremental(wh: Warehouse, control: str, name: str, feed: Feed) -> int:
@@ -52,11 +67,12 @@ def extract_incremental(wh: Warehouse, control: str, name: str, feed: Feed) -> i
 
     The mark moves last. A run that died after the bronze commit is finished from
     the mark noted with that commit, so rows that arrived since are neither
-    skipped nor landed twice. Returns the version of the bronze table.
+    skipped nor landed twice. Moving the mark, by a run or by hand, starts a new run; a
+    run from a NULL mark loads everything and replaces bronze. Returns the version of the bronze table.
     """
     bronze = f"bronze.{name}"
     mark = watermark(wh, control, name)
-    batch_id = f"after:{mark}"
+    batch_id = f"run {_runs(wh, control, name)} after:{mark}"
     done = wh.batch(bronze, batch_id)
     if done is None:
         landing = f"landing.{name}"
@@ -65,7 +81,11 @@ def extract_incremental(wh: Warehouse, control: str, name: str, feed: Feed) -> i
         next_mark = next_watermark(landed, feed.column)
         if next_mark is None:
             return wh.version(bronze)
-        wh.append(landed, bronze, batch_id, note={"watermark": next_mark})
+        note = {"watermark": next_mark}
+        if mark is None:
+            wh.publish(landed, bronze, batch_id=batch_id, note=note)
+        else:
+            wh.append(landed, bronze, batch_id, note=note)
     else:
         next_mark = done["watermark"]
     set_watermark(wh, control, name, next_mark)

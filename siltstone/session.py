@@ -7,7 +7,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def local_session(app: str, cores: int | str = "*", **conf: str) -> SparkSession:
@@ -55,37 +57,46 @@ def hadoop_path(spark: SparkSession, path: str):
 
 
 @contextmanager
-def staged_with_size(df: DataFrame) -> Iterator[tuple[DataFrame, int]]:
-    """Write ``df`` once to the shared folder; hand back the written rows and their file size.
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """Write ``df`` once to the shared folder; hand back the written rows.
+
+    Used where a frame feeds several branches that must see the same rows. The
+    files outlive a lost executor and are deleted when the block ends, so nothing
+    that leaves the block may still read them.
+    """
+    with staged_with_size(df, measure=False) as (rows, _):
+        yield rows
+
+
+@contextmanager
+def staged_with_size(df: DataFrame, measure: bool = True) -> Iterator[tuple[DataFrame, int]]:
+    """``staged``, and the decoded size of the rows in bytes, counted while they are written.
 
-    Used where a frame feeds several branches that must see the same rows, and
-    where the exact file size should guide the join choice. The files outlive a
-    lost executor and are deleted when the block ends, so nothing that leaves
-    the block may still read them.
+    Files may compress a hundredfold, so their size says little about the memory the rows take.
     """
     spark = df.sparkSession
     path = new_folder(spark, "stage")
-    df.write.parquet(path)
+    seen = Observation()
+    size = F.coalesce(F.sum(sum((_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(0))), F.lit(0))
+    (df.observe(seen, size.alias("bytes")) if measure else df).write.parquet(path)
     fs, folder = hadoop_path(spark, path)
     try:
-        yield spark.read.schema(df.schema).parquet(path), fs.getContentSummary(folder).getLength()
+        yield spark.read.schema(df.schema).parquet(path), int(seen.get["bytes"]) if measure else 0
     finally:
         fs.delete(folder, True)
 
 
-@contextmanager
-def staged(df: DataFrame) -> Iterator[DataFrame]:
-    with staged_with_size(df) as (rows, _):
-        yield rows
-
+def _width(column: Column, kind: T.DataType) -> Column:
+    """Bytes of a value in memory, roughly: eight, and what a text or a nested value adds."""
+    if isinstance(kind, T.StructType):
+        return sum((_width(column[f.name], f.dataType) for f in kind), F.lit(8))
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 8
+    if isinstance(kind, (T.ArrayType, T.MapType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(column.alias("v")))), F.lit(0)) + 8
+    return F.lit(8)
 
-MAX_BROADCAST_ROWS = 1_000_000
 
-
-def fits_broadcast(stage: DataFrame, size: int) -> bool:
-    """Whether a staged frame of ``size`` bytes is small enough to broadcast.
-
-    Files may compress well, so the row count, read from the file footers, is bounded too.
-    """
-    limit = stage.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return size <= limit and stage.count() <= MAX_BROADCAST_ROWS
+def broadcast_threshold(spark: SparkSession) -> int:
+    """Spark's own limit for a side that it may broadcast, in bytes."""
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()

@@ -20,8 +20,8 @@ def read_path_as_table(spark: SparkSession, path: str, fmt: str = "parquet") ->
 
 
 def read_csv(spark: SparkSession, glob: str, schema: T.StructType) -> DataFrame:
-    """CSV drop zone with a header and a declared schema."""
-    return spark.read.schema(schema).option("header", True).csv(glob)
+    """CSV drop zone with a header and a declared schema; a value that does not fit it fails the read."""
+    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(glob)
 
 
 def read_delimited(
@@ -51,29 +51,33 @@ def read_database(
     spark: SparkSession,
     url: str,
     table: str,
-    split: tuple[str, str, str, int] | None = None,
+    split: tuple[str, str, str, int],
     **options: str,
 ) -> DataFrame:
-    """Database table; ``split`` = (column, lower, upper, readers) reads it in parallel.
+    """Database table, read in parallel by ``split`` = (column, lower, upper, readers).
 
     Filters put on the result, such as a watermark, are pushed into the database.
     """
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options)
-    if split:
-        column, lower, upper, readers = split
-        reader = (
-            reader.option("partitionColumn", column)
-            .option("lowerBound", lower)
-            .option("upperBound", upper)
-            .option("numPartitions", readers)
-        )
-    return reader.load()
+    column, lower, upper, readers = split
+    return (
+        reader.option("partitionColumn", column)
+        .option("lowerBound", lower)
+        .option("upperBound", upper)
+        .option("numPartitions", readers)
+        .load()
+    )
 
 
 def read_since(df: DataFrame, column: str, watermark: object | None) -> DataFrame:
-    """Rows strictly above the watermark, which is typed by the column; all rows when it is NULL."""
+    """Rows strictly above the watermark, which is typed by the column; all rows when it is NULL.
+
+    A mark of a zoned timestamp is a number of microseconds since 1970, which no session zone changes.
+    """
     if watermark is None:
         return df
+    if isinstance(df.schema[column].dataType, T.TimestampType) and str(watermark).lstrip("-").isdigit():
+        return df.filter(F.col(column) > F.timestamp_micros(F.lit(int(str(watermark)))))
     return df.filter(F.col(column) > F.lit(watermark).cast(df.schema[column].dataType))
 
 

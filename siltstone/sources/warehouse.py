@@ -338,8 +338,14 @@ class Warehouse:
         rows = self.read(name, folders=hit, internal=True)
         return self.replace(name, rows.filter(~F.coalesce(predicate, F.lit(False))), hit)
 
-    def update_where(self, name: str, predicate: Column, values: Mapping[str, Column]) -> int:
-        """Set columns of matching rows, rewriting only the folders that hold one."""
+    def update_where(
+        self,
+        name: str,
+        predicate: Column,
+        values: Mapping[str, Column],
+        properties: Mapping[str, str] | None = None,
+    ) -> int:
+        """Set columns of matching rows, rewriting only the folders that hold one; properties go along."""
         hit = self.touched_folders(self.read(name, with_folder=True).filter(predicate))
         if not hit:
             return self.version(name)
@@ -353,6 +359,7 @@ class Warehouse:
                 )
             ),
             hit,
+            properties=properties,
         )
 
     @staticmethod

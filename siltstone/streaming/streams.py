@@ -40,7 +40,7 @@ def _stream(
 ) -> DataFrame:
     reader = spark.readStream.format(fmt).schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("mode", "FAILFAST")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(folder)
@@ -49,7 +49,7 @@ def _stream(
 def stream_csv(
     spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None
 ) -> DataFrame:
-    """CSV files with a header, each taken up once; the schema is fixed."""
+    """CSV files with a header, each taken up once; a value that does not fit the fixed schema fails the stream."""
     return _stream(spark, folder, schema, "csv", files_per_batch)
 
 

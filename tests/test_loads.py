@@ -319,14 +319,68 @@ def test_a_run_that_died_before_moving_the_mark_is_finished(wh, frame, monkeypat
 
 def test_a_run_that_died_before_bronze_starts_over(wh, frame, monkeypatch):
     create_control(wh, "c", {"t": "key"})
-    append = type(wh).append
+    publish = type(wh).publish
 
-    def die(*_, **__):
-        raise RuntimeError("lost")
+    def die(wh, df, name, *args, **options):
+        if name.startswith("bronze."):
+            raise RuntimeError("lost")
+        return publish(wh, df, name, *args, **options)
 
-    monkeypatch.setattr(type(wh), "append", die)
+    monkeypatch.setattr(type(wh), "publish", die)
     with pytest.raises(RuntimeError):
         extract_incremental(wh, "c", "t", _feed(frame, [1]))
-    monkeypatch.setattr(type(wh), "append", append)
+    monkeypatch.setattr(type(wh), "publish", publish)
     extract_incremental(wh, "c", "t", _feed(frame, [1, 2]))
     assert rows(wh.read("bronze.t")) == [(1,), (2,)]
+
+
+def _marked_feed(wh, frame, schema, rows):
+    create_control(wh, "control", {"t": "ts"})
+    state = {"rows": rows}
+    return state, Feed(lambda: frame(state["rows"], schema), schema.split(",")[-1].split()[0])
+
+
+def test_a_reset_mark_loads_everything_again(wh, frame):
+    state, feed = _marked_feed(wh, frame, "id int", [(1,), (2,)])
+    extract_incremental(wh, "control", "t", feed)
+    for _ in range(2):
+        state["rows"] = [(1,), (2,), (3,), (4,)]
+        set_watermark(wh, "control", "t", None)
+        extract_incremental(wh, "control", "t", feed)
+        assert sorted(r[0] for r in wh.read("bronze.t").collect()) == [1, 2, 3, 4]
+    assert watermark(wh, "control", "t") == "4"
+
+
+def test_a_mark_set_back_repeats_from_there(wh, frame):
+    state, feed = _marked_feed(wh, frame, "id int", [(1,), (2,)])
+    extract_incremental(wh, "control", "t", feed)
+    state["rows"] = [(1,), (2,), (3,)]
+    extract_incremental(wh, "control", "t", feed)
+    set_watermark(wh, "control", "t", "2")
+    extract_incremental(wh, "control", "t", feed)
+    assert sorted(r[0] for r in wh.read("bronze.t").collect()) == [1, 2, 3, 3]
+
+
+def test_zoned_marks_do_not_depend_on_the_session(spark, wh, frame):
+    """A run in another zone, and the hour that a zone repeats in autumn."""
+    at = lambda text: dt.datetime.fromisoformat(text)
+    rows = [(at("2024-11-03T05:30:00+00:00"),), (at("2024-11-03T06:30:00+00:00"),)]
+    state, feed = _marked_feed(wh, frame, "ts timestamp", rows)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for _ in range(2):
+            spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+            extract_incremental(wh, "control", "t", feed)
+            assert wh.read("bronze.t").count() == 2
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        state["rows"] = [*rows, (at("2024-11-03T07:30:00+00:00"),)]
+        extract_incremental(wh, "control", "t", feed)
+        assert wh.read("bronze.t").count() == 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_csv_with_a_value_that_does_not_fit_fails(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id\n3000000000\n")
+    with pytest.raises(Exception, match="3000000000|MALFORMED|FAILFAST"):
+        read_csv(spark, str(tmp_path), "id int").collect()

@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from siltstone.operators.merge import _within_partitions_of, insert_absent, merge
+from siltstone.operators.merge import _folders_of, insert_absent, merge
 
 KV = "k int, v string"
 
@@ -139,21 +139,39 @@ def test_the_match_reads_only_the_partitions_of_the_source(wh, frame):
     schema = "k int, p bigint, q string"
     wh.publish(frame([(1, 1, "a"), (2, 2, "a"), (3, None, "b"), (4, 2, None)], schema), "t", ["p", "q"])
     source = frame([(2, 2, "a"), (3, None, "b"), (9, 7, "z")], "k int, p int, q string")
-    keep = _within_partitions_of(source, ["p", "q"], wh.schema("t"))
-    pruned = wh.read("t").filter(keep)
-    assert rows(pruned.select("k")) == [(2,), (3,)]
-    assert "PartitionFilters: [(p" in pruned._jdf.queryExecution().executedPlan().toString()
+    hit = _folders_of(wh, "t", source, ["p", "q"])
+    assert len(hit) == 2 < len(wh.record("t")["folders"])
+    assert rows(wh.read("t", folders=hit).select("k")) == [(2,), (3,)]
     merge(wh, "t", source, ["k", "p", "q"], update=None)
     assert rows(wh.read("t").select("k")) == [(1,), (2,), (3,), (4,), (9,)]
 
 
-def test_too_many_partition_values_prune_nothing(wh, frame, spark, monkeypatch):
-    import siltstone.operators.merge as module
+def test_many_partition_values_still_prune(wh, spark):
+    """Far more values than the table has partitions: only folders that both hold are read."""
+    wh.publish(spark.range(6).selectExpr("id AS k", "CAST(id AS STRING) AS p"), "t", ["p"])
+    source = spark.range(4, 5004).selectExpr("id AS k", "CAST(id AS STRING) AS p")
+    hit = _folders_of(wh, "t", source, ["p"])
+    assert rows(wh.read("t", folders=hit).select("k")) == [(4,), (5,)]
+    wh.publish(spark.range(3).selectExpr("id AS k", "concat('a/b=', id, ' %') AS p"), "odd", ["p"])
+    assert len(_folders_of(wh, "odd", spark.sql("SELECT 'a/b=1 %' AS p"), ["p"])) == 1
+    merge(wh, "t", source.limit(1).selectExpr("4L AS k", "'4' AS p"), ["k", "p"], update=None)
+    assert wh.read("t").count() == 6
 
-    monkeypatch.setattr(module, "MAX_PRUNED_VALUES", 2)
-    wh.publish(frame([(i, i) for i in range(5)], "k int, p int"), "t", ["p"])
-    merge(wh, "t", frame([(i, i) for i in range(3, 8)], "k int, p int"), ["k", "p"], update=None)
-    assert [r.k for r in wh.read("t").orderBy("k").collect()] == list(range(8))
+
+def test_blank_partition_values_do_not_repeat(wh, frame):
+    schema = "k int, p string"
+    wh.publish(frame([(0, "x")], schema), "t", ["p"])
+    for _ in range(4):
+        insert_absent(wh, "t", frame([(1, ""), (2, "")], schema), ["k", "p"])
+    assert rows(wh.read("t")) == [(0, "x"), (1, None), (2, None)]
+
+
+def test_a_source_that_only_compresses_well_is_not_broadcast(spark):
+    from siltstone.session import broadcast_threshold, staged_with_size
+
+    wide = spark.range(20_000).select((F.col("id") % 3).alias("k"), F.repeat(F.lit("x"), 2_000).alias("v"))
+    with staged_with_size(wide) as (rows_, size):
+        assert size > 40_000_000 > broadcast_threshold(spark) and rows_.count() == 20_000
 
 
 @pytest.mark.parametrize("broadcast", ["10MB", "-1"])
