@@ -185,52 +185,52 @@ def top_orders_preview(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Every customer's attribute of a year against that of the year before.
 CHANGES_SQL = f"""
 WITH {CUSTOMER_YEARS_SQL},
-old AS (SELECT o_custkey, attr FROM src WHERE y = 1996),
-new AS (SELECT o_custkey, attr FROM src WHERE y = 1997),
 tagged AS (
-  SELECT new.o_custkey, new.attr, old.attr AS attr_Sink,
+  SELECT new.o_custkey, new.y, new.attr, old.attr AS attr_Sink,
          CASE WHEN old.o_custkey IS NULL THEN 'New Record'
               WHEN new.attr IS DISTINCT FROM old.attr THEN 'Updated Record'
               ELSE 'Rejected Records' END AS Dataset_Filtering
-  FROM new LEFT JOIN old USING (o_custkey))"""
+  FROM src new LEFT JOIN src old ON new.o_custkey = old.o_custkey AND new.y = old.y + 1)"""
 
 
-def _two_years(spark: SparkSession, sf: str) -> DataFrame:
+def _year_before(years: DataFrame) -> DataFrame:
+    return years.withColumn("y", F.col("y") + 1)
+
+
+def _all_years(spark: SparkSession, sf: str) -> DataFrame:
     years = customer_years(spark, sf)
-    return classify_changes(
-        years.filter("y = 1997"), years.filter("y = 1996"), ["o_custkey"], ["attr"]
-    )
+    return classify_changes(years, _year_before(years), ["o_custkey", "y"], ["attr"])
 
 
 @query(f"{CHANGES_SQL} SELECT * FROM tagged")
 def changes_classified(spark: SparkSession, sf: str) -> DataFrame:
-    return _two_years(spark, sf)
+    return _all_years(spark, sf)
 
 
 @query(f"""{CHANGES_SQL}
-SELECT o_custkey, attr, 'new' AS route FROM tagged WHERE Dataset_Filtering = 'New Record'
+SELECT o_custkey, y, attr, 'new' AS route FROM tagged WHERE Dataset_Filtering = 'New Record'
 UNION ALL
-SELECT o_custkey, attr, 'updated' FROM tagged WHERE Dataset_Filtering = 'Updated Record'""")
+SELECT o_custkey, y, attr, 'updated' FROM tagged WHERE Dataset_Filtering = 'Updated Record'""")
 def changes_routed(spark: SparkSession, sf: str) -> DataFrame:
-    new, updated = split_changes(_two_years(spark, sf))
+    new, updated = split_changes(_all_years(spark, sf))
     return union_all(
         [
-            new.select("o_custkey", "attr", F.lit("new").alias("route")),
-            updated.select("o_custkey", "attr", F.lit("updated").alias("route")),
+            new.select("o_custkey", "y", "attr", F.lit("new").alias("route")),
+            updated.select("o_custkey", "y", "attr", F.lit("updated").alias("route")),
         ]
     )
 
 
 @query(f"""
 WITH {CUSTOMER_YEARS_SQL}
-SELECT o_custkey, attr FROM src a WHERE y = 1998
-AND NOT EXISTS (SELECT 1 FROM src b WHERE b.y = 1997 AND a.o_custkey = b.o_custkey AND a.attr = b.attr)""")
+SELECT o_custkey, y, attr FROM src a
+WHERE NOT EXISTS (SELECT 1 FROM src b WHERE a.y = b.y + 1 AND a.o_custkey = b.o_custkey AND a.attr = b.attr)""")
 def rows_not_in_target(spark: SparkSession, sf: str) -> DataFrame:
     years = customer_years(spark, sf)
-    source, target = years.filter("y = 1998"), years.filter("y = 1997")
-    return new_rows(source, target, ["o_custkey", "attr"]).select("o_custkey", "attr")
+    return new_rows(years, _year_before(years), ["o_custkey", "attr", "y"]).select("o_custkey", "y", "attr")
 
 
 @query("""

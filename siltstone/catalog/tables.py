@@ -107,11 +107,11 @@ def rows_since_mark(spark: SparkSession, sf: str) -> DataFrame:
     return fresh.select("o_orderkey", "o_custkey", "o_totalprice")
 
 
-@query("SELECT p_partkey, p_name, p_retailprice FROM part WHERE p_size > 25")
+@query("SELECT p_partkey, p_name, p_retailprice FROM part")
 def path_as_table(spark: SparkSession, sf: str) -> DataFrame:
     path = write_bronze(table(spark, sf, "part"), new_folder(spark, "lake"), "part")
     parts = read_path_as_table(spark, path)
-    return parts.filter("p_size > 25").select("p_partkey", "p_name", "p_retailprice")
+    return parts.select("p_partkey", "p_name", "p_retailprice")
 
 
 @query(f"""
