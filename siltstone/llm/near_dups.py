@@ -2,7 +2,9 @@
 
 The sketch of a text folds its MinHash samples into a bitmap of parities. Samples that two
 texts share cancel out in the XOR of the bitmaps, so the number of its set bits tells how many
-samples differ, and most precisely where few do: at high similarities.
+samples differ, and most precisely where few do: at high similarities. Where many texts resemble each
+other a little too little, a wider bitmap that folds whole sets decides: the set bits of the XOR of two
+never exceed the shingles that the sets do not share, so no link is lost by it.
 """
 
 from __future__ import annotations
@@ -22,7 +24,9 @@ from siltstone.llm.components import components
 from siltstone.llm.shingles import shingle_set
 
 SKETCH_BITS = 256
+SET_BITS = 2048
 _LONGS = SKETCH_BITS // 64
+_SET_LONGS = SET_BITS // 64
 
 
 @dataclass(frozen=True)
@@ -44,12 +48,16 @@ class Plan:
 
     @property
     def most_bits(self) -> int:
-        """Set bits of an XOR beyond which two texts are not compared: three deviations of the
-        differing samples and three of the bits they set above what the least similarity gives."""
+        """Set bits of an XOR beyond which two texts are not compared.
+
+        Four deviations above what the least similarity gives; the deviation joins
+        that of the differing samples with that of their collisions in the bitmap.
+        """
         j, k = self.percent / 100, self.samples
-        differing = 2 * (k * (1 - j) + 3 * math.sqrt(k * j * (1 - j)))
-        share = (1 - (1 - 2 / SKETCH_BITS) ** differing) / 2
-        return math.ceil(SKETCH_BITS * share + 3 * math.sqrt(SKETCH_BITS * share * (1 - share)))
+        differing = 2 * k * (1 - j)
+        stay = (1 - 2 / SKETCH_BITS) ** differing
+        variance = (2 * stay) ** 2 * k * j * (1 - j) + 2 * differing**2 / SKETCH_BITS
+        return math.ceil(SKETCH_BITS * (1 - stay) / 2 + 4 * math.sqrt(variance))
 
 
 class _Sampler:
@@ -127,9 +135,14 @@ def signatures(docs: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _sets(docs: DataFrame, ids: DataFrame, plan: Plan) -> DataFrame:
-    """(vertex, shingles) of the documents with these ids."""
+    """(vertex, size, parity, shingles) of the documents with these ids; ``parity`` folds the whole set."""
+
+    def parity(shingles: np.ndarray) -> np.ndarray:
+        bits = np.bincount((shingles % np.uint64(SET_BITS)).astype(np.int64), minlength=SET_BITS) & 1
+        return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        longs = pa.list_(pa.int64())
         for whole in batches:
             for first in range(0, whole.num_rows, 500):
                 texts = whole.column(0).slice(first, 500).to_pylist()
@@ -137,17 +150,20 @@ def _sets(docs: DataFrame, ids: DataFrame, plan: Plan) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([_vertex(f) for f in found], pa.int64()),
-                        pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64())),
+                        pa.array([len(f) for f in found], pa.int32()),
+                        pa.array([parity(f) for f in found], longs),
+                        pa.array([f.view(np.int64) for f in found], longs),
                     ],
-                    ["vertex", "shingles"],
+                    ["vertex", "size", "parity", "shingles"],
                 )
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), whole_text(docs).alias("text"))
-    return rows.join(ids, "doc_id", "left_semi").select("text").mapInArrow(run, "vertex long, shingles array<bigint>")
+    found = rows.join(ids, "doc_id", "left_semi").select("text")
+    return found.mapInArrow(run, "vertex long, size int, parity array<bigint>, shingles array<bigint>")
 
 
-def _differing_bits(left: str, right: str) -> Column:
-    bits = [F.bit_count(F.col(f"{left}{i}").bitwiseXOR(F.col(f"{right}{i}"))) for i in range(_LONGS)]
+def _differing_bits(left: str, right: str, longs: int = _LONGS) -> Column:
+    bits = [F.bit_count(F.col(f"{left}{i}").bitwiseXOR(F.col(f"{right}{i}"))) for i in range(longs)]
     return sum(bits[1:], bits[0])
 
 
@@ -160,6 +176,69 @@ def _linked(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(100 * both >= plan.percent * either).select("a", "b")
 
 
+def _closest(pairs: DataFrame, sketches: DataFrame, plan: Plan) -> DataFrame:
+    """Of the pairs (vertex, leader) that pass the sketch, each vertex's closest, as (a, b)."""
+    of = lambda name, prefix: sketches.select(
+        F.col("vertex").alias(name), *(F.col(f"s{i}").alias(f"{prefix}{i}") for i in range(_LONGS))
+    )
+    sifted = (
+        pairs.filter("vertex <> leader")
+        .distinct()
+        .join(of("vertex", "v"), "vertex")
+        .join(of("leader", "l"), "leader")
+        .select("vertex", "leader", _differing_bits("v", "l").alias("bits"))
+        .filter(F.col("bits") <= plan.most_bits)
+    )
+    return (
+        sifted.groupBy("vertex")
+        .agg(F.min(F.struct("bits", "leader")).alias("best"))
+        .select(F.least("vertex", "best.leader").alias("a"), F.greatest("vertex", "best.leader").alias("b"))
+        .distinct()
+    )
+
+
+def _open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members (band, vertex, ...) of bands that hold several components, with theirs."""
+    placed = kept(
+        members.join(found.withColumnRenamed("vertex", "of"), F.col("vertex") == F.col("of"), "left")
+        .withColumn("component", F.coalesce("component", "vertex"))
+        .drop("of"),
+        "near-placed",
+    )
+    mixed = placed.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    mixed = kept(mixed.filter("least < most").select("band", "least"), "near-mixed")
+    return kept(placed.join(mixed, "band"), "near-open")
+
+
+def _across(members: DataFrame, plan: Plan, how: str, whole_sets: bool) -> DataFrame:
+    """Join of open members over bands: different components, and bitmaps (s0, s1, ...) close enough."""
+    longs = _SET_LONGS if whole_sets else _LONGS
+    side = lambda prefix: members.select(
+        *(F.col(c).alias(f"{prefix}{c}") for c in members.columns)
+    )
+    bits = _differing_bits("ls", "rs", longs)
+    if whole_sets:
+        # At the least similarity the sets do not share this part of their added sizes.
+        near = (100 + plan.percent) * bits <= (100 - plan.percent) * (F.col("lsize") + F.col("rsize"))
+    else:
+        near = bits <= plan.most_bits
+    met = (F.col("lband") == F.col("rband")) & (F.col("lcomponent") != F.col("rcomponent")) & near
+    # Of pairs, one side leaves out the component of the band's least vertex, mostly the large one.
+    left = side("l").filter("lcomponent <> lleast") if how == "inner" else side("l")
+    return left.join(side("r"), met, how)
+
+
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """(vertex, own): how many shingles of a set no other set holds."""
+    single = (
+        sets.select("vertex", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.min("vertex").alias("vertex"), F.max("vertex").alias("other"))
+        .filter("vertex = other")
+    )
+    return single.groupBy("vertex").agg(F.count("*").alias("own"))
+
+
 def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -169,12 +248,17 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     an id (they are kept). Rows that repeat an id are linked by their own texts; no rows give no rows;
     other columns are not read.
 
-    Equal sets are one vertex from the start. Of the texts that share a band only pairs with one of two
-    leaders are looked at first, the one with the closest sketch per text; components of the confirmed links
-    follow. Then every pair that shares a band, passes the sketch and still lies in different
-    components is confirmed as well, so no link between components is lost, while members of a large group
-    are never paired with each other. Sketches are compared inside the join that finds the pairs; texts are
-    shuffled once, to fetch the sets of texts in some pair.
+    Equal sets are one vertex from the start. Links are looked for in four steps, each only over what the
+    ones before left in different components, so members of a large group are not paired with each other:
+
+    1. of the texts that share a band, pairs with one of two leaders, per text the closest by sketch;
+    2. texts without a partner across components leave: first by sketch, then by the bitmap of whole sets. Both
+       are semi-joins, with one row per text at most;
+    3. pairs with the band's most central text, the one with the fewest shingles of its own: the likely origin of copies;
+    4. every pair that shares a band, lies in different components and passes the bitmap of whole sets.
+
+    Every pair that steps 1, 3 and 4 find is confirmed on the full sets. Texts are shuffled once, to fetch the sets of
+    those that share a band.
     """
     rows = kept(signatures(docs, plan), "near-signatures")
     classes = kept(
@@ -189,60 +273,45 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     leaders = kept(leaders.filter("low < high"), "near-leaders")
     shared = kept(members.join(leaders, "band"), "near-members")
 
-    pairs = (
-        shared.select("vertex", F.explode(F.array("low", "high")).alias("leader"))
-        .filter("vertex <> leader")
-        .distinct()
-    )
-    of = lambda name, prefix: sketches.select(
-        F.col("vertex").alias(name), *(F.col(f"s{i}").alias(f"{prefix}{i}") for i in range(_LONGS))
-    )
-    sifted = (
-        pairs.join(of("vertex", "v"), "vertex")
-        .join(of("leader", "l"), "leader")
-        .select("vertex", "leader", _differing_bits("v", "l").alias("bits"))
-        .filter(F.col("bits") <= plan.most_bits)
-    )
-    closest = kept(
-        sifted.groupBy("vertex").agg(F.min(F.struct("bits", "leader")).alias("best")).select(
-            F.least("vertex", "best.leader").alias("a"), F.greatest("vertex", "best.leader").alias("b")
-        ).distinct(),
-        "near-closest",
-    )
-    # Whoever shares a band with a text of the least similarity may be asked for its set.
-    asked = shared.select("vertex").distinct()
-    ids = classes.join(asked, "vertex", "left_semi").select("doc_id")
+    first_pairs = shared.select("vertex", F.explode(F.array("low", "high")).alias("leader"))
+    closest = kept(_closest(first_pairs, sketches, plan), "near-closest")
+    ids = classes.join(shared.select("vertex").distinct(), "vertex", "left_semi").select("doc_id")
     sets = kept(_sets(docs, ids, plan), "near-sets")
     links = kept(_linked(closest, sets, plan), "near-links")
-    first = kept(components(links, "near-first"), "near-first")
-
-    # What is left: pairs in a band whose ends lie in different components.
-    placed = (
-        shared.select("band", "vertex")
-        .join(first, "vertex", "left")
-        .select("band", "vertex", F.coalesce("component", "vertex").alias("component"))
+    found = kept(components(links, "near-first"), "near-first")
+
+    open_members = _open(shared.select("band", "vertex").join(sketches, "vertex"), found)
+    partnered = _across(open_members, plan, "left_semi", whole_sets=False)
+    partnered = kept(partnered.select(F.col("lvertex").alias("vertex")).distinct(), "near-partnered")
+    own_sets = sets.join(partnered, "vertex", "left_semi").dropDuplicates(["vertex"])
+    bitmaps = own_sets.select("vertex", "size", *(F.col("parity")[i].alias(f"s{i}") for i in range(_SET_LONGS)))
+    open_members = open_members.select("band", "vertex").join(kept(bitmaps, "near-bitmaps"), "vertex")
+    open_members = _open(open_members, found)
+    partnered = _across(open_members, plan, "left_semi", whole_sets=True)
+    partnered = kept(partnered.select(F.col("lvertex").alias("vertex")).distinct(), "near-partnered")
+    open_members = kept(
+        open_members.drop("component", "least").join(partnered, "vertex", "left_semi"), "near-open"
     )
-    placed = kept(placed.join(sketches, "vertex"), "near-placed")
-    mixed = placed.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    mixed = kept(mixed.filter("least < most").select("band", "least"), "near-mixed")
-    open_members = kept(placed.join(mixed, "band"), "near-open")
-    side = lambda p, name: open_members.select(
-        "band", F.col("vertex").alias(name), F.col("component").alias(f"component_{name}"), "least",
-        *(F.col(f"s{i}").alias(f"{p}{i}") for i in range(_LONGS)),
-    )
-    # One side leaves out the component of the band's least vertex, mostly the large one.
-    rest = side("r", "a").filter("component_a <> least").drop("least")
+    own = _own_shingles(sets.join(partnered, "vertex", "left_semi"))
+    centres = (
+        open_members.select("band", "vertex")
+        .join(own, "vertex", "left")
+        .groupBy("band")
+        .agg(F.min(F.struct(F.coalesce("own", F.lit(0)).alias("own"), "vertex"))["vertex"].alias("leader"))
+    )
+    central = open_members.select("band", "vertex").join(kept(centres, "near-centres"), "band")
+    closest = kept(_closest(central.select("vertex", "leader"), sketches, plan), "near-closest")
+    links = kept(links.union(_linked(closest, sets, plan)), "near-links")
+    found = kept(components(links, "near-second"), "near-second")
+
+    open_members = _open(open_members, found)
     across = (
-        rest.join(side("o", "b").drop("least"), "band")
-        .filter(
-            ((F.col("component_b") == F.col("component_a")) == F.lit(False))
-            & (_differing_bits("r", "o") <= plan.most_bits)
-        )
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        _across(open_members, plan, "inner", whole_sets=True)
+        .select(F.least("lvertex", "rvertex").alias("a"), F.greatest("lvertex", "rvertex").alias("b"))
         .distinct()
     )
-    more = kept(_linked(across.join(closest, ["a", "b"], "left_anti"), sets, plan), "near-more")
-    found = kept(components(links.union(more), "near-found"), "near-found")
+    links = kept(links.union(_linked(across, sets, plan)), "near-links")
+    found = kept(components(links, "near-found"), "near-found")
 
     named = found.join(classes.select("vertex", "doc_id"), "vertex")
     least_ids = kept(named.groupBy("component").agg(F.min("doc_id").alias("component_id")), "near-names")
