@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,16 @@ from pyspark.sql import functions as F
 from siltstone.session import new_folder
 
 
+def _importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the library from where the driver has it."""
+    root, names = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = names.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        names["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
