@@ -15,7 +15,7 @@ from siltstone.catalog.fixtures import (
     table,
     warehouse,
 )
-from siltstone.operators.merge import insert_absent, merge
+from siltstone.operators.merge import insert_absent, merge, offending_keys
 
 ALL = "silver.member"
 
@@ -171,3 +171,15 @@ def update_where(spark: SparkSession, sf: str) -> DataFrame:
         {"o_orderstatus": F.lit("Z"), "o_totalprice": F.lit(0.0)},
     )
     return wh.read("silver.orders")
+
+
+@query("""
+SELECT l_suppkey, l_partkey, l_shipdate, count(*) AS n_rows FROM lineitem
+JOIN (SELECT DISTINCT o_orderdate FROM orders) ON l_shipdate = o_orderdate
+GROUP BY 1, 2, 3 HAVING count(*) > 1""")
+def merge_offending_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales that a merge on (supplier, part, day) would refuse, of the days that have orders."""
+    lines = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey", "l_shipdate")
+    days = table(spark, sf, "orders").select(F.col("o_orderdate").alias("l_shipdate")).distinct()
+    target = lines.join(days, "l_shipdate", "left_semi")
+    return offending_keys(lines, target, ["l_suppkey", "l_partkey", "l_shipdate"])

@@ -154,3 +154,32 @@ def delimited_mapped(spark: SparkSession, sf: str) -> DataFrame:
             ("event_type", "not_a_number", "int"),
         ],
     )
+
+
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS _c0, o_orderstatus AS _c1, o_orderpriority AS _c2 FROM orders""")
+def csv_path_as_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder of CSV files scanned by its path; columns are positions, values are text."""
+    path = new_folder(spark, "export")
+    table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority").write.csv(path)
+    return read_path_as_table(spark, path, "csv")
+
+
+@query("SELECT o_orderstatus, count(*) AS n, max(o_orderkey) AS last_key FROM orders GROUP BY 1")
+def table_as_view(spark: SparkSession, sf: str) -> DataFrame:
+    wh = warehouse(spark)
+    wh.publish(table(spark, sf, "orders"), "bronze.orders", ["o_orderstatus"])
+    view = wh.register_view("bronze.orders", f"orders_{id(wh)}")
+    return spark.sql(f"SELECT o_orderstatus, count(*) AS n, max(o_orderkey) AS last_key FROM {view} GROUP BY 1")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders")
+def dropped_and_published_again(spark: SparkSession, sf: str) -> DataFrame:
+    """After a drop the name is free for a table of another shape."""
+    wh = warehouse(spark)
+    wh.publish(table(spark, sf, "customer"), "gold.things", ["c_mktsegment"])
+    wh.drop("gold.things")
+    if wh.exists("gold.things"):
+        raise AssertionError("the table is still there")
+    wh.publish(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "gold.things")
+    return wh.read("gold.things")

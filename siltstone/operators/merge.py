@@ -180,6 +180,12 @@ def _rewritten(
     return [joined, *carried]
 
 
+def offending_keys(source: DataFrame, target: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Keys that a merge refuses, with the number of their rows: several source rows on a target row."""
+    several = source.groupBy(*on).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
+    return seen_keys(target, several, on, ["n_rows"])
+
+
 def insert_absent(
     wh: Warehouse,
     name: str,
