@@ -62,6 +62,69 @@ def op3_signature_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op4_adaptive_thresholds"] = r"""
+WITH split AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS la, coalesce('=' || source, '') AS so, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS ls
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
+  FROM split, unnest(generate_series(1, len(ws) - 2)) AS u(i) WHERE len(ws) > 2),
+twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+repeated AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) AS v(k) GROUP BY 1),
+counted AS (
+  SELECT split.doc_id, la, so, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words
+  FROM split LEFT JOIN repeated USING (doc_id)),
+rated AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    CAST(CASE WHEN word_chars > 0 THEN floor(n_symbols * 1000::DOUBLE / word_chars) ELSE 0 END AS BIGINT) AS symbol_rate,
+    CAST(CASE WHEN n_lines > 0 THEN floor(n_dup_lines * 1000::DOUBLE / n_lines) ELSE 0 END AS BIGINT) AS dup_line_rate,
+    CAST(CASE WHEN n_words > 0 THEN floor(n_repeat_words * 1000::DOUBLE / n_words) ELSE 0 END AS BIGINT) AS repeat_rate,
+    CAST(CASE WHEN n_words > 0 THEN floor(word_chars * 10::DOUBLE / n_words) ELSE 0 END AS BIGINT) AS word_length
+  FROM counted),
+long AS (
+  UNPIVOT (SELECT la, so, symbol_rate, dup_line_rate, repeat_rate, word_length FROM rated WHERE NOT base_failed)
+  ON symbol_rate, dup_line_rate, repeat_rate, word_length INTO NAME feature VALUE v),
+sketch AS (
+  SELECT la, so, feature, (v >> greatest(length(bin(v)) - 5, 0)) << greatest(length(bin(v)) - 5, 0) AS bucket, count(*) AS n
+  FROM long GROUP BY ALL),
+levels AS (
+  SELECT 0 AS level, la, so, feature, bucket, n FROM sketch
+  UNION ALL SELECT 1, la, NULL, feature, bucket, sum(n) FROM sketch GROUP BY ALL
+  UNION ALL SELECT 2, NULL, NULL, feature, bucket, sum(n) FROM sketch GROUP BY ALL),
+ranked AS (
+  SELECT *, sum(n) OVER (PARTITION BY level, la, so, feature ORDER BY bucket) AS below,
+         sum(n) OVER (PARTITION BY level, la, so, feature) AS size FROM levels),
+quartiles AS (
+  SELECT level, la, so, feature, max(size) AS size,
+         min(bucket) FILTER (below >= ceil(size * 0.25)) AS low, min(bucket) FILTER (below >= ceil(size * 0.75)) AS high
+  FROM ranked GROUP BY ALL),
+chosen AS (
+  SELECT own.la, own.so, own.feature,
+         CASE WHEN own.size >= 200 THEN own.low WHEN lang.size >= 200 THEN lang.low ELSE every.low END AS low,
+         CASE WHEN own.size >= 200 THEN own.high WHEN lang.size >= 200 THEN lang.high ELSE every.high END AS high
+  FROM quartiles own JOIN quartiles lang ON lang.level = 1 AND lang.la = own.la AND lang.feature = own.feature
+  JOIN quartiles every ON every.level = 2 AND every.feature = own.feature WHERE own.level = 0),
+fences AS (
+  SELECT la, so, feature, high + 3 * (high - low) + slack AS most, low - 3 * (high - low) - slack AS least
+  FROM chosen JOIN (VALUES ('symbol_rate', 50), ('dup_line_rate', 500), ('repeat_rate', 300), ('word_length', 20))
+    AS s(feature, slack) USING (feature)),
+beyond AS (
+  SELECT r.doc_id FROM rated r JOIN fences f USING (la, so) WHERE NOT base_failed AND (
+    (feature = 'symbol_rate' AND symbol_rate > most) OR (feature = 'dup_line_rate' AND dup_line_rate > most) OR
+    (feature = 'repeat_rate' AND repeat_rate > most) OR
+    (feature = 'word_length' AND (word_length > most OR word_length < least))))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM beyond) AS kept,
+       symbol_rate, dup_line_rate, repeat_rate, word_length
+FROM rated"""
+
+
 @query
 def op4_adaptive_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts and verdicts of all documents."""
@@ -111,6 +174,30 @@ def op9_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.inline("leaks"))
 
 
+ORACLES["op10_odd_sketches"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) = 1 THEN ws[1] ELSE ws[i] || ' ' || ws[i + 1] END AS s
+  FROM words, unnest(generate_series(1, greatest(len(ws) - 1, 1))) AS u(i) WHERE len(ws) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM shared JOIN sizes sx ON sx.doc_id = x JOIN sizes sy ON sy.doc_id = y
+  WHERE 100 * c >= 80 * (sx.n + sy.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (
+  SELECT doc_id, doc_id AS seen FROM documents
+  UNION SELECT reached.doc_id, edges.y FROM reached JOIN edges ON edges.x = reached.seen)
+SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(seen) AS component_id,
+       doc_id = min(seen) AS kept
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
+
+
 @query
 def op10_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents, over shingles of two words."""
