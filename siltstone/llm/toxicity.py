@@ -42,7 +42,7 @@ def word_rows(text: str) -> np.ndarray:
     words = text.encode("utf-8", "replace").lower().translate(_WORDS).split()
     whole = np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
     stems = np.fromiter((zlib.crc32(w[:STEM_BYTES]) for w in words), np.uint32, len(words))
-    return np.stack([whole & 0xFFFF, whole >> 16, stems & 0xFFFF])
+    return np.stack([whole & 0xFFFF, whole >> 16, stems & 0xFFFF]).astype(np.uint16)
 
 
 @dataclass
@@ -82,9 +82,10 @@ class Model:
             windows.append(total)
         return rows, starts, windows
 
-    def score(self, texts: Sequence[str]) -> np.ndarray:
-        _, starts, windows = self._pooled([word_rows(t) for t in texts])
-        cuts = np.empty(2 * len(texts), dtype=np.int64)
+    def score(self, found: Sequence[np.ndarray]) -> np.ndarray:
+        """Scores of texts, given as their word rows."""
+        _, starts, windows = self._pooled(found)
+        cuts = np.empty(2 * len(found), dtype=np.int64)
         cuts[::2] = starts[:-1]
         cuts[1::2] = starts[1:] - max(WIDTHS) + 1
         pooled = np.concatenate([np.maximum.reduceat(w, cuts, axis=0)[::2] for w in windows], axis=1)
@@ -112,8 +113,8 @@ def _new_model(prior: float, rng: np.random.Generator) -> Model:
     )
 
 
-def fit(texts: Sequence[str], toxic: Sequence[int], langs: Sequence[str | None], seed: int = 7) -> Model:
-    """Fit on whole texts; a fifth of them only serves to choose the thresholds.
+def fit(found: Sequence[np.ndarray], toxic: Sequence[int], langs: Sequence[str | None], seed: int = 7) -> Model:
+    """Fit on the word rows of whole texts; a fifth of them only serves to choose the thresholds.
 
     Only the window that wins the pooling passes its error back, to the filter and
     to the embeddings of its words, each with a step that shrinks as it is used (Adagrad).
@@ -125,7 +126,6 @@ def fit(texts: Sequence[str], toxic: Sequence[int], langs: Sequence[str | None],
     if not 0 < prior < 1:
         model.weights[:] = 0
         return model
-    found = [word_rows(t) for t in texts]
     order = rng.permutation(len(y))
     held, own = order[: len(y) // 5], order[len(y) // 5 :]
     seen = {"tables": np.full(model.tables.shape[:2], 1e-3, np.float32)}
@@ -136,7 +136,8 @@ def fit(texts: Sequence[str], toxic: Sequence[int], langs: Sequence[str | None],
         for first in range(0, len(own), BATCH):
             batch = own[first : first + BATCH]
             _step(model, [found[i] for i in batch], y[batch], rate, seen, slow)
-    scores = model.score([texts[i] for i in held]) if len(held) else np.zeros(0)
+    pieces = [held[i : i + BATCH] for i in range(0, len(held), BATCH)]
+    scores = np.concatenate([np.zeros(0), *(model.score([found[i] for i in piece]) for piece in pieces)])
     model.thresholds = _thresholds(scores, y[held], [langs[i] for i in held])
     return model
 
@@ -213,7 +214,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mode
 
     Which ones is settled by a hash of the ids, so it does not depend on how the
     tables are stored. An id that is labelled twice is toxic if one label says
-    so; NULL ids and labels teach nothing. Without labels of both kinds the score is the
+    so, of rows that share an id the first text counts; NULL ids and labels teach nothing. Without labels of both kinds the score is the
     share of toxic ones (0 without any).
     """
     known = labels.select(labels["doc_id"].alias("label_id"), labels["toxic"].alias("is_toxic"))
@@ -229,8 +230,18 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mode
         docs["doc_id"].alias("label_id"), docs["lang"].cast("string").alias("lang"), whole_text(docs).alias("text")
     )
     # Broadcast: never more than ``rows`` ids.
-    sample = texts.join(F.broadcast(chosen), "label_id").orderBy("label_id", "text", "lang").limit(rows).collect()
-    return fit([r["text"] for r in sample], [int(r["is_toxic"] > 0) for r in sample], [r["lang"] for r in sample])
+    sample = (
+        texts.join(F.broadcast(chosen), "label_id")
+        .groupBy("label_id")
+        .agg(F.min(F.struct("text", "lang")).alias("first"), F.max("is_toxic").alias("is_toxic"))
+        .orderBy("label_id")
+    )
+    found, toxic, langs = [], [], []
+    for row in sample.toLocalIterator():  # a partition at a time; only word rows are kept
+        found.append(word_rows(row["first"]["text"]))
+        toxic.append(int(row["is_toxic"] > 0))
+        langs.append(row["first"]["lang"])
+    return fit(found, toxic, langs)
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
@@ -249,10 +260,10 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
         own = shared.value
         for texts in batches:
             found = []
-            piece: list[str] = []
+            piece: list[np.ndarray] = []
             chars = 0
             for text in texts:
-                piece.append(text)
+                piece.append(word_rows(text))
                 chars += len(text)
                 if chars > 300_000 or len(piece) >= 500:
                     found.append(own.score(piece))
