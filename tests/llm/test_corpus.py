@@ -17,7 +17,7 @@ from siltstone.llm.decontamination import with_leaks
 from siltstone.llm.near_dups import Plan, near_duplicates
 from siltstone.llm.repeats import remove_repeats
 
-from samples import ODD_SCHEMA, SF, prose
+from samples import ODD_SCHEMA, SF, documents, nothing, odd, odd_rows, prose  # noqa: F401
 
 
 def text_sets(texts, size):

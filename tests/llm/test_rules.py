@@ -12,7 +12,7 @@ from siltstone.llm.license_scan import scan_licenses
 from siltstone.llm.quality import FEATURES, judge
 from siltstone.llm.sharding import shards
 
-from samples import SF
+from samples import SF, documents, nothing, odd, odd_rows  # noqa: F401
 
 
 def license_words(text):

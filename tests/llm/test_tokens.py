@@ -17,7 +17,7 @@ from siltstone.llm.sentencepieces import Transducer, encode_documents
 from siltstone.llm.token_files import FILE_SCHEMA, read_token_files, write_token_files
 from siltstone.session import new_folder
 
-from samples import SF
+from samples import SF, documents, nothing, odd, odd_rows  # noqa: F401
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
