@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import math
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import whole_text
+from siltstone.llm.common import kept, whole_text
 
-#: Labelled documents that a model is fitted on, at most, chosen by a hash of their ids.
+#: Labelled documents that a model is fitted on, at most, chosen by a hash of their ids; a fifth of them is left out.
 TRAINING_ROWS = 12_000
 WIDTHS = (1, 2, 3)
 FILTERS = 8
@@ -31,6 +32,11 @@ PASSES = (7, 30)
 LANGUAGE_POSITIVES = 20
 #: The share of clean documents that a language's threshold may reject.
 FALSE_ALARMS = 0.002
+#: The share of toxic documents that it may miss, and the share of clean ones that it may reject to miss no more.
+MISSES = 0.05
+MOST_FALSE_ALARMS = 0.01
+#: Scores are counted in so many steps for the thresholds.
+SCORE_STEPS = 1024
 _PAD = TABLE_ROWS  # a row of zeros
 _WORDS = bytes(
     c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256)
@@ -113,8 +119,8 @@ def _new_model(prior: float, rng: np.random.Generator) -> Model:
     )
 
 
-def fit(found: Sequence[np.ndarray], toxic: Sequence[int], langs: Sequence[str | None], seed: int = 7) -> Model:
-    """Fit on the word rows of whole texts; a fifth of them only serves to choose the thresholds.
+def fit(found: Sequence[np.ndarray], toxic: Sequence[int], seed: int = 7) -> Model:
+    """Fit on the word rows of whole texts; the thresholds are chosen later, on rows that were not fitted on.
 
     Only the window that wins the pooling passes its error back, to the filter and
     to the embeddings of its words, each with a step that shrinks as it is used (Adagrad).
@@ -126,8 +132,7 @@ def fit(found: Sequence[np.ndarray], toxic: Sequence[int], langs: Sequence[str |
     if not 0 < prior < 1:
         model.weights[:] = 0
         return model
-    order = rng.permutation(len(y))
-    held, own = order[: len(y) // 5], order[len(y) // 5 :]
+    own = rng.permutation(len(y))
     seen = {"tables": np.full(model.tables.shape[:2], 1e-3, np.float32)}
     slow = {k: 1e-3 for k in ("bias", "weights", "offset", *range(len(WIDTHS)))}
     rate = 0.15
@@ -136,9 +141,6 @@ def fit(found: Sequence[np.ndarray], toxic: Sequence[int], langs: Sequence[str |
         for first in range(0, len(own), BATCH):
             batch = own[first : first + BATCH]
             _step(model, [found[i] for i in batch], y[batch], rate, seen, slow)
-    pieces = [held[i : i + BATCH] for i in range(0, len(held), BATCH)]
-    scores = np.concatenate([np.zeros(0), *(model.score([found[i] for i in piece]) for piece in pieces)])
-    model.thresholds = _thresholds(scores, y[held], [langs[i] for i in held])
     return model
 
 
@@ -186,74 +188,112 @@ def _step(model: Model, found: list, y: np.ndarray, rate: float, seen: dict, slo
         model.tables[table, touched] -= rate * total / np.sqrt(seen["tables"][table, touched])[:, None]
 
 
-def _thresholds(scores: np.ndarray, y: np.ndarray, langs: Sequence[str | None]) -> dict[str, float]:
-    """Per language the lowest score that rejects at most ``FALSE_ALARMS`` of its clean documents."""
-    langs = np.array([x or "" for x in langs], dtype=object)
+def _threshold(clean: np.ndarray, toxic: np.ndarray) -> float:
+    """From the counts of clean and toxic documents per score step.
 
-    def of(own: np.ndarray) -> float:
-        clean = np.sort(scores[own & (y == 0)])
-        if not len(clean):
-            return 0.5
-        worst = float(clean[int(np.ceil(len(clean) * (1 - FALSE_ALARMS))) - 1])
-        return float(np.clip(worst + 1e-6, 0.3, 0.95))
-
-    found = {"": of(np.ones(len(y), dtype=bool))}
-    for lang in set(langs.tolist()) - {""}:
-        own = langs == lang
-        if (y[own] == 1).sum() >= LANGUAGE_POSITIVES:
-            found[lang] = of(own)
-    return found
+    The lowest threshold of 0.3 or more that rejects at most ``FALSE_ALARMS`` of the clean ones. Where
+    that misses more than ``MISSES`` of the toxic ones, the highest that does not, or, if that rejects
+    more than ``MOST_FALSE_ALARMS`` of the clean ones, the lowest that rejects no more.
+    """
+    if not clean.sum():
+        return 0.5
+
+    def least(share: float) -> int:
+        rejected = np.append(clean[::-1].cumsum()[::-1], 0)  # by the step that the threshold starts
+        return int(np.argmax(rejected <= share * clean.sum()))
+
+    step = min(max(least(FALSE_ALARMS), math.ceil(0.3 * SCORE_STEPS)), int(0.95 * SCORE_STEPS))
+    if toxic.sum():
+        missed = np.append(0, toxic.cumsum())
+        highest = int(np.flatnonzero(missed <= MISSES * toxic.sum())[-1])
+        if highest < step:
+            step = min(step, max(highest, least(MOST_FALSE_ALARMS)))
+    return step / SCORE_STEPS
+
+
+def _thresholds(counts: Iterable[tuple[str | None, int, int, int]]) -> dict[str, float]:
+    """Thresholds per language from (language, toxic, score step, documents); languages with few toxic ones use that of all."""
+    by_lang: dict[str, np.ndarray] = {"": np.zeros((2, SCORE_STEPS), np.int64)}
+    for lang, toxic, step, n in counts:
+        by_lang[""][toxic, step] += n
+        if lang:
+            by_lang.setdefault(lang, np.zeros((2, SCORE_STEPS), np.int64))[toxic, step] += n
+    return {
+        lang: _threshold(*own) for lang, own in by_lang.items() if not lang or own[1].sum() >= LANGUAGE_POSITIVES
+    }
 
 
 def held_out(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
-    """A model from at most ``rows`` labelled documents, none of them held out.
+def _known(labels: DataFrame) -> DataFrame:
+    """One row per labelled id that is not held out: toxic if one of its labels says so."""
+    known = labels.select(labels["doc_id"].alias("label_id"), labels["toxic"].alias("is_toxic")).dropna()
+    return (
+        known.filter(~held_out(F.col("label_id")))
+        .groupBy("label_id")
+        .agg((F.max("is_toxic") > 0).cast("int").alias("is_toxic"))
+    )
 
-    Which ones is settled by a hash of the ids, so it does not depend on how the
-    tables are stored. An id that is labelled twice is toxic if one label says
-    so, of rows that share an id the first text counts; NULL ids and labels teach nothing. Without labels of both kinds the score is the
-    share of toxic ones (0 without any).
+
+def training_ids(labels: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
+    """The ids to fit on: four fifths, by another hash, of the first ``rows`` by a hash."""
+    first = _known(labels).orderBy(F.xxhash64("label_id"), "label_id").limit(rows)
+    return first.filter(F.pmod(F.xxhash64("label_id", F.lit("fit")), F.lit(5)) != 0)
+
+
+def score_counts(docs: DataFrame, labels: DataFrame, fitted: DataFrame, model: Model) -> DataFrame:
+    """(lang, is_toxic, step, n): all documents with a label, neither held out nor fitted on, by their scores.
+
+    Documents are scored where they are read; only ids, languages and score steps are joined to the labels.
     """
-    known = labels.select(labels["doc_id"].alias("label_id"), labels["toxic"].alias("is_toxic"))
-    chosen = (
-        known.dropna()
-        .filter(~held_out(F.col("label_id")))
-        .groupBy("label_id")
-        .agg(F.max("is_toxic").alias("is_toxic"))
-        .orderBy(F.xxhash64("label_id"), "label_id")
-        .limit(rows)
+    scores = docs.filter(docs["doc_id"].isNotNull() & ~held_out(docs["doc_id"])).select(
+        docs["doc_id"].alias("label_id"),
+        docs["lang"].cast("string").alias("lang"),
+        _scorer(docs.sparkSession, model)(whole_text(docs)).alias("score"),
     )
-    texts = docs.select(
-        docs["doc_id"].alias("label_id"), docs["lang"].cast("string").alias("lang"), whole_text(docs).alias("text")
+    step = F.least(F.floor(F.col("score") * SCORE_STEPS), F.lit(SCORE_STEPS - 1)).cast("int")
+    # Broadcast: never more than the ids that were fitted on.
+    others = _known(labels).join(F.broadcast(fitted.select("label_id")), "label_id", "left_anti")
+    return (
+        scores.select("label_id", "lang", step.alias("step"))
+        .join(others, "label_id")
+        .groupBy("lang", "is_toxic", "step")
+        .agg(F.count("*").alias("n"))
     )
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
+    """A model fitted on at most ``rows`` labelled documents, with thresholds from all others; none of them is held out.
+
+    Which ones it is fitted on is settled by hashes of the ids, so it does not depend on how the
+    tables are stored. An id that is labelled twice is toxic if one label says
+    so, of rows that share an id the first text is fitted on and all count for the thresholds; NULL ids and
+    labels teach nothing. Without labels of both kinds the score is the share of toxic ones (0 without any).
+    """
+    fitted = kept(training_ids(labels, rows), "training-ids")
+    texts = docs.select(docs["doc_id"].alias("label_id"), whole_text(docs).alias("text"))
     # Broadcast: never more than ``rows`` ids.
     sample = (
-        texts.join(F.broadcast(chosen), "label_id")
+        texts.join(F.broadcast(fitted), "label_id")
         .groupBy("label_id")
-        .agg(F.min(F.struct("text", "lang")).alias("first"), F.max("is_toxic").alias("is_toxic"))
+        .agg(F.min("text").alias("text"), F.max("is_toxic").alias("is_toxic"))
         .orderBy("label_id")
     )
-    found, toxic, langs = [], [], []
+    found, toxic = [], []
     for row in sample.toLocalIterator():  # a partition at a time; only word rows are kept
-        found.append(word_rows(row["first"]["text"]))
-        toxic.append(int(row["is_toxic"] > 0))
-        langs.append(row["first"]["lang"])
-    return fit(found, toxic, langs)
-
+        found.append(word_rows(row["text"]))
+        toxic.append(row["is_toxic"])
+    model = fit(found, toxic)
+    if len(set(toxic)) == 2:
+        model.thresholds = _thresholds(tuple(r) for r in score_counts(docs, labels, fitted, model).toLocalIterator())
+    return model
 
-def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``toxic`` (score at or above the language's threshold).
 
-    Whole texts are scored in Arrow batches, a few megabytes at a time; NULL and
-    empty texts get the score of no words. ``lang`` chooses the threshold and is no input of the
-    score. All columns of ``docs`` are kept except ones of these two names, which are replaced.
-    """
-    spark = docs.sparkSession
+def _scorer(spark: SparkSession, model: Model):
+    """A function of whole texts; they are scored in Arrow batches, a few megabytes at a time."""
     shared = spark.sparkContext.broadcast(model)
-    plain = docs.drop("score", "toxic", "__score")
 
     @F.pandas_udf("double")
     def scorer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -272,10 +312,21 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
                 found.append(own.score(piece))
             yield pd.Series(np.concatenate(found) if found else np.zeros(0))
 
+    return scorer
+
+
+def score_documents(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with ``score`` (0 to 1) and ``toxic`` (score at or above the language's threshold).
+
+    NULL and empty texts get the score of no words. ``lang`` chooses the threshold and is no input of the
+    score. All columns of ``docs`` are kept except ones of these two names, which are replaced.
+    """
+    plain = docs.drop("score", "toxic", "__score")
+
     threshold = F.lit(model.thresholds[""])
     for lang, least in model.thresholds.items():
         if lang:
             threshold = F.when(plain["lang"] == lang, F.lit(least)).otherwise(threshold)
-    scored = plain.withColumn("score", scorer(whole_text(plain)))
+    scored = plain.withColumn("score", _scorer(docs.sparkSession, model)(whole_text(plain)))
     return scored.withColumn("toxic", F.col("score") >= threshold)
 

@@ -268,6 +268,53 @@ def test_labels_of_held_out_rows_teach_nothing(spark):
     assert models[0].thresholds == models[1].thresholds
 
 
+def test_thresholds_count_all_rows_that_are_not_fitted_on(spark):
+    rows = toxic_sample(random.Random(12), 1500)
+    docs = spark.createDataFrame([(i, t, la) for i, t, la, _ in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, b) for i, _, _, b in rows[:1300]], "doc_id long, toxic int")
+    fitted = toxicity.training_ids(labels, 300)
+    own = {r["label_id"] for r in fitted.collect()}
+    model = toxicity.train(docs, labels, 300)
+    expected = Counter()
+    for i, text, lang, toxic in rows[:1300]:
+        if zlib.crc32(str(i).encode()) % 4 != 2 and i not in own:
+            expected[lang, toxic] += 1
+    found = Counter()
+    for r in toxicity.score_counts(docs, labels, fitted, model).collect():
+        found[r["lang"], r["is_toxic"]] += r["n"]
+    assert 200 < len(own) <= 300 and found == expected and sum(found.values()) > 600
+
+
+def test_one_clean_score_does_not_set_a_threshold():
+    """300 clean texts, one of them far up, and toxic ones all below it: recall stays."""
+    toxic = [("de", 1, 400 + 10 * i, 2) for i in range(40)]
+    one_far_up = [("de", 0, 5, 299), ("de", 0, 960, 1)]
+    least = toxicity._thresholds([*toxic, *one_far_up])["de"] * toxicity.SCORE_STEPS
+    assert sum(n for _, _, step, n in toxic if step >= least) >= 0.95 * 80
+    many = [("de", 0, 5, 270), ("de", 0, 960, 30)]  # a tenth of the clean ones is too much for that
+    assert toxicity._thresholds([*toxic, *many])["de"] * toxicity.SCORE_STEPS > 960
+
+
+def test_recall_of_the_toxicity_stage(spark):
+    """Clean texts of one language now and then hold a toxic word; its toxic texts are found all the same."""
+    rng = random.Random(15)
+    rows = toxic_sample(rng, 3000)
+    rows = [
+        (i, f"{t} {rng.choice(INSULTS)}" if la == "de" and not b and rng.random() < 0.004 else t, la, b)
+        for i, t, la, b in rows
+    ]
+    docs = spark.createDataFrame(
+        [(i, t, la, "s", len(t)) for i, t, la, _ in rows], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    labels = spark.createDataFrame([(i, b) for i, _, _, b in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    gone = {r["doc_id"] for r in toxicity.score_documents(docs, model).filter("toxic").collect()}
+    for lang in ("en", "de"):
+        held = [(i, b) for i, _, la, b in rows if la == lang and zlib.crc32(str(i).encode()) % 4 == 2]
+        assert sum(i in gone for i, b in held if b) >= 0.95 * sum(b for _, b in held)
+        assert sum(i in gone for i, b in held if not b) <= 0.02 * sum(not b for _, b in held)
+
+
 def test_toxicity_of_odd_rows(spark, odd, odd_rows, nothing):
     labels = spark.createDataFrame([(1, 0), (1, 1), (2, None), (None, 1), (7, 0), (100, 1), (101, 0)], "doc_id long, toxic int")
     scored = toxicity.score_documents(odd, toxicity.train(odd, labels))
