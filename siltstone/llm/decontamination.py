@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -21,13 +22,29 @@ BITS = 64
 BLOCK_ITEMS = 20_000
 _BYTES = BITS // 8
 _ONES = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
-# Words: runs of ASCII letters and digits and of characters beyond ASCII, A-Z in lower case.
+# What ASCII texts are cut by: letters and digits are left.
 _WORDS = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
+
+
+class _Letters(dict):
+    """For str.translate: a blank for every character that is no Unicode letter, mark or digit, found once each."""
+
+    def __missing__(self, code: int) -> int:
+        self[code] = found = code if unicodedata.category(chr(code))[0] in "LMN" else 0x20
+        return found
+
+
+_LETTERS = _Letters()
 LEAKS = "array<struct<item_id:bigint,start:bigint,n_words:bigint,similarity:double>>"
 
 
 def word_hashes(text: str) -> np.ndarray:
-    return hashed(text.encode("utf-8", "replace").lower().translate(_WORDS).split())
+    """A hash per word: runs of Unicode letters, marks and digits, without case and in composed form."""
+    if text.isascii():
+        return hashed(text.encode().lower().translate(_WORDS).split())
+    # Folded, not lowered: the capitals of a sharp s are SS.
+    plain = unicodedata.normalize("NFC", unicodedata.normalize("NFC", text).casefold())
+    return hashed([w.encode("utf-8", "replace") for w in plain.translate(_LETTERS).split()])
 
 
 def radius(similarity: float) -> int:
@@ -191,8 +208,8 @@ def with_leaks(docs: DataFrame, items: DataFrame, words: int = 5, similarity: fl
     """``docs`` with ``leaks``: per item found in the text its best window (item_id, start, n_words, similarity).
 
     An item is found if a window of as many words has a weighted similarity (Jaccard over counted
-    shingles of ``words`` words, or of the whole item where it is shorter) of at least ``similarity``. Words are compared without case and
-    punctuation. Windows that share no shingle with an item of their size have similarity 0 and get no
+    shingles of ``words`` words, or of the whole item where it is shorter) of at least ``similarity``. Words are runs of
+    Unicode letters, marks and digits, compared case-folded and in composed form. Windows that share no shingle with an item of their size have similarity 0 and get no
     fingerprint; of the others all do, and all within the radius are compared exactly.
 
     Items are the query set: they are indexed a block at a time, and each block is sent to the

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -232,6 +233,39 @@ def test_many_items_take_several_passes(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in rows.selectExpr("doc_id", "inline(leaks)").collect()} == {(i, i) for i in range(8)}
 
 
+def plain_words(text):
+    """Words one character at a time, by what Unicode says of each."""
+    words, own = [], ""
+    for c in unicodedata.normalize("NFC", unicodedata.normalize("NFC", text).casefold()) + " ":
+        if unicodedata.category(c)[0] in "LMN":
+            own += c
+        elif own:
+            words.append(own)
+            own = ""
+    return words
+
+
+def test_items_in_other_case_and_punctuation_beyond_ascii(spark):
+    item = "été à Genève où l’élève naïf répète « déjà vu » près du château – übermäßig große Straßen führen über Köln nach Zürich"
+    other = "the quick brown fox jumps over a lazy dog while eleven pipers pipe"
+    texts = [
+        item,
+        item.upper(),
+        unicodedata.normalize("NFD", item.title()),
+        item.replace(" – ", "—").replace("« ", "“").replace(" »", "”"),
+        "…" + "‘".join(item.split()) + "…",
+        other.replace(" ", " – "),
+        "„" + other.upper() + "“",
+    ]
+    frame = spark.createDataFrame([(i, f"Zuvor — {t} ¿danach?") for i, t in enumerate(texts)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
+    rows = with_leaks(frame, items).selectExpr("doc_id", "inline(leaks)").collect()
+    found = {(r["doc_id"], r["item_id"]): (r["similarity"], r["start"], r["n_words"]) for r in rows}
+    assert found == {
+        (i, 1 if i < 5 else 2): (1.0, 1, len(plain_words(item if i < 5 else other))) for i in range(len(texts))
+    }
+
+
 INSULTS = ["blorgface", "snarkwad", "grumblenit"]
 
 
