@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.common import kept, table
 from siltstone.llm.decontamination import with_leaks
-from siltstone.llm.near_dups import near_duplicates
+from siltstone.llm.near_dups import near_rows, with_vertex
 from siltstone.llm.repeats import remove_repeats
 from siltstone.llm.sentencepieces import encode_documents
 from siltstone.llm.toxicity import score_documents, train
@@ -32,10 +32,12 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     """The document with the smallest id of each group stays, and one row of rows that repeat it.
 
     Groups are linked by a similarity of 0.8 over five-word shingles. Documents without words or id are in no group.
+    Of rows that share an id only those go whose own text is in a group of a smaller id.
     """
-    dropped = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    rest = docs.select(COLUMNS).join(kept(dropped, "dropped-ids"), "doc_id", "left_anti")
-    return rest.dropDuplicates(["doc_id", "text"]).select(COLUMNS)
+    dropped = near_rows(docs).filter(~F.col("kept")).select("doc_id", "vertex").distinct()
+    rest = with_vertex(docs.select(COLUMNS)).join(kept(dropped, "dropped-rows"), ["doc_id", "vertex"], "left_anti")
+    # The vertex follows from the text; with it, rows need not be shuffled again after the join.
+    return rest.dropDuplicates(["doc_id", "vertex", "text"]).select(COLUMNS)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -134,6 +135,18 @@ def signatures(docs: DataFrame, plan: Plan) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def with_vertex(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
+    """``docs`` with ``vertex``, the digest of a row's set that ``near_rows`` gives; no set, no vertex."""
+
+    @F.pandas_udf("long")
+    def vertex(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            found = (shingle_set(t, plan.words) for t in texts)
+            yield pd.Series([_vertex(f) if len(f) else None for f in found], dtype="Int64")
+
+    return docs.withColumn("vertex", vertex(whole_text(docs)))
+
+
 def _sets(docs: DataFrame, ids: DataFrame, plan: Plan) -> DataFrame:
     """(vertex, size, parity, shingles) of the documents with these ids; ``parity`` folds the whole set."""
 
@@ -242,6 +255,14 @@ def _own_shingles(sets: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
+    The rows of ``near_rows`` without their vertex.
+    """
+    return near_rows(docs, plan).drop("vertex")
+
+
+def near_rows(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
+    """Per row of ``docs``: doc_id, vertex (a digest of its set), n_shingles, component_id, kept.
+
     Texts are linked if the similarity (Jaccard) of their shingle sets is at least ``plan.percent``; a
     component is what links reach, named by its smallest doc_id, and that document is kept. NULL
     texts and texts without words have no set and are components of their own, as are rows without
@@ -324,6 +345,7 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     by_vertex = kept(by_vertex, "near-components")
     return rows.join(by_vertex, "vertex", "left").select(
         "doc_id",
+        "vertex",
         "n_shingles",
         F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"),

@@ -405,6 +405,17 @@ def test_pipeline_stage_by_stage(spark):
     assert sorted(map(str, corpus_pipeline.run(spark, SF).collect())) == sorted(map(str, last.collect()))
 
 
+def test_only_the_copy_goes_of_rows_that_share_an_id(spark):
+    rng = random.Random(21)
+    first, clean = prose(rng, 80), prose(rng, 80)
+    rows = [(1, first), (5, first + " more"), (5, clean), (5, clean), (5, ""), (6, prose(rng, 80))]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    left = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in left) == sorted([rows[0], rows[2], rows[4], rows[5]])
+
+
 def test_pipeline_on_odd_rows(spark, odd, nothing):
     frame = odd.select(corpus_pipeline.COLUMNS)
     for docs in (frame, nothing.select(corpus_pipeline.COLUMNS)):
