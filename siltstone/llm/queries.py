@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.common import table
 from siltstone.llm.decontamination import with_leaks
+from siltstone.llm.exact_dups import exact_duplicates
 from siltstone.llm.license_scan import scan_licenses
+from siltstone.llm.merkle import manifest
 from siltstone.llm.near_dups import Plan, near_duplicates
 from siltstone.llm.quality import judge
 from siltstone.llm.repeats import remove_repeats
@@ -202,3 +204,102 @@ FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
 def op10_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents, over shingles of two words."""
     return near_duplicates(table(spark, sf_dir, "documents"), Plan(words=2))
+
+
+ORACLES["op12_quotient_filters"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
+
+
+@query
+def op12_quotient_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact copies among all documents."""
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+# Checksums are spelled out: DuckDB has no crc32.
+CRC32_TABLE = """
+crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
+                          i::BIGINT) ORDER BY i) AS t
+  FROM range(256) r(i))"""
+
+
+def crc32_sql(text: str) -> str:
+    """SQL for the unsigned crc32 of a text; the row must hold ``t`` of ``crc_table``."""
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2*i+1, 2))::BIGINT)"
+    step = "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce({octets}, {step}, 4294967295::BIGINT), 4294967295)"
+
+
+def _merkle_sql(levels: int = 24, languages: int = 8) -> str:
+    """All levels one after the other; a tree that is down to one node keeps it."""
+
+    def climb(name: str, key: str, n: int) -> list[str]:
+        return [
+            f"""{name}{i + 1} AS MATERIALIZED (
+  SELECT {key}, p // 2 AS p, CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY p)) END AS h,
+         (any_value(n) + 1) // 2 AS n
+  FROM {name}{i} GROUP BY {key}, p // 2)"""
+            for i in range(n)
+        ]
+
+    def walk(name: str, key: str, n: int, start: str, out: str) -> list[str]:
+        """Fold and collect siblings level by level; q is the place of the row's node."""
+        parts, before = [], start
+        for i in range(n):
+            parts.append(
+                f"""{out}{i} AS MATERIALIZED (
+  SELECT w.* REPLACE (w.q // 2 AS q, w.proof || coalesce(s.h, '') AS proof,
+         CASE WHEN m.n = 1 THEN w.f WHEN s.h IS NULL THEN sha256(w.f)
+              WHEN w.q % 2 = 0 THEN sha256(w.f || s.h) ELSE sha256(s.h || w.f) END AS f)
+  FROM {before} w JOIN {name}{i} m ON m.{key} = w.{key} AND m.p = w.q
+  LEFT JOIN {name}{i} s ON s.{key} = w.{key} AND s.p = xor(w.q, 1))"""
+            )
+            before = f"{out}{i}"
+        return parts
+
+    def stated(value: str) -> str:
+        return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}::VARCHAR, '-')"
+
+    def leaf(n_chars: str) -> str:
+        return "sha256(" + " || ".join(map(stated, ["doc_id", "source", "lang", n_chars, "text"])) + ")"
+
+    ctes = [
+        CRC32_TABLE,
+        f"""leaves AS MATERIALIZED (
+  SELECT doc_id, coalesce('=' || lang, '') AS la, {leaf("n_chars")} AS leaf,
+         CASE WHEN {crc32_sql("doc_id::VARCHAR")} % 7 = 0 THEN {leaf("(n_chars + 1)")} ELSE {leaf("n_chars")} END AS seen
+  FROM documents, crc_table)""",
+        """t0 AS MATERIALIZED (
+  SELECT *, leaf AS h, row_number() OVER (PARTITION BY la ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY la) AS n
+  FROM leaves)""",
+        *climb("t", "la", levels),
+        f"u0 AS MATERIALIZED (SELECT 0 AS k, la, h, row_number() OVER (ORDER BY encode(la)) - 1 AS p, count(*) OVER () AS n FROM t{levels})",
+        *climb("u", "k", languages),
+        "w AS (SELECT doc_id, la, leaf, p AS q, '' AS proof, seen AS f FROM t0)",
+        *walk("t", "la", levels, "w", "w"),
+        f"x AS (SELECT w.* REPLACE (u0.p AS q), 0 AS k, u0.h AS subroot FROM w{levels - 1} w JOIN u0 USING (la))",
+        *walk("u", "k", languages, "x", "x"),
+    ]
+    return (
+        "WITH "
+        + ",\n".join(ctes)
+        + f"""
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = r.h AS verified
+FROM x{languages - 1} JOIN u{languages} r USING (k)"""
+    )
+
+
+#: Enough levels for 16 million rows a language and 256 languages.
+ORACLES["op13_subtree_exchange"] = _merkle_sql()
+
+
+@query
+def op13_subtree_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, checked against rows of which every seventh was tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    # Every seventh row by its id's checksum; never a row without id.
+    tampered = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 7 == 0
+    return manifest(docs, {"n_chars": F.when(tampered, docs["n_chars"] + 1).otherwise(docs["n_chars"])})

@@ -13,7 +13,8 @@ duckdb = pytest.importorskip("duckdb")
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for name_of_table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name_of_table} AS SELECT * FROM '{SF}/{name_of_table}.parquet'")
     expected = con.sql(queries.ORACLES[name])
     columns = expected.columns
     rows = queries.QUERIES[name](spark, SF).select(*columns).collect()
