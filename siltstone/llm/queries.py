@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from siltstone.llm.common import table
 from siltstone.llm.decontamination import with_leaks
 from siltstone.llm.exact_dups import exact_duplicates
+from siltstone.llm.importance import resample
 from siltstone.llm.license_scan import scan_licenses
 from siltstone.llm.merkle import manifest
 from siltstone.llm.near_dups import Plan, near_duplicates
@@ -206,18 +207,6 @@ def op10_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Plan(words=2))
 
 
-ORACLES["op12_quotient_filters"] = """
-SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
-FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
-
-
-@query
-def op12_quotient_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact copies among all documents."""
-    return exact_duplicates(table(spark, sf_dir, "documents"))
-
-
 # Checksums are spelled out: DuckDB has no crc32.
 CRC32_TABLE = """
 crc_table AS (
@@ -233,6 +222,59 @@ def crc32_sql(text: str) -> str:
     return f"xor(list_reduce({octets}, {step}, 4294967295::BIGINT), 4294967295)"
 
 
+ORACLES["op11_regular_sampling"] = rf"""
+WITH {CRC32_TABLE},
+own AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+wanted AS (
+  SELECT regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark),
+own_words AS (SELECT r, unnest(ws) AS w FROM own),
+wanted_words AS (SELECT unnest(ws) AS w FROM wanted),
+words AS (SELECT DISTINCT w FROM (SELECT w FROM own_words UNION ALL SELECT w FROM wanted_words)),
+buckets AS MATERIALIZED (SELECT w, {crc32_sql("w")} % 10000 AS b FROM words, crc_table),
+s AS (SELECT b, count(*) AS n FROM own_words JOIN buckets USING (w) GROUP BY b),
+t AS (SELECT b, count(*) AS n FROM wanted_words JOIN buckets USING (w) GROUP BY b),
+totals AS (SELECT (SELECT coalesce(sum(n), 0) FROM s)::BIGINT AS s_all, (SELECT coalesce(sum(n), 0) FROM t)::BIGINT AS t_all),
+gains AS (
+  SELECT b, floor(1000 * ln(((coalesce(t.n, 0) + 1) * (s_all + 10000))::DOUBLE / ((s.n + 1) * (t_all + 10000))))::BIGINT AS g
+  FROM s LEFT JOIN t USING (b), totals),
+weights AS (
+  SELECT r, floor(sum(g)::DOUBLE / count(*))::BIGINT AS weight FROM own_words JOIN buckets USING (w) JOIN gains USING (b) GROUP BY r),
+scored AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT
+           AS score
+  FROM own LEFT JOIN weights USING (r)),
+places AS (
+  SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place
+  FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= (SELECT count(*) * 10 // 100 FROM scored WHERE n_features >= 20) THEN place END AS rank
+FROM places"""
+
+
+@query
+def op11_regular_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of all documents, drawn towards the benchmark's words, in the order of their scores."""
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_quotient_filters"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
+
+
+@query
+def op12_quotient_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact copies among all documents."""
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 def _merkle_sql(levels: int = 24, languages: int = 8) -> str:
     """All levels one after the other; a tree that is down to one node keeps it."""
 
