@@ -128,17 +128,32 @@ def without_keys(source: DataFrame, seen: DataFrame, keys: Sequence[str]) -> Dat
     return left.join(right.select(*names), names, "left_anti").drop(*names)
 
 
+_HASH = "__hash"
+
+
+def _found(held: DataFrame, source: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows of ``held`` whose key the source holds, dealt anew by the key when they are joined next.
+
+    The source's keys are made distinct in the map tasks, so a hot one costs a row per task, and a small
+    set of them is broadcast: a big target is not shuffled then. The hash beside the key keeps the result from
+    counting as dealt by the key. What joins it next gets a plain shuffle on both sides, and only
+    there run-time skew handling splits a hot key.
+    """
+    hashed = F.xxhash64(*names)
+    wanted = members(source.select(*names, hashed.alias(_HASH)), [_HASH, *names])
+    return held.withColumn(_HASH, hashed).join(wanted, [_HASH, *names], "left_semi").drop(_HASH)
+
+
 def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key is absent from the target; a NULL key equals a NULL key.
 
-    All steps share one partitioning by the key. The target is expected to hold
+    The keys that both sides hold are found first, then the source is joined with them only. A
+    source key that a third of the rows share is split among tasks. The target is expected to hold
     each key about once, as a dimension does; ``merge`` also takes on hot ones.
     """
     left, names = with_null_safe_keys(source, keys)
     held, _ = with_null_safe_keys(target.select(*keys), keys)
-    wanted = members(left, names)
-    seen = members(held.select(*names).join(wanted, names, "left_semi"), names)
-    return left.join(seen, names, "left_anti").drop(*names)
+    return left.join(_found(held.select(*names), left, names), names, "left_anti").drop(*names)
 
 
 def classify_changes(
@@ -152,12 +167,12 @@ def classify_changes(
 
     The target's attributes come along as ``<name>_Sink`` and its ``carry``
     columns under their own names, NULL for new rows. The target is reduced to
-    the keys at hand first, so a small source never shuffles a big target. The
-    source is expected to hold each key about once, as members do.
+    the keys at hand first, so a small source never shuffles a big target. A source key that many
+    rows share is split among tasks; the target holds each key once.
     """
     tagged, names = with_null_safe_keys(source.select(*keys, *attrs), keys)
     held, _ = with_null_safe_keys(target.select(*keys, *attrs, *carry), keys)
-    found = held.join(tagged.select(*names), names, "left_semi").select(
+    found = _found(held, tagged, names).select(
         *names,
         *(F.col(a).alias(f"{a}_Sink") for a in attrs),
         *carry,

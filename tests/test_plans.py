@@ -26,11 +26,13 @@ from siltstone.session import staged
 @contextlib.contextmanager
 def conf(spark, **settings):
     old = {k: spark.conf.get(k) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    yield
-    for k, v in old.items():
-        spark.conf.set(k, v)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 @pytest.fixture
@@ -84,8 +86,30 @@ def test_no_operator_uses_a_cross_or_nested_loop_join(spark, wh, no_broadcast):
 def test_each_input_of_a_change_check_is_shuffled_once(spark, wh, no_broadcast):
     source, target = stored(spark, hot(spark, 1000), wh, "s"), stored(spark, hot(spark, 1000), wh, "t")
     for df in (new_rows(source, target, ["k"]), classify_changes(source, target, ["k"], ["v"])):
-        # the target, the source, and the source's keys
-        assert plan(df).count("Exchange hashpartitioning") == 3
+        # the target, the source's keys, the rows found, and the source
+        assert plan(df).count("Exchange hashpartitioning") == 4
+
+
+def test_a_hot_source_key_is_split_in_a_change_check(spark, wh, no_broadcast):
+    source = stored(spark, hot(spark), wh, "s")
+    target = stored(spark, spark.range(-1, 30_000).select(F.col("id").alias("k"), F.lit(5).alias("v")), wh, "t")
+    fresh, changes = new_rows(source, target, ["k"]), classify_changes(source, target, ["k"], ["v"])
+    for df in (fresh, changes):
+        text = ran(df)
+        assert "skew=true" in text
+        # A hot key leaves a map task once where keys are looked up.
+        assert "HashAggregate(keys=[__hash" in text
+    assert fresh.count() == sum(1 for i in range(30_000, 60_000) if i % 3)
+    assert changes.filter("Dataset_Filtering = 'New Record'").count() == fresh.count()
+
+
+def test_a_small_source_does_not_shuffle_the_target_of_a_change_check(spark, wh):
+    target = stored(spark, hot(spark, 1000), wh, "t")
+    source = spark.createDataFrame([(-1, 5)], "k bigint, v bigint")
+    for df in (new_rows(source, target, ["k"]), classify_changes(source, target, ["k"], ["v"])):
+        text = ran(df)
+        scan = text[: text.index("FileScan")].splitlines()
+        assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text.split("Initial Plan")[0], scan
 
 
 def test_a_hot_fact_key_is_split_in_a_lookup(spark, wh, no_broadcast):
