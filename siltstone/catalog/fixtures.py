@@ -135,3 +135,24 @@ def order_lines(spark: SparkSession, sf: str) -> DataFrame:
             "l_returnflag",
         )
     )
+
+
+# Lines of an order feed of which four fifths are flawed: short, a key too wide for an int, no number, a field too many.
+FLAWED_SQL = """
+feed AS (
+  SELECT *, CAST(o_orderkey % 5 AS INTEGER) AS flaw,
+         CASE WHEN o_orderkey % 5 = 2 THEN o_orderkey * 10000000000 ELSE o_orderkey END AS sent_key
+  FROM orders)"""
+
+
+def flawed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as lines of text: key, customer, status and price, with the flaws of ``FLAWED_SQL``."""
+    flaw = F.col("o_orderkey") % 5
+    key = F.when(flaw == 2, F.col("o_orderkey") * 10_000_000_000).otherwise(F.col("o_orderkey")).cast("string")
+    price = F.when(flaw == 1, None).when(flaw == 3, "n/a").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    surplus = F.when(flaw == 4, "surplus")
+    fields = [key, F.col("o_custkey").cast("string"), F.col("o_orderstatus"), price, surplus]
+    return table(spark, sf, "orders").select(F.concat_ws(",", *fields).alias("value"))
+
+
+FLAWED_SCHEMA = "o_orderkey int, o_custkey int, o_orderstatus string, o_totalprice double"

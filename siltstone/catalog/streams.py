@@ -4,14 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.catalog import query
-from siltstone.catalog.fixtures import BATCH_TS, customer_bronze, table, warehouse
+from siltstone.catalog.fixtures import (
+    BATCH_TS,
+    FLAWED_SCHEMA,
+    FLAWED_SQL,
+    customer_bronze,
+    flawed_lines,
+    table,
+    warehouse,
+)
 from siltstone.functions.columns import conform
 from siltstone.plans.orders import gold_segment_counts
 from siltstone.session import new_folder
 from siltstone.streaming.streams import (
     order_feed_schema,
+    rejects,
     stream_bronze,
     stream_table,
     stream_upsert,
@@ -54,6 +64,41 @@ def stream_segment_counts(spark: SparkSession, sf: str) -> DataFrame:
     return gold.drop("insert_timestamp")
 
 
+@query(f"""
+WITH {FLAWED_SQL},
+late AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS sent_key, CAST(o_custkey AS INTEGER) AS customer_id_o, o_totalprice, NULL AS reject_reason
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')
+SELECT CAST(sent_key AS VARCHAR) AS sent_key, CASE WHEN flaw < 2 THEN CAST(o_custkey AS INTEGER) END AS customer_id_o,
+       CASE WHEN flaw = 0 THEN o_totalprice END AS o_totalprice,
+       CASE flaw WHEN 2 THEN 'o_orderkey is no int' WHEN 3 THEN 'o_totalprice is no double'
+                 WHEN 4 THEN 'more fields than columns' END AS reject_reason
+FROM feed UNION ALL SELECT * FROM late""")
+def stream_routed(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with flaws and a table, streamed into one table, and the rejects of the files beside it."""
+    folder = new_folder(spark, "stream")
+    late = F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    orders.filter(late).drop("o_orderdate").write.parquet(f"{folder}/table")
+    flawed_lines(spark, sf).write.text(f"{folder}/files")
+    schema = T.StructType.fromDDL(FLAWED_SCHEMA)
+    for _ in range(2):  # the second run finds no new file
+        union = stream_bronze(
+            spark, f"{folder}/files", f"{folder}/table", orders.drop("o_orderdate").schema, f"{folder}/lake",
+            schema=schema, header=False,
+        )
+    bad = rejects(spark, f"{folder}/lake/orders_files_bronze", union.schema)
+    return union.select(
+        F.col("o_orderkey").cast("string").alias("sent_key"), "customer_id_o", "o_totalprice",
+        F.lit(None).cast("string").alias("reject_reason"),
+    ).unionByName(
+        bad.select(
+            F.split("reject_record", ",")[0].alias("sent_key"), F.lit(None).cast("int").alias("customer_id_o"),
+            F.lit(None).cast("double").alias("o_totalprice"), "reject_reason",
+        )
+    )
+
+
 @query("""
 SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey

@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.catalog import query
-from siltstone.catalog.fixtures import BATCH_TS, ORDER_LINES_SQL, order_lines, table, warehouse
+from siltstone.catalog.fixtures import (
+    BATCH_TS,
+    FLAWED_SCHEMA,
+    FLAWED_SQL,
+    ORDER_LINES_SQL,
+    flawed_lines,
+    order_lines,
+    table,
+    warehouse,
+)
 from siltstone.operators.rows import union_all
 from siltstone.plans.dimensions import date_dimension_schema, date_rows
 from siltstone.plans.orders import cleanse_orders, order_line_schema
@@ -16,6 +25,7 @@ from siltstone.sources.files import (
     read_delimited,
     read_path_as_table,
     read_since,
+    route_csv,
     write_bronze,
 )
 
@@ -136,6 +146,40 @@ def csv_cleansed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(f"""
+WITH {FLAWED_SQL}
+SELECT CAST(sent_key AS VARCHAR) AS sent_key, CAST(o_custkey AS VARCHAR) AS sent_customer,
+       CASE WHEN flaw IN (0, 1) THEN CAST(o_orderkey AS INTEGER) END AS o_orderkey,
+       CASE WHEN flaw = 0 THEN o_totalprice END AS o_totalprice,
+       CASE flaw WHEN 2 THEN 'o_orderkey is no int' WHEN 3 THEN 'o_totalprice is no double'
+                 WHEN 4 THEN 'more fields than columns' END AS reject_reason
+FROM feed""")
+def csv_routed(spark: SparkSession, sf: str) -> DataFrame:
+    """A feed with flaws, its good rows and its rejects side by side; short rows are good ones."""
+    folder = new_folder(spark, "flawed")
+    flawed_lines(spark, sf).write.text(folder)
+    good, rejects = route_csv(spark, folder, FLAWED_SCHEMA, header=False)
+    sent = F.split("reject_record", ",")
+    return union_all(
+        [
+            good.select(
+                F.col("o_orderkey").cast("string").alias("sent_key"),
+                F.col("o_custkey").cast("string").alias("sent_customer"),
+                "o_orderkey",
+                "o_totalprice",
+                F.lit(None).cast("string").alias("reject_reason"),
+            ),
+            rejects.select(
+                sent[0].alias("sent_key"),
+                sent[1].alias("sent_customer"),
+                F.lit(None).cast("int").alias("o_orderkey"),
+                F.lit(None).cast("double").alias("o_totalprice"),
+                "reject_reason",
+            ),
+        ]
+    )
+
+
 @query("""
 SELECT CAST(event_id AS INTEGER) AS id, event_type AS kind, props AS properties,
        TRY_CAST(event_type AS INTEGER) AS not_a_number FROM events""")

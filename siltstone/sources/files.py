@@ -19,9 +19,69 @@ def read_path_as_table(spark: SparkSession, path: str, fmt: str = "parquet") ->
     return spark.sql(f"SELECT * FROM {fmt}.`{quoted}`")
 
 
-def read_csv(spark: SparkSession, glob: str, schema: T.StructType) -> DataFrame:
-    """CSV drop zone with a header and a declared schema; a value that does not fit it fails the read."""
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(glob)
+#: Columns that a checked CSV scan adds: what is wrong with a row (NULL: nothing), and the fields of a row that is wrong.
+REASON, RECORD = "reject_reason", "reject_record"
+_SURPLUS = "__surplus"
+
+
+def text_schema(schema: T.StructType) -> T.StructType:
+    """All declared columns as text, and one more that only a row with too many fields fills."""
+    return T.StructType([T.StructField(name, T.StringType()) for name in [*schema.names, _SURPLUS]])
+
+
+def checked_csv(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows read with ``text_schema`` in their declared types, with ``REASON`` and ``RECORD``.
+
+    A row that ends early has NULLs in the columns it lacks, and an empty field is a NULL. A value that does not fit
+    its type and a field too many are reasons to reject the row; ``RECORD`` keeps all its
+    fields as text, so nothing is lost.
+    """
+    typed, reasons = [], [F.when(F.col(_SURPLUS).isNotNull(), F.lit("more fields than columns"))]
+    for field in schema.fields:
+        text = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.StringType):
+            typed.append(text)
+            continue
+        value = text.try_cast(field.dataType)
+        typed.append(value.alias(field.name))
+        fits = value.isNotNull() | text.isNull() | (text == "")
+        reasons.append(F.when(~fits, F.lit(f"{field.name} is no {field.dataType.simpleString()}")))
+    reason = F.nullif(F.concat_ws("; ", *reasons), F.lit(""))
+    record = F.when(reason.isNotNull(), F.to_csv(F.struct(*(F.col(f"`{c}`") for c in raw.columns))))
+    return raw.select(*typed, reason.alias(REASON), record.alias(RECORD))
+
+
+def without_rejects(checked: DataFrame) -> DataFrame:
+    """The rows of a checked scan, failing where one was to be rejected."""
+    told = F.concat_ws(": ", F.lit("MALFORMED row"), F.col(REASON), F.col(RECORD))
+    whole = F.when(F.col(REASON).isNotNull(), F.raise_error(told).cast("boolean")).otherwise(True)
+    return checked.filter(whole).drop(REASON, RECORD)
+
+
+def _declared(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def _scan_csv(spark: SparkSession, glob: str, schema: T.StructType, header: bool) -> DataFrame:
+    return checked_csv(spark.read.schema(text_schema(schema)).option("header", header).csv(glob), schema)
+
+
+def read_csv(spark: SparkSession, glob: str, schema: T.StructType | str, header: bool = True) -> DataFrame:
+    """CSV drop zone with a declared schema; short rows are filled up, a row to be rejected fails the read."""
+    return without_rejects(_scan_csv(spark, glob, _declared(schema), header))
+
+
+def route_csv(
+    spark: SparkSession, glob: str, schema: T.StructType | str, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """The good rows of a CSV drop zone in their declared types, and its rejects.
+
+    Rejects have the file, the reason and the record. Both read the files by themselves, each all of them.
+    """
+    checked = _scan_csv(spark, glob, _declared(schema), header)
+    good = checked.filter(F.col(REASON).isNull()).drop(REASON, RECORD)
+    rejects = with_source_file(checked, "source_file").filter(F.col(REASON).isNotNull())
+    return good, rejects.select("source_file", REASON, RECORD)
 
 
 def read_delimited(

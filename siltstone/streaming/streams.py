@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from siltstone.functions.columns import conform
 from siltstone.operators.merge import merge
 from siltstone.operators.rows import dedupe, rename, union_all
+from siltstone.sources.files import REASON, RECORD, checked_csv, text_schema, without_rejects
 from siltstone.sources.warehouse import Warehouse
 
 
@@ -36,21 +37,30 @@ def order_feed_schema() -> T.StructType:
 
 
 def _stream(
-    spark: SparkSession, folder: str, schema: T.StructType, fmt: str, files_per_batch: int | None
+    spark: SparkSession, folder: str, schema: T.StructType, fmt: str, files_per_batch: int | None, **options: object
 ) -> DataFrame:
-    reader = spark.readStream.format(fmt).schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("mode", "FAILFAST")
+    reader = spark.readStream.format(fmt).schema(schema).options(**options)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(folder)
 
 
+def stream_checked_csv(
+    spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None, header: bool = True
+) -> DataFrame:
+    """CSV files, each taken up once, in the declared types; ``reject_reason`` and ``reject_record`` tell bad rows.
+
+    Short rows are filled up with NULLs.
+    """
+    raw = _stream(spark, folder, text_schema(schema), "csv", files_per_batch, header=header)
+    return checked_csv(raw, schema)
+
+
 def stream_csv(
-    spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None
+    spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None, header: bool = True
 ) -> DataFrame:
-    """CSV files with a header, each taken up once; a value that does not fit the fixed schema fails the stream."""
-    return _stream(spark, folder, schema, "csv", files_per_batch)
+    """CSV files, each taken up once; short rows are filled up, a row to be rejected fails the stream."""
+    return without_rejects(stream_checked_csv(spark, folder, schema, files_per_batch, header))
 
 
 def stream_table(
@@ -84,6 +94,35 @@ def append_flows(streams: Sequence[DataFrame], folder: str, checkpoint: str) ->
     stream_to_table(union_all(streams), folder, checkpoint)
 
 
+REJECTED = "rejected"  # partition of a routed table: false for good rows, true for rejects
+
+
+def route_stream(checked: DataFrame, folder: str, checkpoint: str) -> None:
+    """Append good rows and rejects of a checked stream to one table, in a partition each.
+
+    One query writes both, so a row is in exactly one of them, exactly once.
+    """
+    routed = checked.withColumn(REJECTED, F.col(REASON).isNotNull())
+    stream_to_table(routed, folder, checkpoint, [REJECTED])
+
+
+def _routed_schema(schema: T.StructType) -> T.StructType:
+    told = [T.StructField(c, T.StringType()) for c in (REASON, RECORD)]
+    return T.StructType([*schema.fields, *told, T.StructField(REJECTED, T.BooleanType())])
+
+
+def stream_routed(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """Good rows appended to a routed table."""
+    rows = stream_table(spark, folder, _routed_schema(schema))
+    return rows.filter(~F.col(REJECTED)).select(*schema.names)
+
+
+def rejects(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """(reject_reason, reject_record) of a routed table; only its rejects are scanned."""
+    rows = spark.read.schema(_routed_schema(schema)).parquet(folder)
+    return rows.filter(REJECTED).select(REASON, RECORD)
+
+
 def stream_bronze(
     spark: SparkSession,
     file_folder: str,
@@ -92,17 +131,20 @@ def stream_bronze(
     lake: str,
     names: Mapping[str, str] | None = None,
     schema: T.StructType | None = None,
+    header: bool = True,
 ) -> DataFrame:
     """Order files and an order table, each into its bronze table, and both into one union table.
 
-    Both sides are brought to the declared schema before the union.
+    Both sides are brought to the declared schema before the union. Rows of the files that do not fit it
+    stay in the rejects of the files' bronze table, ``orders_files_bronze``, and do not stop the others.
     """
     schema = schema or order_feed_schema()
     names = names or {"o_custkey": "customer_id_o"}
     checkpoints = f"{lake}/checkpoints"
 
-    files = rename(stream_csv(spark, file_folder, schema), names)
-    stream_to_table(files, f"{lake}/orders_files_bronze", f"{checkpoints}/orders_files_bronze")
+    files = rename(stream_checked_csv(spark, file_folder, schema, header=header), names)
+    files_schema = T.StructType([f for f in files.schema if f.name not in (REASON, RECORD)])
+    route_stream(files, f"{lake}/orders_files_bronze", f"{checkpoints}/orders_files_bronze")
 
     table = rename(conform(stream_table(spark, table_folder, table_schema), schema), names)
     stream_to_table(table, f"{lake}/orders_bronze", f"{checkpoints}/orders_bronze")
@@ -110,12 +152,12 @@ def stream_bronze(
     append_flows(
         [
             stream_table(spark, f"{lake}/orders_bronze", table.schema),
-            stream_table(spark, f"{lake}/orders_files_bronze", files.schema),
+            stream_routed(spark, f"{lake}/orders_files_bronze", files_schema),
         ],
         f"{lake}/orders_union_bronze",
         f"{checkpoints}/orders_union_bronze",
     )
-    return spark.read.schema(files.schema).parquet(f"{lake}/orders_union_bronze")
+    return spark.read.schema(files_schema).parquet(f"{lake}/orders_union_bronze")
 
 
 def stream_upsert(

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -8,8 +9,12 @@ from siltstone.session import new_folder
 from siltstone.streaming.streams import (
     append_flows,
     order_feed_schema,
+    rejects,
+    route_stream,
     stream_bronze,
+    stream_checked_csv,
     stream_csv,
+    stream_routed,
     stream_table,
     stream_to_table,
     stream_upsert,
@@ -54,6 +59,29 @@ def test_bronze_union_has_the_declared_types_and_names(spark, frame):
     ]
 
 
+def test_rejects_stay_beside_the_good_rows(spark):
+    root = new_folder(spark, "routed")
+    good, late = ["k,v", "1,a", "2", "3,", ""], ["k,v", "3000000000,b", "4,c,d", "x,e", "5,f"]
+    for n, lines in enumerate([good, late]):
+        spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode("append").text(f"{root}/in")
+        for _ in range(2):
+            route_stream(stream_checked_csv(spark, f"{root}/in", SCHEMA, 1), f"{root}/out", f"{root}/cp")
+        stream_to_table(stream_routed(spark, f"{root}/out", SCHEMA), f"{root}/next", f"{root}/cp2")
+    assert rows(spark.read.parquet(f"{root}/next")) == [(1, "a"), (2, None), (3, None), (5, "f")]
+    assert rows(rejects(spark, f"{root}/out", SCHEMA)) == [
+        ("k is no int", "3000000000,b,"), ("k is no int", "x,e,"), ("more fields than columns", "4,c,d"),
+    ]
+    scan = rejects(spark, f"{root}/out", SCHEMA)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(rejected" in scan
+
+
+def test_a_strict_stream_stops_at_a_value_that_does_not_fit(spark):
+    root = new_folder(spark, "strict")
+    spark.createDataFrame([("k,v\n3000000000,b",)], "value string").write.text(f"{root}/in")
+    with pytest.raises(Exception, match="MALFORMED"):
+        stream_to_table(stream_csv(spark, f"{root}/in", SCHEMA), f"{root}/out", f"{root}/cp")
+
+
 def _upsert(wh, spark, root):
     return stream_upsert(
         wh, "t", stream_table(spark, f"{root}/in", SCHEMA), ["k"], [F.desc("v")], f"{root}/log", f"{root}/cp"
