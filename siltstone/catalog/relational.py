@@ -17,6 +17,7 @@ from siltstone.catalog.fixtures import (
     sales_feed,
     split_into_batches,
     table,
+    warehouse,
 )
 from siltstone.functions.columns import (
     bucketize,
@@ -44,8 +45,8 @@ from siltstone.plans.facts import Dimension, lookup_keys
 from siltstone.plans.ingest import next_watermark
 from siltstone.plans.orders import (
     counts_by_status,
-    gold_by_status,
     gold_segment_counts,
+    load_gold_by_status,
     orders_staging,
     revenue_by_year_category,
 )
@@ -77,7 +78,8 @@ SELECT 'orders_gold_aggregations_' || o_orderstatus AS gold_table, c_mktsegment,
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey
 WHERE o_orderstatus IN ('O', 'F', 'P') GROUP BY ALL""")
 def gold_tables_by_status(spark: SparkSession, sf: str) -> DataFrame:
-    tables = gold_by_status(orders_bronze(spark, sf), customer_bronze(spark, sf), "O,F,P", BATCH_TS)
+    orders, customers = orders_bronze(spark, sf), customer_bronze(spark, sf)
+    tables = load_gold_by_status(warehouse(spark), "gold.by_status", orders, customers, "O,F,P", BATCH_TS)
     return union_all(
         [t.select(F.lit(name).alias("gold_table"), "c_mktsegment", "total_orders") for name, t in tables.items()]
     )

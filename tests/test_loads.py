@@ -15,6 +15,7 @@ from siltstone.plans.orders import (
     counts_by_status,
     gold_by_status,
     gold_segment_counts,
+    load_gold_by_status,
     load_silver_orders,
     order_line_schema,
     orders_staging,
@@ -28,6 +29,7 @@ from siltstone.sources.files import (
     read_delimited,
     read_parquet,
     read_since,
+    route_csv,
     write_bronze,
     write_parquet,
 )
@@ -179,6 +181,24 @@ def test_a_status_with_a_quote_is_a_plain_value(frame):
     assert [t.count() for t in tables.values()] == [1]
 
 
+def test_all_statuses_are_counted_in_one_pass(wh, frame):
+    orders = frame([(1, 1, "O"), (2, 1, "F"), (3, 1, "O"), (4, 1, "it's"), (5, 1, "P")], ORDERS)
+    customers = frame([(1, "A")], CUSTOMERS)
+    for _ in range(2):
+        tables = load_gold_by_status(wh, "gold.status", orders, customers, "O,F,it's,X", TS, "b1")
+    assert wh.version("gold.status") == 1
+    assert {n.removeprefix("orders_gold_aggregations_"): [r[:2] for r in rows(t)] for n, t in tables.items()} == {
+        "O": [("A", 2)], "F": [("A", 1)], "it's": [("A", 1)], "X": [],
+    }
+    for table in tables.values():
+        assert table.columns == ["c_mktsegment", "total_orders", "insert_timestamp"]
+    # A gold table reads the folder of its status only, and no orders.
+    text = tables["orders_gold_aggregations_O"]._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "PartitionFilters: [isnotnull(o_orderstatus" in text
+    (name, empty), = load_gold_by_status(wh, "gold.none", orders, customers, None, TS).items()
+    assert name == "orders_gold_aggregations_NA" and empty.count() == 0
+
+
 def test_revenue_report_order(frame):
     schema = "Model_ID string, Year int, Revenue bigint, Units_Sold bigint"
     sales = frame([("B-1", 2020, 5, 2), ("A-1", 2020, 1, 1), ("B-2", 2020, 1, 3), ("A-9", 2019, 4, 4)], schema)
@@ -384,3 +404,19 @@ def test_csv_with_a_value_that_does_not_fit_fails(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id\n3000000000\n")
     with pytest.raises(Exception, match="3000000000|MALFORMED|FAILFAST"):
         read_csv(spark, str(tmp_path), "id int").collect()
+
+
+def test_flawed_rows_are_routed_and_short_ones_are_good(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,name,day\n1,"x,y",2024-01-01\n2\n3,"",\n')
+    (tmp_path / "b.csv").write_text("id,name,day\n3000000000,b,2024-01-01\n4,c,soon\nz,c,soon\n5,e,2024-01-01,more\n")
+    good, bad = route_csv(spark, str(tmp_path), "id int, name string, day date")
+    first = dt.date(2024, 1, 1)
+    assert [tuple(r) for r in good.orderBy("id").collect()] == [(1, "x,y", first), (2, None, None), (3, None, None)]
+    found = [(r[0].rsplit("/", 1)[1], *r[1:]) for r in bad.orderBy("reject_record").collect()]
+    assert found == [
+        ("b.csv", "id is no int", "3000000000,b,2024-01-01,"),
+        ("b.csv", "day is no date", "4,c,soon,"),
+        ("b.csv", "more fields than columns", "5,e,2024-01-01,more"),
+        ("b.csv", "id is no int; day is no date", "z,c,soon,"),
+    ]
+    assert read_csv(spark, str(tmp_path / "a.csv"), "id int, name string, day date").count() == 3

@@ -5,14 +5,17 @@ from __future__ import annotations
 import datetime as dt
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from siltstone.plans.ingest import Feed, create_control, extract_incremental
 from siltstone.plans.orders import order_line_schema
-from siltstone.plans.star import load_orders_star, load_sales_star
+from siltstone.plans.star import OrderTables, SalesTables, batch_of, load_orders_star, load_sales_star
 from siltstone.sources.files import read_csv, read_delimited, write_bronze, read_parquet
 
+# Fixed columns of the sales feed.
 HEADER = "Branch_ID,Dealer_ID,Model_ID,Revenue,Units_Sold,Date_ID,Day,Month,Year,BranchName,DealerName,Product_Name"
 INTS = {"Revenue": "bigint", "Units_Sold": "bigint", "Day": "int", "Month": "int", "Year": "int"}
+SALES, ORDERS = SalesTables(), OrderTables()
 MAPPING = [(c, c, INTS.get(c, "string")) for c in HEADER.split(",")]
 
 
@@ -31,11 +34,11 @@ def test_sales_from_text_to_fact(wh, spark, tmp_path):
         for _ in range(2):
             load_sales_star(wh, read_parquet(spark, lake), dt.datetime(2020, 1, n), str(n))
     assert wh.read("bronze.car_sales").count() == 4
-    assert rows(wh.read("gold.branch_dimension")) == [(1, "B1", "North End"), (2, "B2", "South"), (3, "B3", "West")]
-    assert rows(wh.read("gold.product_dimension").drop("Start_Time", "End_Time")) == [
+    assert rows(wh.read(SALES.branches)) == [(1, "B1", "North End"), (2, "B2", "South"), (3, "B3", "West")]
+    assert rows(wh.read(SALES.products).drop("Start_Time", "End_Time")) == [
         (1, "Aa-1", "Alpha"), (2, "Bb-1", "Beta"), (3, "Aa-1", "Alpha_Renamed"),
     ]
-    fact = wh.read("gold.sales_fact").select("Branch_ID", "Model_SK", "Total_Revenue", "Date_ID", "Process_Type")
+    fact = wh.read(SALES.sales).select("Branch_ID", "Model_SK", "Total_Revenue", "Date_ID", "Process_Type")
     assert rows(fact) == [
         ("B1", 1, 20, "DT00001", "Insert"),
         ("B1", 3, 30, "DT00002", "Insert"),
@@ -56,14 +59,96 @@ def test_orders_from_text_to_fact(wh, spark, frame, tmp_path):
         lines = read_csv(spark, f"{folder}/*.csv", order_line_schema())
         for _ in range(2):
             load_orders_star(wh, lines, dt.datetime(2024, 5, 1 + n), str(n))
-    assert rows(wh.read("silver.sales_silver").select("OrderNumber", "Item", "Qty", "update_status")) == [
+    assert rows(wh.read(ORDERS.lines).select("OrderNumber", "Item", "Qty", "update_status")) == [
         ("o1", "ink", 9, "updated_record"), ("o1", "pen", 1, ""), ("o2", "pad", 3, ""),
     ]
-    assert rows(wh.read("gold.customer_dim_gold")) == [
+    assert rows(wh.read(ORDERS.customers)) == [
         ("Ada L", "a", "Ada", "L", 1), ("Unknown", "b", "Unknown", None, 2),
     ]
-    assert rows(wh.read("gold.date_dim_gold").select("DateKey", "mmmyyyy")) == [(day, "May-2024")]
+    assert rows(wh.read(ORDERS.dates).select("DateKey", "mmmyyyy")) == [(day, "May-2024")]
     # Insert if absent: a line in the fact keeps the values it came with.
-    assert rows(wh.read("gold.orderfact_gold").select("CustomerID", "OrderNumber", "LineNumber", "Quantity")) == [
+    assert rows(wh.read(ORDERS.orders).select("CustomerID", "OrderNumber", "LineNumber", "Quantity")) == [
         (1, "o1", 1, 1), (1, "o1", 2, 2), (2, "o2", 1, 3),
     ]
+
+
+SALES_SCHEMA = (
+    "Branch_ID string, Model_ID string, Revenue bigint, Units_Sold bigint, Date_ID string, Day int, Month int, Year int,"
+    " BranchName string, DealerName string, Product_Name string"
+)
+
+
+def sale(branch, model, revenue, date, product="p"):
+    return (branch, model, revenue, 2, date, 1, int(date[-2:]), int(date[2:6]), f"{branch} name", "Ann", product)
+
+
+def test_a_late_sale_rewrites_its_own_date(wh, frame):
+    dates = ["DT202001", "DT202002", "DT202003"]
+    load_sales_star(wh, frame([sale("B1", "M1", 10, d) for d in dates], SALES_SCHEMA), dt.datetime(2020, 4, 1), "1")
+    before = set(wh.record(SALES.sales)["folders"])
+    # One correction of February, and a new sale of January by another branch.
+    late = [sale("B1", "M1", 99, "DT202002"), sale("B2", "M1", 7, "DT202001")]
+    for _ in range(2):
+        load_sales_star(wh, frame(late, SALES_SCHEMA), dt.datetime(2020, 5, 1), "2")
+    gone = before - set(wh.record(SALES.sales)["folders"])
+    assert [f.rsplit("=", 1)[1] for f in gone] == ["DT202002"]
+    fact = wh.read(SALES.sales).select("Branch_ID", "Date_ID", "Total_Revenue", "Process_Type")
+    assert rows(fact) == [
+        ("B1", "DT202001", 20, "Insert"),
+        ("B1", "DT202002", 198, "Update"),
+        ("B1", "DT202003", 20, "Insert"),
+        ("B2", "DT202001", 14, "Insert"),
+    ]
+
+
+def test_a_renamed_product_gets_sales_of_its_own(wh, frame):
+    """A sale that comes again after its product was renamed stands under the new version; the old one stays."""
+    for n, product in enumerate(["old", "new"], 1):
+        feed = frame([sale("B1", "M1", n, "DT202001", product), sale("B1", "M2", n, "DT202001")], SALES_SCHEMA)
+        load_sales_star(wh, feed, dt.datetime(2020, n, 1), str(n))
+    fact = wh.read(SALES.sales).select("Model_ID", "Model_SK", "Revenue", "Process_Type")
+    assert rows(fact) == [("M1", 1, 1, "Insert"), ("M1", 3, 2, "Insert"), ("M2", 2, 2, "Update")]
+
+
+def order_lines(spark, frame, folder, lines):
+    frame(lines, order_line_schema()).write.option("header", True).csv(folder)
+    return read_csv(spark, f"{folder}/*.csv", order_line_schema())
+
+
+def test_one_item_on_several_lines_and_months_that_a_drop_does_not_touch(wh, spark, frame, tmp_path):
+    day = lambda m: dt.date(2024, m, 1)
+    first = [("o1", n, day(m), "Ada L", "a", "pen", n, 10.0, 0.5) for n, m in ((1, 1), (2, 1), (1, 2), (1, 3))]
+    load_orders_star(wh, order_lines(spark, frame, str(tmp_path / "1"), first), dt.datetime(2024, 5, 1), "1")
+    before = {t: set(wh.record(t)["folders"]) for t in (ORDERS.lines, ORDERS.orders)}
+    # Both January lines of one item again, a new line in March, and a line without a date.
+    second = [("o1", 1, day(1), "Ada L", "a", "pen", 7, 10.0, 0.5), ("o1", 2, day(1), "Ada L", "a", "pen", 8, 10.0, 0.5),
+              ("o1", 2, day(3), "Ada L", "a", "pen", 9, 10.0, 0.5), ("o2", 1, None, "Bo", "b", "ink", 1, 10.0, 0.5)]
+    drop = order_lines(spark, frame, str(tmp_path / "2"), second)
+    for _ in range(2):
+        load_orders_star(wh, drop, dt.datetime(2024, 5, 2), "2")
+    month = lambda folders: sorted(f.rsplit("=", 1)[1] for f in folders)
+    now = set(wh.record(ORDERS.lines)["folders"])
+    assert month(before[ORDERS.lines] - now) == ["2024-01"]
+    assert month(now - before[ORDERS.lines]) == ["2024-01", "2024-03", "__HIVE_DEFAULT_PARTITION__"]
+    # The fact only grows, and a known line keeps its values.
+    assert before[ORDERS.orders] < set(wh.record(ORDERS.orders)["folders"])
+    fact = wh.read(ORDERS.orders).select("OrderNumber", "OrderMonth", "LineNumber", "Quantity")
+    assert rows(fact) == [
+        ("o1", "2024-01", 1, 1), ("o1", "2024-01", 2, 2), ("o1", "2024-02", 1, 1), ("o1", "2024-03", 1, 1),
+        ("o1", "2024-03", 2, 9), ("o2", None, 1, 1),
+    ]
+    silver = wh.read(ORDERS.lines).select("OrderNumber", "OrderMonth", "LineNumber", "Qty", "update_status")
+    assert rows(silver) == [
+        ("o1", "2024-01", 1, 7, "updated_record"), ("o1", "2024-01", 2, 8, "updated_record"),
+        ("o1", "2024-02", 1, 1, ""), ("o1", "2024-03", 1, 1, ""), ("o1", "2024-03", 2, 9, ""), ("o2", None, 1, 1, ""),
+    ]
+
+
+def test_gold_scans_the_months_of_the_drop(wh, spark, frame, tmp_path):
+    lines = [("o1", 1, dt.date(2024, m, 1), "Ada L", "a", "pen", 1, 10.0, 0.5) for m in range(1, 13)]
+    load_orders_star(wh, order_lines(spark, frame, str(tmp_path / "1"), lines), dt.datetime(2024, 5, 1), "1")
+    drop = frame([("2024-03",), ("2024-05",)], "OrderMonth string")
+    silver = batch_of(wh, ORDERS.lines, drop, F.lit("2024-05-01").cast("timestamp"))
+    assert silver.count() == 2
+    filters = silver._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert "OrderMonth" in filters and "2024-03" in filters and "2024-05" in filters
