@@ -16,16 +16,19 @@ Names are sorted in three rounds, each over what the round before left open:
    only one around its name, as none repeats;
 3. the windows that are left, one by one: of equal neighbours in the order all but the first repeat.
 
-A round works on chunks of documents. A chunk sends each distinct name once, so a passage
-that a third of all documents share costs one entry per chunk. Names are split over slots by value; a slot
-is sorted in one task, and its size is bounded by the number of slots, which follows the input.
+Texts are dealt into parts by ranges of ids and written once, in chunks, with the runs of windows that
+picked one place; a chunk holds a piece of a long document or several short ones. All rounds read these
+chunks where they lie. A part sends each distinct name once, so a passage that a third of all
+documents share costs one entry per part. Names are split over slots by value, triples by the triple and
+not by the name around which they lie; a slot is sorted in one task, and its size is bounded by the number of
+slots, which follows the input.
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,27 +42,48 @@ from pyspark.sql import types as T
 from siltstone.llm.common import kept, whole_text
 from siltstone.session import new_folder
 
-#: Bytes of text in a chunk (more only for one document that is longer), and per slot of names.
-CHUNK_BYTES = 1 << 20
+#: Bytes of text in a chunk (fewer for the end of a document), in a part and per slot of names.
+CHUNK_BYTES = 1 << 18
+PART_BYTES = 16 << 20
 SLOT_BYTES = 16 << 20
+#: Parts are buckets of a table, of which Spark allows no more; beyond 1.6 TB the parts grow.
+MOST_PARTS = 100_000
 GRAM = 32
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15
-_BYTE_CODES = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _POSITION_BITS = 26
-_powers: dict[str, np.ndarray] = {}
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    if len(_powers.get("up", ())) < n:
-        size = max(n, 2 * CHUNK_BYTES)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            table = np.full(size, base, dtype=np.uint64)
-            table[0] = 1
-            _powers[name] = np.multiply.accumulate(table)
-    return _powers["up"], _powers["down"]
+class _Hash:
+    """A polynomial hash modulo 2**64 of byte strings, from prefix sums."""
+
+    def __init__(self, seed: int, base: int):
+        self.codes = np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
+        self.base = base
+        self.up = self.down = np.zeros(0, np.uint64)
+
+    def powers(self, n: int) -> None:
+        if len(self.up) < n:
+            size = max(n, 2 * CHUNK_BYTES)
+            self.up, self.down = (
+                np.multiply.accumulate(np.append(_U(1), np.full(size - 1, base, dtype=np.uint64)))
+                for base in (self.base, pow(self.base, -1, 1 << 64))
+            )
+
+    def sums(self, codes: np.ndarray) -> np.ndarray:
+        n = len(codes)
+        self.powers(n + 1)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.codes[codes] * self.up[:n], out=sums[1:])
+        return sums
+
+    def digest(self, sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        size = (stop - start).astype(np.uint64)
+        return _mix((sums[stop] - sums[start]) * self.down[start] + size * _U(0xA0761D6478BD642F))
+
+
+#: Two independent hashes; what decides on a byte's removal is compared by both.
+_HASHES = (_Hash(20, 0x9E3779B97F4A7C15), _Hash(21, 0xD1342543DE82EF95))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -77,198 +101,285 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 @dataclass
-class Chunk:
-    """The windows of a chunk, grouped into runs of windows that picked the same place."""
+class Runs:
+    """The windows of a chunk in runs that picked the same place: first and last window, place, and its name."""
 
-    length: int
-    sums: np.ndarray
-    first: np.ndarray  # first window of each run
+    first: np.ndarray
     last: np.ndarray
     place: np.ndarray
     name: np.ndarray
 
     @classmethod
-    def of(cls, data: bytes, ends: np.ndarray, length: int) -> Chunk:
+    def of(cls, data: bytes, ends: np.ndarray, length: int) -> Runs:
+        """``ends`` are those of the texts in ``data``, the last one with what the next chunk holds of it as well."""
         codes = np.frombuffer(data, np.uint8)
         n = len(codes)
-        up, _ = _power_tables(n + 1)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE_CODES[codes] * up[:n], out=sums[1:])
         none = np.zeros(0, np.int64)
-        made = cls(length, sums, none, none, none, np.zeros(0, np.uint64))
         if n < length:
-            return made
+            return cls(none, none, none, np.zeros(0, np.uint64))
+        own = _HASHES[0]
         starts = np.arange(n - GRAM + 1)
-        grams = made.digest(starts, starts + GRAM)
+        grams = own.digest(own.sums(codes), starts, starts + GRAM)
         bits = _U(max(_POSITION_BITS, n.bit_length()))
         least = _sliding_min((grams >> bits << bits) | starts.astype(np.uint64), length - GRAM + 1)
         limits = np.repeat(ends, np.diff(ends, prepend=0))[: len(least)]
         window = np.flatnonzero(np.arange(len(least)) + length <= limits)
         if not len(window):
-            return made
+            return cls(none, none, none, np.zeros(0, np.uint64))
         place = (least[window] & ((_U(1) << bits) - _U(1))).astype(np.int64)
         opens = np.flatnonzero((np.diff(place, prepend=-1) != 0) | (np.diff(window, prepend=-2) != 1))
-        made.first = window[opens]
-        made.last = window[np.append(opens[1:], len(window)) - 1]
-        made.place = place[opens]
-        made.name = grams[made.place]
-        return made
-
-    def digest(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        _, down = _power_tables(len(self.sums))
-        size = (stop - start).astype(np.uint64)
-        return _mix((self.sums[stop] - self.sums[start]) * down[start] + size * _U(0xA0761D6478BD642F))
+        first = window[opens]
+        last = window[np.append(opens[1:], len(window)) - 1]
+        return cls(first, last, place[opens], grams[place[opens]])
+
+    def packed(self) -> list[bytes]:
+        """Columns of the written form."""
+        parts = (self.first, "<u4"), (self.last - self.first, "<u2"), (self.place - self.first, "<u2"), (self.name, "<u8")
+        return [values.astype(kind).tobytes() for values, kind in parts]
+
+    @classmethod
+    def read(cls, first: bytes, last: bytes, place: bytes, name: bytes) -> Runs:
+        start = np.frombuffer(first, "<u4").astype(np.int64)
+        return cls(
+            start, start + np.frombuffer(last, "<u2"), start + np.frombuffer(place, "<u2"), np.frombuffer(name, "<u8")
+        )
 
-    def triples(self, runs: np.ndarray) -> np.ndarray:
+    def triples(self, sums: Sequence[np.ndarray], runs: np.ndarray, length: int) -> list[np.ndarray]:
         """Names of what the windows of these runs cover, and of where the sampled place lies in it."""
-        first = self.first[runs]
-        shift = (self.place[runs] - first).astype(np.uint64)
-        return _mix(self.digest(first, self.last[runs] + self.length) ^ (shift * _U(0xE7037ED1A0B428DB)))
+        first, stop = self.first[runs], self.last[runs] + length
+        shift = (self.place[runs] - first).astype(np.uint64) * _U(0xE7037ED1A0B428DB)
+        return [_mix(h.digest(s, first, stop) ^ shift) for h, s in zip(_HASHES, sums)]
 
-    def windows(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self, sums: Sequence[np.ndarray], runs: np.ndarray, length: int) -> tuple[np.ndarray, list[np.ndarray]]:
         """Starts and names of all windows of these runs, in text order."""
         sizes = self.last[runs] - self.first[runs] + 1
         at = np.repeat(self.first[runs] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
         start = at + np.arange(len(at))
-        return start, self.digest(start, start + self.length)
-
-
-def _later(names: np.ndarray) -> np.ndarray:
-    """Which entries are not the first of their name."""
-    found = np.ones(len(names), dtype=bool)
-    found[np.unique(names, return_index=True)[1]] = False
-    return found
-
-
-class _State:
-    """What the rounds so far have settled about one chunk, derived anew from its bytes and their flags."""
-
-    def __init__(self, data: bytes, ends: list[int], length: int, flags: list[np.ndarray]):
-        self.chunk = chunk = Chunk.of(data, np.array(ends, dtype=np.int64), length)
-        self.keys, self.others = np.unique(chunk.name), None
+        return start, [h.digest(s, start, start + length) for h, s in zip(_HASHES, sums)]
+
+
+def _distinct(keys: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows that hold each distinct key first, in key order; each row's key; and which rows are not the first."""
+    order = np.lexsort(keys[::-1])  # stable: rows of one key stay in text order
+    new = np.ones(len(order), dtype=bool)
+    differs = np.zeros(max(len(order) - 1, 0), dtype=bool)
+    for key in keys:
+        differs |= key[order][1:] != key[order][:-1]
+    new[1:] = differs
+    entry = np.empty(len(order), dtype=np.int64)
+    entry[order] = np.cumsum(new) - 1
+    later = np.ones(len(order), dtype=bool)
+    later[order[new]] = False
+    return order[new], entry, later
+
+
+def _columns(*keys: np.ndarray) -> np.ndarray:
+    return np.stack([k.astype("<u8") for k in keys], axis=1) if len(keys[0]) else np.zeros((0, len(keys)), "<u8")
+
+
+class _Part:
+    """What the rounds so far have settled about one part, from its chunks' runs and bytes and the rounds' flags."""
+
+    def __init__(self, chunks: pa.Table, length: int, flags: Sequence[np.ndarray]):
+        self.length = length
+        chunks = chunks.sort_by("chunk")
+        self.columns = {c: chunks.column(c) for c in chunks.column_names}
+        self.runs = [Runs.read(*(self.columns[c][i].as_py() for c in _RUN_COLUMNS)) for i in range(chunks.num_rows)]
+        names = np.concatenate([np.zeros(0, np.uint64), *(r.name for r in self.runs)])
+        own, where, times = np.unique(names, return_inverse=True, return_counts=True)
+        self.entries = [(0, _columns(own))]
         if not flags:
             return
-        # 1: names that stand elsewhere too, in another chunk or in this one.
-        own, where, times = np.unique(chunk.name, return_inverse=True, return_counts=True)
-        self.shared = np.flatnonzero(((flags[0] & 1) | (times > 1))[where]) if len(own) else np.zeros(0, np.int64)
-        names, triples = chunk.name[self.shared], chunk.triples(self.shared)
-        order = np.lexsort((triples, names))
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (names[order][1:] != names[order][:-1]) | (triples[order][1:] != triples[order][:-1])
-        self.keys, self.others = names[order][new], triples[order][new]
+        # 1: names that stand elsewhere too, in another part or in this one.
+        shared = ((flags[0] & 1).astype(bool) | (times > 1))[where]
+        cuts = np.cumsum([len(r.name) for r in self.runs])[:-1] if self.runs else []
+        self.shared = [np.flatnonzero(x) for x in np.split(shared, cuts)] if self.runs else []
+        self.sums = [self._sums(i) if len(x) else None for i, x in enumerate(self.shared)]
+        name = names[shared]
+        triple = self._gather([r.triples(s, x, length) for r, s, x in self._with_shared()])
+        distinct, entry, later = _distinct(triple)
+        own, where = np.unique(name, return_inverse=True)
+        low, high = np.full(len(own), ~_U(0)), np.zeros(len(own), np.uint64)
+        np.minimum.at(low, where, triple[0])
+        np.maximum.at(high, where, triple[0])
+        self.entries = [(0, _columns(triple[0][distinct], triple[1][distinct])), (1, _columns(own, low, high))]
         if len(flags) < 2:
             return
         # 2: triples that stand earlier, and names with more than one triple.
-        entry = np.empty(len(order), dtype=np.int64)
-        entry[order] = np.cumsum(new) - 1
-        first_here = np.zeros(len(order), dtype=bool)
-        first_here[np.unique(entry, return_index=True)[1]] = True
-        earlier = (flags[1][entry] & 1).astype(bool) | ~first_here
-        several = (flags[1][entry] & 2).astype(bool)
-        self.repeated, self.open = self.shared[earlier], self.shared[~earlier & several]
-        self.start, window = chunk.windows(self.open)
-        self.keys, self.others = np.unique(window), None
+        earlier = (flags[1][: len(distinct)] & 1).astype(bool)[entry] | later
+        several = (flags[1][len(distinct) :] & 1).astype(bool)[where]
+        self.repeated = self._per_chunk(earlier)
+        self.open = self._per_chunk(~earlier & several)
+        found = [r.windows(s, x, length) for (r, s, _), x in zip(self._with_shared(), self._filled(self.open))]
+        self.starts = [f[0] for f in found]
+        window = self._gather([f[1] for f in found])
+        distinct, entry, later = _distinct(window)
+        self.entries = [(0, _columns(window[0][distinct], window[1][distinct]))]
         if len(flags) < 3:
             return
         # 3: windows that stand earlier.
-        _, where = np.unique(window, return_inverse=True)
-        self.again = self.start[(flags[2][where] & 1).astype(bool) | _later(window)]
-
-    def covered(self, size: int) -> np.ndarray:
-        """Which bytes some repeated window covers."""
-        chunk, change = self.chunk, np.zeros(size + 1, dtype=np.int32)
-        np.add.at(change, chunk.first[self.repeated], 1)
-        np.add.at(change, chunk.last[self.repeated] + chunk.length, -1)
-        np.add.at(change, self.again, 1)
-        np.add.at(change, self.again + chunk.length, -1)
-        return np.cumsum(change[:-1]) > 0
+        again = (flags[2] & 1).astype(bool)[entry] | later
+        parts = np.split(again, np.cumsum([len(s) for s in self.starts])[:-1]) if self.starts else []
+        self.again = [s[a] for s, a in zip(self.starts, parts)]
+
+    def _sums(self, i: int) -> list[np.ndarray]:
+        codes = np.frombuffer(self.columns["data"][i].as_py(), np.uint8)
+        return [h.sums(codes) for h in _HASHES]
+
+    def _with_shared(self) -> Iterator[tuple[Runs, list[np.ndarray], np.ndarray]]:
+        return ((r, s, x) for r, s, x in zip(self.runs, self.sums, self.shared) if s is not None)
+
+    def _filled(self, per_chunk: list[np.ndarray]) -> list[np.ndarray]:
+        return [x for x, s in zip(per_chunk, self.sums) if s is not None]
+
+    @staticmethod
+    def _gather(pairs: list[Sequence[np.ndarray]]) -> list[np.ndarray]:
+        return [np.concatenate([np.zeros(0, np.uint64), *(p[k] for p in pairs)]) for k in range(len(_HASHES))]
+
+    def _per_chunk(self, chosen: np.ndarray) -> list[np.ndarray]:
+        """The runs of each chunk that a choice among all shared ones leaves."""
+        out, at = [], 0
+        for shared in self.shared:
+            out.append(shared[chosen[at : at + len(shared)]])
+            at += len(shared)
+        return out
+
+    def covered(self) -> Iterator[tuple[int, bytes, np.ndarray]]:
+        """Per chunk its number, its own bytes, and which of them some repeated window covers."""
+        again = iter(self.again)
+        carried = np.zeros(0, dtype=bool)
+        for i, runs in enumerate(self.runs):
+            data = self.columns["data"][i].as_py()
+            own = len(data) - self.columns["tail"][i].as_py()
+            change = np.zeros(len(data) + 1, dtype=np.int32)
+            starts = runs.first[self.repeated[i]]
+            np.add.at(change, starts, 1)
+            np.add.at(change, runs.last[self.repeated[i]] + self.length, -1)
+            if self.sums[i] is not None:
+                starts = next(again)
+                np.add.at(change, starts, 1)
+                np.add.at(change, starts + self.length, -1)
+            gone = np.cumsum(change[:-1]) > 0
+            gone[: len(carried)] |= carried
+            carried = gone[own:]
+            yield i, data[:own], gone[:own]
+
+
+_RUN_COLUMNS = ["first", "last", "place", "name"]
 
 
 def _settle(entries: pd.DataFrame) -> pd.DataFrame:
-    """Flags of all names of one slot: 1 if another chunk (round 1) or an earlier chunk has it, 2 if its
-    first half stands with several second halves."""
-    entries = entries.sort_values("chunk", kind="stable")
-    round_no = int(entries["round"].iloc[0])
-    sizes = [len(k) // 8 for k in entries["names"]]
-    names = np.frombuffer(b"".join(entries["names"]), np.uint64)
-    halves = np.frombuffer(b"".join(entries["halves"]), np.uint64) if round_no == 2 else None
-    order = np.argsort(names, kind="stable") if halves is None else np.lexsort((halves, names))
-    ordered = names[order]
-    new_name = np.ones(len(order), dtype=bool)
-    new_name[1:] = ordered[1:] != ordered[:-1]
-    flags = np.zeros(len(order), dtype=np.uint8)
+    """A flag for every key of one slot. Round 1: another part has the name; kind 1: the name's least and largest
+    triple differ; else: an earlier part has the key."""
+    entries = entries.sort_values("part", kind="stable")
+    round_no, kind = int(entries["round"].iloc[0]), int(entries["kind"].iloc[0])
+    width = 1 if round_no == 1 else 3 if kind else 2
+    keys = np.frombuffer(b"".join(entries["keys"]), "<u8").reshape(-1, width)
+    sizes = [len(k) // (8 * width) for k in entries["keys"]]
     if round_no == 1:
-        alone = new_name & np.append(new_name[1:], True)
-        flags[order] = ~alone
-    elif round_no == 2:
-        second = halves[order]
-        new = new_name.copy()
-        new[1:] |= second[1:] != second[:-1]
-        group = np.cumsum(new_name) - 1
-        several = np.bincount(group, weights=new)[group] > 1
-        flags[order] = ~new + 2 * several
+        _, where, times = np.unique(keys[:, 0], return_inverse=True, return_counts=True)
+        flags = times[where] > 1
+    elif kind:
+        names, where = np.unique(keys[:, 0], return_inverse=True)
+        low, high = np.full(len(names), ~_U(0)), np.zeros(len(names), np.uint64)
+        np.minimum.at(low, where, keys[:, 1])
+        np.maximum.at(high, where, keys[:, 2])
+        flags = (low != high)[where]
     else:
-        flags[order] = ~new_name
-    cuts = np.concatenate([[0], np.cumsum(sizes)])
+        flags = _distinct([keys[:, 0], keys[:, 1]])[2]
+    flags = flags.astype(np.uint8)
+    cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
     return pd.DataFrame(
         {
-            "chunk": entries["chunk"].to_numpy(),
-            "slot": entries["slot"].to_numpy(),
-            "flags": [flags[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())],
+            "part": entries["part"].to_numpy(),
+            "place": (entries["kind"] * (1 << 40) + entries["slot"]).to_numpy(),
+            "flags": [flags[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])],
         }
     )
 
 
-def _chunks(docs: DataFrame) -> tuple[DataFrame, int]:
-    """The documents in id order as chunks, bucketed so that flags come back without moving texts."""
+def _pieces(text: bytes, length: int) -> Iterator[tuple[bytes, int]]:
+    """A long text in pieces of a chunk's size, each with the start of the next one as far as its windows reach."""
+    for start in range(0, len(text), CHUNK_BYTES):
+        piece = text[start : start + CHUNK_BYTES + length - 1]
+        yield piece, len(piece) - min(CHUNK_BYTES, len(text) - start)
+
+
+def _chunks(docs: DataFrame, length: int) -> tuple[DataFrame, int]:
+    """The documents in id order as chunks with their runs, bucketed so that flags come to them without moving texts."""
     spark = docs.sparkSession
     rest = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*(docs[c] for c in rest)).alias("row"), whole_text(docs).alias("text"))
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            texts = [t.encode("utf-8", "replace") for t in batch.column(1).to_pylist()]
-            first = size = 0
-            for i, text in enumerate([*texts, None]):
-                if i > first and (text is None or size + len(text) > CHUNK_BYTES):
-                    own = texts[first:i]
-                    own_rows = batch.column(0).slice(first, i - first)
-                    ends = np.cumsum([len(t) for t in own])
-                    offsets = pa.array([0, i - first], pa.int32())
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([number], pa.int64()),
-                            pa.ListArray.from_arrays(offsets, pa.concat_arrays([own_rows])),
-                            pa.array([ends.tolist()], pa.list_(pa.int64())),
-                            pa.array([b"".join(own)], pa.binary()),
-                        ],
-                        ["chunk", "rows", "ends", "data"],
-                    )
-                    number, first, size = number + 1, i, 0
-                size += len(text) if text is not None else 0
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = min(MOST_PARTS, max(1, -(-total // PART_BYTES)))
 
     schema = T.StructType(
         [
+            T.StructField("part", T.IntegerType()),
             T.StructField("chunk", T.LongType()),
             T.StructField("rows", T.ArrayType(rows.schema["row"].dataType)),
             T.StructField("ends", T.ArrayType(T.LongType())),
+            T.StructField("tail", T.IntegerType()),
             T.StructField("data", T.BinaryType()),
+            *(T.StructField(c, T.BinaryType()) for c in _RUN_COLUMNS),
         ]
     )
-    placed = rows.repartitionByRange("row.doc_id").sortWithinPartitions("row.doc_id", "text")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number = TaskContext.get().partitionId(), 0
+
+        def chunk(own_rows: pa.Array, ends: list[int], data: bytes, tail: int) -> pa.RecordBatch:
+            nonlocal number
+            limits = np.array(ends, dtype=np.int64)
+            limits[-1:] += tail
+            values = [
+                pa.array([part], pa.int32()),
+                pa.array([number], pa.int64()),
+                pa.ListArray.from_arrays(pa.array([0, len(own_rows)], pa.int32()), pa.concat_arrays([own_rows])),
+                pa.array([ends], pa.list_(pa.int64())),
+                pa.array([tail], pa.int32()),
+                pa.array([data], pa.binary()),
+                *(pa.array([c], pa.binary()) for c in Runs.of(data, limits, length).packed()),
+            ]
+            number += 1
+            return pa.RecordBatch.from_arrays(values, schema.names)
+
+        for batch in batches:
+            own_rows = batch.column(0)
+            texts = batch.column(1).cast(pa.binary())
+            first, held, size = 0, [], 0
+            for i in range(batch.num_rows):
+                text = texts[i].as_py()
+                if held and size + len(text) > CHUNK_BYTES:
+                    yield chunk(own_rows.slice(first, len(held)), np.cumsum([len(t) for t in held]).tolist(), b"".join(held), 0)
+                    held, size = [], 0
+                if not held:
+                    first = i
+                if len(text) > CHUNK_BYTES:
+                    pieces = list(_pieces(text, length))
+                    for n, (piece, tail) in enumerate(pieces, 1):
+                        # The row itself comes with the last piece of its text.
+                        yield chunk(own_rows.slice(i, int(n == len(pieces))), [len(piece) - tail], piece, tail)
+                    continue
+                held.append(text)
+                size += len(text)
+            if held:
+                yield chunk(own_rows.slice(first, len(held)), np.cumsum([len(t) for t in held]).tolist(), b"".join(held), 0)
+
+    placed = rows.repartitionByRange(parts, "row.doc_id").sortWithinPartitions("row.doc_id", "text")
     name = f"repeat_chunks_{uuid.uuid4().hex[:12]}"
     (
         placed.mapInArrow(build, schema)
         .write.format("parquet")
         .option("path", new_folder(spark, "repeat-chunks"))
         .option("compression", "zstd")
-        .bucketBy(buckets, "chunk")
+        .bucketBy(parts, "part")
         .saveAsTable(name)
     )
     chunks = spark.table(name)
-    total = chunks.agg(F.sum(F.element_at("ends", -1))).first()[0] or 0
+    # Only the catalog knows buckets; once it has told, its entry goes, and the files stay.
+    chunks.schema  # noqa: B018
+    spark.sql(f"DROP TABLE {name}")
     return chunks, total
 
 
@@ -281,59 +392,61 @@ def remove_repeats(docs: DataFrame, length: int = 100, texts: bool = False) -> D
     that lose some of their bytes only are kept whole there. NULL texts count as empty; no rows give no rows.
     Other columns are carried along; their values are not looked at.
 
-    Strings are compared by 64-bit digests. Texts are shuffled once, into id order; then only names and
-    flags move. A chunk, or a document longer than one, must fit in a task's memory about a hundred times.
+    Strings are compared by 128-bit digests. Texts are shuffled once, into id order; then only names and
+    flags move. A task holds one part and works on it a chunk at a time; a document longer than a chunk
+    is taken in pieces, so it needs little more than its own size.
     """
-    spark = docs.sparkSession
-    chunks, total = _chunks(docs)
+    chunks, total = _chunks(docs, length)
     slots = max(32, -(-total // SLOT_BYTES))
     settled: list[DataFrame] = []
 
-    def with_flags() -> DataFrame:
-        found = chunks
-        for flags in settled:
-            found = found.join(flags, "chunk", "left")
-        return found
-
-    def states(batch: pa.RecordBatch, rounds: int) -> Iterator[tuple[int, _State]]:
-        names = [f"flags{r + 1}" for r in range(rounds)]
-        for i in range(batch.num_rows):
-            flags = [np.frombuffer(batch.column(n)[i].as_py() or b"", np.uint8) for n in names]
-            yield i, _State(batch.column("data")[i].as_py(), batch.column("ends")[i].as_py(), length, flags)
+    def state(own: pa.Table, told: pa.Table, rounds: int) -> _Part:
+        flags = []
+        for r in range(rounds):
+            parts = told.column(f"flags{r + 1}")[0].as_py() if told.num_rows else None
+            flags.append(np.frombuffer(b"".join(parts or []), np.uint8))
+        return _Part(own, length, flags)
+
+    def over_parts(columns: Sequence[str], use, schema, rounds: int) -> DataFrame:
+        """``use`` over the state of every part, from some columns of its chunks and the flags so far."""
+        own = chunks.select("part", "chunk", *columns)
+        if not rounds:
+            return own.groupBy("part").applyInArrow(lambda table: use(state(table, table, 0), table), schema)
+        told = settled[0]
+        for flags in settled[1:]:
+            told = told.join(flags, "part", "left")
+        return own.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(
+            lambda table, flags: use(state(table, flags, rounds), table), schema
+        )
 
+    entry_schema = "round int, kind long, slot long, part int, keys binary"
     for rounds in range(3):
 
-        def send(batches: Iterator[pa.RecordBatch], rounds: int = rounds) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for i, state in states(batch, rounds):
-                    slot = ((state.keys >> _U(32)) * _U(slots) >> _U(32)).astype(np.int64)
-                    used, begins = np.unique(slot, return_index=True)
-                    ends = np.append(begins[1:], len(slot))
-                    cut = lambda x: [x[a:b].tobytes() for a, b in zip(begins, ends)]  # noqa: E731, B023
-                    n = len(used)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([rounds + 1] * n, pa.int32()),
-                            pa.array(used, pa.int64()),
-                            pa.array([batch.column("chunk")[i].as_py()] * n, pa.int64()),
-                            pa.array(cut(state.keys), pa.binary()),
-                            pa.array([b""] * n if state.others is None else cut(state.others), pa.binary()),
-                        ],
-                        ["round", "slot", "chunk", "names", "halves"],
-                    )
-
-        entries = with_flags().drop("rows").mapInArrow(
-            send, "round int, slot long, chunk long, names binary, halves binary"
-        )
-        flags = entries.groupBy("slot").applyInPandas(_settle, "chunk long, slot long, flags binary")
-        # A chunk's flags in slot order are in the order of its names.
-        joined = flags.groupBy("chunk").agg(
-            F.sort_array(F.collect_list(F.struct("slot", "flags"))).alias("parts")
-        )
-        whole = F.aggregate("parts", F.lit(b""), lambda out, p: F.concat(out, p["flags"]))
-        settled.append(
-            kept(joined.select("chunk", whole.alias(f"flags{rounds + 1}")), f"repeat-flags{rounds + 1}")
-        )
+        def send(part: _Part, table: pa.Table, rounds: int = rounds) -> pa.Table:
+            found: list[tuple[int, int, bytes]] = []
+            for kind, keys in part.entries:
+                slot = ((keys[:, 0] >> _U(32)) * _U(slots) >> _U(32)).astype(np.int64)
+                used, begins = np.unique(slot, return_index=True)
+                for s, a, b in zip(used.tolist(), begins.tolist(), [*begins[1:].tolist(), len(slot)]):
+                    found.append((kind, s, keys[a:b].tobytes()))
+            number = table.column("part")[0].as_py() if table.num_rows else 0
+            return pa.table(
+                {
+                    "round": pa.array([rounds + 1] * len(found), pa.int32()),
+                    "kind": pa.array([f[0] for f in found], pa.int64()),
+                    "slot": pa.array([f[1] for f in found], pa.int64()),
+                    "part": pa.array([number] * len(found), pa.int32()),
+                    "keys": pa.array([f[2] for f in found], pa.binary()),
+                }
+            )
+
+        columns = [*_RUN_COLUMNS, "data"] if rounds else _RUN_COLUMNS
+        entries = over_parts(columns, send, entry_schema, rounds)
+        flags = entries.groupBy("kind", "slot").applyInPandas(_settle, "part int, place long, flags binary")
+        # A part's flags by kind and slot are in the order of its keys.
+        joined = flags.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("place", "flags"))).alias("parts"))
+        column = F.col("parts")["flags"].alias(f"flags{rounds + 1}")
+        settled.append(kept(joined.select("part", column), f"repeat-flags{rounds + 1}"))
 
     row_type = chunks.schema["rows"].dataType.elementType
     new = {"n_bytes", "n_removed", "n_spans", "kept_sha256", "text"}
@@ -350,30 +463,38 @@ def remove_repeats(docs: DataFrame, length: int = 100, texts: bool = False) -> D
         ]
     )
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, state in states(batch, 3):
-                data = np.frombuffer(batch.column("data")[i].as_py(), np.uint8)
-                gone = state.covered(len(data))
-                ends = batch.column("ends")[i].as_py()
-                sizes, removed, spans, digests, left = [], [], [], [], []
-                for a, b in zip([0, *ends[:-1]], ends):
-                    own, out = data[a:b], gone[a:b]
-                    rest = own[~out].tobytes()
-                    sizes.append(b - a)
-                    removed.append(b - a - len(rest))
-                    spans.append(int(np.count_nonzero(np.diff(out.astype(np.int8), prepend=0) == 1)))
-                    digests.append(hashlib.sha256(rest).hexdigest())
-                    if texts:
-                        left.append(_whole_characters(own, out))
-                rows = batch.column("rows")[i].values
-                columns = [rows.field(k) for k in keep] + [pa.array(x, pa.int64()) for x in (sizes, removed, spans)]
-                columns.append(pa.array(digests, pa.string()))
+    def finish(part: _Part, table: pa.Table) -> pa.Table:
+        out: list[pa.RecordBatch] = []
+        before: list[tuple[bytes, np.ndarray]] = []  # the pieces of a document so far
+        for i, data, gone in part.covered():
+            rows = part.columns["rows"][i].values
+            ends = part.columns["ends"][i].as_py()
+            if len(rows) < len(ends):
+                before.append((data, gone))
+                continue
+            sizes, removed, spans, digests, left = [], [], [], [], []
+            for a, b in zip([0, *ends[:-1]], ends):
+                own, own_gone = data[a:b], gone[a:b]
+                if before:
+                    own = b"".join([*(d for d, _ in before), own])
+                    own_gone = np.concatenate([*(g for _, g in before), own_gone])
+                    before = []
+                lost = int(np.count_nonzero(own_gone))
+                rest = np.frombuffer(own, np.uint8)[~own_gone].tobytes() if lost else own
+                sizes.append(len(own))
+                removed.append(lost)
+                spans.append(int(own_gone[0]) + int(np.count_nonzero(own_gone[1:] > own_gone[:-1])) if lost else 0)
+                digests.append(hashlib.sha256(rest).hexdigest())
                 if texts:
-                    columns.append(pa.array(left, pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, out_schema.names)
-
-    return with_flags().mapInArrow(finish, out_schema)
+                    left.append(_whole_characters(np.frombuffer(own, np.uint8), own_gone) if lost else own.decode())
+            columns = [rows.field(k) for k in keep] + [pa.array(x, pa.int64()) for x in (sizes, removed, spans)]
+            columns.append(pa.array(digests, pa.string()))
+            if texts:
+                columns.append(pa.array(left, pa.string()))
+            out.append(pa.RecordBatch.from_arrays(columns, out_schema.names))
+        return pa.Table.from_batches(out)  # a part ends with the last piece of a text
+
+    return over_parts([*_RUN_COLUMNS, "data", "rows", "ends", "tail"], finish, out_schema, 3)
 
 
 def _whole_characters(data: np.ndarray, gone: np.ndarray) -> str:

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from siltstone.llm import decontamination, queries, toxicity
+from siltstone.llm import decontamination, queries, repeats, toxicity
 from siltstone.llm.components import components
 from siltstone.llm.decontamination import with_leaks
 from siltstone.llm.near_dups import Plan, near_duplicates
@@ -170,6 +170,35 @@ def test_repeats_that_overlap_and_short_lengths(spark):
         assert all("�" not in r["text"] for r in rows)
 
 
+def test_repeats_in_documents_longer_than_a_chunk(spark, monkeypatch):
+    """Passages across the borders of pieces, and spans that run over them."""
+    rng = random.Random(14)
+    monkeypatch.setattr(repeats, "CHUNK_BYTES", 1000)
+    monkeypatch.setattr(repeats, "PART_BYTES", 7000)
+    long = prose(rng, 1500)
+    texts = [long[950:1090], long, "x" * 3000, prose(rng, 20) + long[500:4100], long[:2000] + "!" + long[2000:],
+             "", long[-150:], prose(rng, 400) + long[1900:2050], "é" * 2100]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    before = spark.catalog.listTables()
+    rows = sorted(remove_repeats(frame, texts=True).collect(), key=lambda r: r["doc_id"])
+    assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows] == cut(texts)
+    assert spark.catalog.listTables() == before
+
+
+def test_repeats_in_a_document_of_megabytes(spark):
+    rng = random.Random(15)
+    words = [prose(rng, 1) for _ in range(4000)]
+    text = " ".join(rng.choice(words) for _ in range(700_000))
+    assert len(text) > 3_000_000
+    rows = [(1, text, "a"), (2, "start " + text[1_000_000:1_000_300] + " end", None), (3, None, "c"), (4, text, "d")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r["doc_id"]: r for r in remove_repeats(frame).collect()}
+    assert found[1]["n_removed"] < 1000 and found[1]["source"] == "a"
+    assert found[2]["n_removed"] >= 300 and found[3]["n_bytes"] == 0 and found[2]["source"] is None
+    assert (found[4]["n_removed"], found[4]["n_spans"]) == (len(text), 1)
+    assert found[4]["kept_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
 def leaks_of(texts, items, size=5, least=0.8):
     words_of = lambda t: (t or "").encode().lower().translate(decontamination._WORDS).split()
     best = {}
