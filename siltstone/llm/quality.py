@@ -2,16 +2,40 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import kept, let, whole_text
 
 _SPACE = r"[\x20\x09-\x0D]"
-#: Features that are judged, in per mille except for the word length (a tenth of a character),
-#: each with the distance by which a row may always pass its group's quartiles: where three
-#: quarters of a group lack a feature, its quartiles alone would forbid it.
-FEATURES = {"symbol_rate": 50, "dup_line_rate": 500, "repeat_rate": 300, "word_length": 20}
+
+
+@dataclass(frozen=True)
+class Fence:
+    """How far a feature may go in a group: ``reach`` times the distance of two of its quantiles beyond the upper one.
+
+    Quantiles are given in per mille of the rows. A fence is never above ``cap``; ``two_sided`` features have a
+    fence as far below the lower quantile as well.
+    """
+
+    lower: int
+    upper: int
+    reach: int
+    cap: int | None = None
+    two_sided: bool = False
+
+
+#: Features that are judged, in per mille except for the word length (a tenth of a character). What most rows
+#: of a group lack, such as symbols, is odd where a fifth of the rows or fewer have it; repetitions are common in
+#: small doses, so only the last hundredth of a group goes. At most half of a text may be of such kinds.
+FEATURES = {
+    "symbol_rate": Fence(500, 800, 3, cap=500),
+    "dup_line_rate": Fence(500, 990, 0, cap=500),
+    "repeat_rate": Fence(500, 990, 0, cap=500),
+    "word_length": Fence(250, 750, 3, two_sided=True),
+}
 #: Values below this are kept exactly in a sketch; above it a bucket is 1/16 of a power of two wide.
 _EXACT_BITS = 5
 
@@ -25,10 +49,8 @@ def _measures(docs: DataFrame) -> DataFrame:
         whole_text(docs).alias("text"),
     )
     text = F.col("text")
-    trimmed = F.regexp_replace(text, rf"^{_SPACE}+|{_SPACE}+\z", "")
-    words = F.when(F.length(trimmed) == 0, F.array().cast("array<string>")).otherwise(
-        F.split(trimmed, f"{_SPACE}+")
-    )
+    # Blanks at the ends leave an empty piece there; cutting them off first takes time by the square of a long run.
+    words = F.array_remove(F.split(text, f"{_SPACE}+"), "")
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
 
     def repeated(w: Column) -> Column:
@@ -127,29 +149,28 @@ def sketches(features: DataFrame, by: list[str]) -> DataFrame:
     return long.groupBy(*by, "f.feature", "f.bucket").agg(F.count("*").alias("n"))
 
 
-def quantiles(sketch: DataFrame, by: list[str], at: dict[str, float]) -> DataFrame:
-    """One row per group and feature: its size and the asked quantiles (bucket floors)."""
+def quantiles(sketch: DataFrame, by: list[str], features: dict[str, Fence]) -> DataFrame:
+    """One row per group and feature: its size and its two quantiles, ``low`` and ``high`` (bucket floors)."""
     group = Window.partitionBy(*by, "feature")
     running = group.orderBy("bucket")
     ranked = sketch.withColumn("below", F.sum("n").over(running)).withColumn("size", F.sum("n").over(group))
+
+    def least(part: str) -> Column:
+        share = F.coalesce(*(F.when(F.col("feature") == f, F.lit(getattr(x, part))) for f, x in features.items()))
+        return F.min(F.when(1000 * F.col("below") >= share * F.col("size"), F.col("bucket")))
+
     return ranked.groupBy(*by, "feature").agg(
-        F.max("size").alias("size"),
-        *(
-            F.min(F.when(F.col("below") >= F.ceil(F.col("size") * q), F.col("bucket"))).alias(name)
-            for name, q in at.items()
-        ),
+        F.max("size").alias("size"), least("lower").alias("low"), least("upper").alias("high")
     )
 
 
-def judge(
-    docs: DataFrame, min_group: int = 200, reach: int = 3, slack: dict[str, int] = FEATURES
-) -> DataFrame:
+def judge(docs: DataFrame, min_group: int = 200, features: dict[str, Fence] = FEATURES) -> DataFrame:
     """Counts and verdict of every row of ``docs`` (doc_id, text, lang, source).
 
     ``base_failed``: fewer than 50 words, or more than half of the words in repeated three-word windows.
-    ``kept``: not so, and no feature lies beyond its group's fence. The fence of a language
-    and source is its third quartile, plus ``reach`` times the distance of its quartiles, plus the
-    feature's ``slack``; word length has a lower fence of the same kind as well. Rows that fail the base rule
+    ``kept``: not so, and no feature lies beyond the fence of its language and source, which the group's own
+    quantiles set as ``features`` tell; values are compared by their sketch buckets, so a value as
+    far as the fence stays. Rows that fail the base rule
     do not enter the sketches. Groups with fewer than ``min_group`` rows use the sketch of their language,
     and languages with fewer that of all rows: the same sketches, merged.
 
@@ -172,16 +193,15 @@ def judge(
         .withColumn("group_source", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
     )
     rows = kept(measured, "quality")
-    at = {"low": 0.25, "high": 0.75}
     own = kept(sketches(rows.filter(~F.col("base_failed")), ["group_lang", "group_source"]), "quality-sketch")
     by_lang = own.groupBy("group_lang", "feature", "bucket").agg(F.sum("n").alias("n"))
     overall = own.groupBy("feature", "bucket").agg(F.sum("n").alias("n"))
     levels = [
-        quantiles(own, ["group_lang", "group_source"], at),
-        quantiles(by_lang, ["group_lang"], at),
-        quantiles(overall, [], at),
+        quantiles(own, ["group_lang", "group_source"], features),
+        quantiles(by_lang, ["group_lang"], features),
+        quantiles(overall, [], features),
     ]
-    names = [F.struct("size", *at).alias(f"level{i}") for i in range(3)]
+    names = [F.struct("size", "low", "high").alias(f"level{i}") for i in range(3)]
     merged = (
         levels[0].select("group_lang", "group_source", "feature", names[0])
         .join(levels[1].select("group_lang", "feature", names[1]), ["group_lang", "feature"])
@@ -192,13 +212,16 @@ def judge(
         .when(F.col("level1.size") >= min_group, F.col("level1"))
         .otherwise(F.col("level2"))
     )
-    own_slack = F.coalesce(*(F.when(F.col("feature") == f, F.lit(slack[f])) for f in FEATURES))
-    margin = reach * (F.col("q.high") - F.col("q.low")) + own_slack
+
+    def setting(part: str) -> Column:
+        return F.coalesce(*(F.when(F.col("feature") == f, F.lit(getattr(x, part))) for f, x in features.items()))
+
+    margin = setting("reach") * (F.col("q.high") - F.col("q.low"))
     fences = merged.select("group_lang", "group_source", "feature", chosen.alias("q")).select(
         "group_lang",
         "group_source",
         "feature",
-        (F.col("q.high") + margin).alias("most"),
+        F.least(F.col("q.high") + margin, setting("cap")).alias("most"),  # no cap is a NULL, which least skips
         (F.col("q.low") - margin).alias("least"),
     )
     pick = lambda feature, fence: F.max(F.when(F.col("feature") == feature, F.col(fence))).alias(
@@ -206,13 +229,16 @@ def judge(
     )
     per_group = kept(
         fences.groupBy("group_lang", "group_source").agg(
-            *(pick(f, "most") for f in FEATURES), pick("word_length", "least")
+            *(pick(f, "most") for f in features), *(pick(f, "least") for f, x in features.items() if x.two_sided)
         ),
         "quality-fences",
     )
-    beyond = F.col("word_length") < F.col("least_word_length")
-    for feature in FEATURES:
-        beyond = beyond | (F.col(feature) > F.col(f"most_{feature}"))
+    beyond = F.lit(False)
+    for feature, fence in features.items():
+        value = _bucket_floor(F.col(feature))
+        beyond = beyond | (value > F.col(f"most_{feature}"))
+        if fence.two_sided:
+            beyond = beyond | (value < F.col(f"least_{feature}"))
     return rows.join(per_group, ["group_lang", "group_source"], "left").select(
         "doc_id",
         "n_words",
@@ -222,5 +248,5 @@ def judge(
         "n_repeat_words",
         "base_failed",
         (~F.col("base_failed") & ~F.coalesce(beyond, F.lit(False))).alias("kept"),
-        *FEATURES,
+        *features,
     )

@@ -103,25 +103,31 @@ levels AS (
 ranked AS (
   SELECT *, sum(n) OVER (PARTITION BY level, la, so, feature ORDER BY bucket) AS below,
          sum(n) OVER (PARTITION BY level, la, so, feature) AS size FROM levels),
-quartiles AS (
+settings AS (
+  SELECT * FROM (VALUES ('symbol_rate', 500, 800, 3, 500), ('dup_line_rate', 500, 990, 0, 500),
+                        ('repeat_rate', 500, 990, 0, 500), ('word_length', 250, 750, 3, 1000000))
+    AS s(feature, lower_share, upper_share, reach, cap)),
+quantiles AS (
   SELECT level, la, so, feature, max(size) AS size,
-         min(bucket) FILTER (below >= ceil(size * 0.25)) AS low, min(bucket) FILTER (below >= ceil(size * 0.75)) AS high
-  FROM ranked GROUP BY ALL),
+         min(bucket) FILTER (1000 * below >= lower_share * size) AS low,
+         min(bucket) FILTER (1000 * below >= upper_share * size) AS high
+  FROM ranked JOIN settings USING (feature) GROUP BY ALL),
 chosen AS (
   SELECT own.la, own.so, own.feature,
          CASE WHEN own.size >= 200 THEN own.low WHEN lang.size >= 200 THEN lang.low ELSE every.low END AS low,
          CASE WHEN own.size >= 200 THEN own.high WHEN lang.size >= 200 THEN lang.high ELSE every.high END AS high
-  FROM quartiles own JOIN quartiles lang ON lang.level = 1 AND lang.la = own.la AND lang.feature = own.feature
-  JOIN quartiles every ON every.level = 2 AND every.feature = own.feature WHERE own.level = 0),
+  FROM quantiles own JOIN quantiles lang ON lang.level = 1 AND lang.la = own.la AND lang.feature = own.feature
+  JOIN quantiles every ON every.level = 2 AND every.feature = own.feature WHERE own.level = 0),
 fences AS (
-  SELECT la, so, feature, high + 3 * (high - low) + slack AS most, low - 3 * (high - low) - slack AS least
-  FROM chosen JOIN (VALUES ('symbol_rate', 50), ('dup_line_rate', 500), ('repeat_rate', 300), ('word_length', 20))
-    AS s(feature, slack) USING (feature)),
+  SELECT la, so, feature, least(high + reach * (high - low), cap) AS most, low - reach * (high - low) AS least
+  FROM chosen JOIN settings USING (feature)),
+judged AS (
+  UNPIVOT (SELECT doc_id, la, so, symbol_rate, dup_line_rate, repeat_rate, word_length FROM rated WHERE NOT base_failed)
+  ON symbol_rate, dup_line_rate, repeat_rate, word_length INTO NAME feature VALUE v),
 beyond AS (
-  SELECT r.doc_id FROM rated r JOIN fences f USING (la, so) WHERE NOT base_failed AND (
-    (feature = 'symbol_rate' AND symbol_rate > most) OR (feature = 'dup_line_rate' AND dup_line_rate > most) OR
-    (feature = 'repeat_rate' AND repeat_rate > most) OR
-    (feature = 'word_length' AND (word_length > most OR word_length < least))))
+  SELECT doc_id FROM (
+    SELECT *, (v >> greatest(length(bin(v)) - 5, 0)) << greatest(length(bin(v)) - 5, 0) AS bucket FROM judged)
+  JOIN fences USING (la, so, feature) WHERE bucket > most OR (feature = 'word_length' AND bucket < least))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM beyond) AS kept,
        symbol_rate, dup_line_rate, repeat_rate, word_length

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -12,7 +14,7 @@ from siltstone.llm.license_scan import scan_licenses
 from siltstone.llm.quality import FEATURES, judge
 from siltstone.llm.sharding import shards
 
-from samples import SF, documents, nothing, odd, odd_rows  # noqa: F401
+from samples import SF, documents, nothing, odd, odd_rows, prose  # noqa: F401
 
 
 def license_words(text):
@@ -146,14 +148,40 @@ def test_fences_from_a_plain_model(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = judge(docs, min_group=10**9).collect()  # all groups use all rows
     own = [r for r in rows if not r["base_failed"]]
-    for feature, slack in FEATURES.items():
+    gone = set()
+    for feature, fence in FEATURES.items():
         values = sorted(bucket(r[feature]) for r in own)
-        low, high = (values[-(-len(values) * q // 4) - 1] for q in (1, 3))
-        most, least = high + 3 * (high - low) + slack, low - 3 * (high - low) - slack
-        for r in own:
-            if r[feature] > most or (feature == "word_length" and r[feature] < least):
-                assert not r["kept"]
-    assert any(r["kept"] for r in rows)
+        low, high = (values[-(-len(values) * q // 1000) - 1] for q in (fence.lower, fence.upper))
+        most, least = high + fence.reach * (high - low), low - fence.reach * (high - low)
+        most = min(most, fence.cap or most)
+        gone |= {i for i, r in enumerate(own) if bucket(r[feature]) > most}
+        gone |= {i for i, r in enumerate(own) if fence.two_sided and bucket(r[feature]) < least}
+    assert [r["kept"] for r in own] == [i not in gone for i in range(len(own))]
+    assert not any(r["kept"] for r in rows if r["base_failed"]) and 0 < len(gone) < len(own) / 2
+
+
+def test_what_is_odd_depends_on_the_source(spark):
+    """Symbols that a source always has are no junk there, and a few documents with them are elsewhere."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(600):
+        text = prose(rng, 80)
+        if i < 300 or i >= 590:
+            text = " ".join(w + "|" * (n % 2) for n, w in enumerate(text.split()))
+        rows.append((i, text, "en", "tables" if i < 300 else "prose"))
+    found = judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    kept = {r["doc_id"] for r in found.collect() if r["kept"]}
+    assert len(kept & set(range(300))) > 280 and len(kept & set(range(300, 590))) > 270
+    assert not kept & set(range(590, 600))
+
+
+def test_a_megabyte_of_blanks(spark):
+    texts = ["a" + " " * 1_000_000 + "b", " " * 1_000_000, "\t" * 500_000 + "c " * 60]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)]
+    found = judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    start = time.perf_counter()
+    assert [r["n_words"] for r in found.orderBy("doc_id").collect()] == [2, 0, 60]
+    assert time.perf_counter() - start < 20
 
 
 def check_shards(rows, n):
