@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,10 +44,10 @@ from siltstone.session import new_folder
 
 #: Bytes of text in a chunk (fewer for the end of a document), in a part and per slot of names.
 CHUNK_BYTES = 1 << 18
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 SLOT_BYTES = 16 << 20
-#: Parts are buckets of a table, of which Spark allows no more; beyond 1.6 TB the parts grow.
-MOST_PARTS = 100_000
+#: Parts lie in buckets of a table, of which Spark allows no more; beyond 800 GB a bucket holds several parts.
+MOST_BUCKETS = 100_000
 GRAM = 32
 
 _U = np.uint64
@@ -194,9 +194,8 @@ class _Part:
         shared = ((flags[0] & 1).astype(bool) | (times > 1))[where]
         cuts = np.cumsum([len(r.name) for r in self.runs])[:-1] if self.runs else []
         self.shared = [np.flatnonzero(x) for x in np.split(shared, cuts)] if self.runs else []
-        self.sums = [self._sums(i) if len(x) else None for i, x in enumerate(self.shared)]
         name = names[shared]
-        triple = self._gather([r.triples(s, x, length) for r, s, x in self._with_shared()])
+        triple = self._gather(self.runs[i].triples(self._sums(i), x, length) for i, x in enumerate(self.shared) if len(x))
         distinct, entry, later = _distinct(triple)
         own, where = np.unique(name, return_inverse=True)
         low, high = np.full(len(own), ~_U(0)), np.zeros(len(own), np.uint64)
@@ -210,9 +209,12 @@ class _Part:
         several = (flags[1][len(distinct) :] & 1).astype(bool)[where]
         self.repeated = self._per_chunk(earlier)
         self.open = self._per_chunk(~earlier & several)
-        found = [r.windows(s, x, length) for (r, s, _), x in zip(self._with_shared(), self._filled(self.open))]
+        none = (np.zeros(0, np.int64), [np.zeros(0, np.uint64)] * len(_HASHES))
+        found = [
+            self.runs[i].windows(self._sums(i), x, length) if len(x) else none for i, x in enumerate(self.open)
+        ]
         self.starts = [f[0] for f in found]
-        window = self._gather([f[1] for f in found])
+        window = self._gather(f[1] for f in found)
         distinct, entry, later = _distinct(window)
         self.entries = [(0, _columns(window[0][distinct], window[1][distinct]))]
         if len(flags) < 3:
@@ -223,17 +225,13 @@ class _Part:
         self.again = [s[a] for s, a in zip(self.starts, parts)]
 
     def _sums(self, i: int) -> list[np.ndarray]:
+        """Prefix sums of a chunk; sixteen times its size, so they are made when needed and not kept."""
         codes = np.frombuffer(self.columns["data"][i].as_py(), np.uint8)
         return [h.sums(codes) for h in _HASHES]
 
-    def _with_shared(self) -> Iterator[tuple[Runs, list[np.ndarray], np.ndarray]]:
-        return ((r, s, x) for r, s, x in zip(self.runs, self.sums, self.shared) if s is not None)
-
-    def _filled(self, per_chunk: list[np.ndarray]) -> list[np.ndarray]:
-        return [x for x, s in zip(per_chunk, self.sums) if s is not None]
-
     @staticmethod
-    def _gather(pairs: list[Sequence[np.ndarray]]) -> list[np.ndarray]:
+    def _gather(pairs: Iterable[Sequence[np.ndarray]]) -> list[np.ndarray]:
+        pairs = list(pairs)
         return [np.concatenate([np.zeros(0, np.uint64), *(p[k] for p in pairs)]) for k in range(len(_HASHES))]
 
     def _per_chunk(self, chosen: np.ndarray) -> list[np.ndarray]:
@@ -246,19 +244,15 @@ class _Part:
 
     def covered(self) -> Iterator[tuple[int, bytes, np.ndarray]]:
         """Per chunk its number, its own bytes, and which of them some repeated window covers."""
-        again = iter(self.again)
         carried = np.zeros(0, dtype=bool)
         for i, runs in enumerate(self.runs):
             data = self.columns["data"][i].as_py()
             own = len(data) - self.columns["tail"][i].as_py()
             change = np.zeros(len(data) + 1, dtype=np.int32)
-            starts = runs.first[self.repeated[i]]
-            np.add.at(change, starts, 1)
+            np.add.at(change, runs.first[self.repeated[i]], 1)
             np.add.at(change, runs.last[self.repeated[i]] + self.length, -1)
-            if self.sums[i] is not None:
-                starts = next(again)
-                np.add.at(change, starts, 1)
-                np.add.at(change, starts + self.length, -1)
+            np.add.at(change, self.again[i], 1)
+            np.add.at(change, self.again[i] + self.length, -1)
             gone = np.cumsum(change[:-1]) > 0
             gone[: len(carried)] |= carried
             carried = gone[own:]
@@ -311,7 +305,7 @@ def _chunks(docs: DataFrame, length: int) -> tuple[DataFrame, int]:
     rest = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*(docs[c] for c in rest)).alias("row"), whole_text(docs).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = min(MOST_PARTS, max(1, -(-total // PART_BYTES)))
+    parts = max(1, -(-total // PART_BYTES))
 
     schema = T.StructType(
         [
@@ -367,13 +361,15 @@ def _chunks(docs: DataFrame, length: int) -> tuple[DataFrame, int]:
                 yield chunk(own_rows.slice(first, len(held)), np.cumsum([len(t) for t in held]).tolist(), b"".join(held), 0)
 
     placed = rows.repartitionByRange(parts, "row.doc_id").sortWithinPartitions("row.doc_id", "text")
+    # As many buckets as a shuffle has partitions, or Spark would rather shuffle the texts to get as many.
+    buckets = min(MOST_BUCKETS, max(parts, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     name = f"repeat_chunks_{uuid.uuid4().hex[:12]}"
     (
         placed.mapInArrow(build, schema)
         .write.format("parquet")
         .option("path", new_folder(spark, "repeat-chunks"))
         .option("compression", "zstd")
-        .bucketBy(parts, "part")
+        .bucketBy(buckets, "part")
         .saveAsTable(name)
     )
     chunks = spark.table(name)
@@ -414,7 +410,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, texts: bool = False) -> D
             return own.groupBy("part").applyInArrow(lambda table: use(state(table, table, 0), table), schema)
         told = settled[0]
         for flags in settled[1:]:
-            told = told.join(flags, "part", "left")
+            told = told.join(flags.hint("merge"), "part", "left")  # small files, but they unfold
         return own.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(
             lambda table, flags: use(state(table, flags, rounds), table), schema
         )
