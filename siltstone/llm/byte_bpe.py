@@ -1,35 +1,70 @@
-"""Byte-level BPE ids of many texts, through the tokenizers library and a cache of chunks.
+"""Byte-level BPE ids of many texts at once, through the tokenizers library, each word once.
 
 A text is cut before single spaces. The vocabulary's pre-tokenizer starts a new
 piece at every space that does not stand between two white-space characters, so
-chunks cut there are encoded as they would be in place. Texts with such a space, with a
-special string, or with characters on which regular-expression engines differ
-go to the library whole.
+chunks cut there are encoded as they would be in place. Distinct chunks of characters on whose classes all
+regular-expression engines agree are cut further, as the pre-tokenizer cuts them, and the distinct pieces go to the library
+in long rows: a word is encoded once, whatever mark follows it. Arrow finds what is distinct, and numpy puts
+the ids together. Other chunks go to the library by themselves, and texts with white space next to a space or
+with a special string as a whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one worker a core
 
-#: Chunks that a worker remembers, and the longest one (in characters) that it keeps.
-CACHE_ENTRIES = 400_000
+#: Characters of text that are encoded together, and of distinct words that go to the library in one row.
+BATCH_CHARS = 12_000_000
+JOINED_CHARS = 20_000
+#: Pieces in each of the two generations that a worker remembers, and the longest one (in characters) that it keeps.
+CACHE_ENTRIES = 250_000
 CACHE_CHARS = 48
-#: Characters (of missing chunks) that go to the library as one text.
-JOINED_CHARS = 2_000
 
-# A space next to other white space; and white space other than blank, tab and line ends.
-_RUN = re.compile(r" [ \t\n\r\x0b\x0c]|[\x1c-\x1f\x85\xa0  -     　]")
+# Letters of Latin, Cyrillic, Japanese, Chinese and Korean script; ASCII and general punctuation; white space.
+_LETTER = "A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ԯぁ-ゖァ-ヺ一-鿌가-힣"
+_MARK = re.escape("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") + "‐-‧‰-⁞、。「」"
+_BLANK = r" \t\n\r\x0b\x0c"
+_SAFE = rf"^[{_LETTER}0-9{_MARK}{_BLANK}]*$"
+# The pre-tokenizer's pieces of a chunk, with the space before it. Of several blanks before another character the last one is
+# a piece of its own.
+_PIECE = rf"'(?:[sdmt]|ll|ve|re)| ?[{_LETTER}]+| ?[0-9]+| ?[{_MARK}]+"
+_PIECES = re.compile(rf"{_PIECE}|[{_BLANK}]+(?!\S)|[{_BLANK}]+")
+_SEVERAL_BLANKS = rf"[{_BLANK}][{_BLANK}]+[^{_BLANK}]"
+# A chunk that is empty or begins with a blank, and white space other than blanks.
+_UNCUT = rf"^ $|^ [{_BLANK}]|[\x1c-\x1f\x{{85}}\x{{a0}}\x{{1680}}\x{{180e}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]"
+_CUT = "\x1f"  # never in a chunk that is cut
+
+
+def _large(value: str) -> pa.Scalar:
+    return pa.scalar(value, pa.large_string())
+
+
+def picked(flat: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the items that ``codes`` name, one after the other, and the size of each."""
+    begins, own = np.cumsum(sizes) - sizes, sizes[codes]
+    ends = np.cumsum(own)
+    if not len(ends):
+        return flat[:0], own
+    return flat[np.repeat(begins[codes] - (ends - own), own) + np.arange(ends[-1])], own
+
+
+def sums_between(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sums between consecutive offsets."""
+    total = np.concatenate([[0], np.cumsum(values)])
+    return total[offsets[1:]] - total[offsets[:-1]]
 
 
 class ByteBpe:
-    """One tokenizer file and what this process has seen of it; kept for the life of a worker."""
+    """One tokenizer file; kept for the life of a worker."""
 
     _open: dict[str, ByteBpe] = {}
 
@@ -42,10 +77,9 @@ class ByteBpe:
         self.opens = np.zeros(size, dtype=bool)  # ids whose bytes begin with a blank
         for piece, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.opens[i] = piece.startswith("Ġ")
-        self.spaced: dict[str, bytes] = {}  # chunk -> ids of " " + chunk
-        self.first: dict[str, bytes] = {}  # chunk at the start of a text -> ids
-        self.marks = {mark: self.whole(mark) for mark in ".,;:!?"}
-        self.met = bytearray(1 << 22)  # by hash: chunks that were missing once; the cache takes them the next time
+        #: Ids of pieces; what is met again moves from the older generation to the new one.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def at(cls, path: str) -> ByteBpe:
@@ -59,86 +93,106 @@ class ByteBpe:
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        out: list = [None] * len(texts)
-        open_rows: list[tuple[int, list[str], list, list[int]]] = []
-        missing: dict[str, bytes | None] = {}
-        lookup = self.spaced.get
-        for row, text in enumerate(texts):
-            if _RUN.search(text) or any(s in text for s in self.specials):
-                out[row] = self.whole(text)
-                continue
-            chunks = text.split(" ")
-            parts = [self._first(chunks[0]), *map(lookup, chunks[1:])]
-            if None in parts:
-                gaps = []
-                for i, part in enumerate(parts):
-                    if part is None:
-                        chunk = chunks[i]
-                        # A mark after a word is a piece of its own, so the word's ids will do.
-                        mark = self.marks.get(chunk[-1:])
-                        if mark is not None and chunk[-2:-1].isalnum():
-                            stem = lookup(chunk[:-1])
-                            if stem is not None:
-                                parts[i] = stem + mark
-                                continue
-                        gaps.append(i)
-                        missing[chunk] = None
-                open_rows.append((row, chunks, parts, gaps))
-            else:
-                out[row] = b"".join(parts)
-        self._fill(missing)
-        for row, chunks, parts, gaps in open_rows:
-            for i in gaps:
-                parts[i] = missing[chunks[i]]
-            out[row] = b"".join(parts)
+        out: list[bytes] = []
+        first = chars = 0
+        for i, text in enumerate(texts):
+            chars += len(text)
+            if chars >= BATCH_CHARS or i + 1 == len(texts):
+                out += self._batch(texts[first : i + 1])
+                first, chars = i + 1, 0
+        return out
+
+    def _batch(self, texts: Sequence[str]) -> list[bytes]:
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        offsets, values = split.offsets.to_numpy().astype(np.int64), split.values
+        coded = values.dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        # A text starts with a chunk that has no space before it.
+        starts = values.take(pa.array(offsets[:-1]))
+        codes[offsets[:-1]] = len(coded.dictionary) + np.arange(len(texts))
+        spaced = pc.binary_join_element_wise(_large(" "), coded.dictionary, _large(""))
+        flat, sizes, uncut = self._chunks(pa.concat_arrays([spaced, starts]))
+        ids, own = picked(flat, sizes, codes)
+        lengths = sums_between(own, offsets)
+        raw, ends = ids.tobytes(), (4 * np.cumsum(lengths)).tolist()
+        out = [raw[a:b] for a, b in zip([0, *ends], ends)]
+        alone = sums_between(uncut[codes].astype(np.int64), offsets) > 0
+        for i in np.flatnonzero(alone).tolist():
+            out[i] = self.whole(texts[i])
+        for special in self.specials:
+            if " " in special:
+                out = [self.whole(t) if special in t else ids for t, ids in zip(texts, out)]
         return out
 
-    def _first(self, chunk: str) -> bytes:
-        found = self.first.get(chunk)
-        if found is None:
-            found = self.whole(chunk)
-            if len(chunk) <= CACHE_CHARS and len(self.first) < CACHE_ENTRIES // 4:
-                self.first[chunk] = found
-        return found
-
-    def _fill(self, missing: dict[str, bytes | None]) -> None:
-        """Encode each missing chunk once, many of them as one text."""
-        waiting: list[str] = []
-        chars = 0
-        for chunk in missing:
-            # At its edges white space would run into the next chunk's blank.
-            if not chunk or chunk[0].isspace() or chunk[-1].isspace() or len(chunk) > JOINED_CHARS:
-                missing[chunk] = self.whole(" " + chunk)
+    def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of the chunks, how many each has, and which must not be cut out of their texts (these get none)."""
+        uncut = pc.match_substring_regex(chunks, _UNCUT)
+        for special in self.specials:
+            uncut = pc.or_(uncut, pc.match_substring(chunks, special))
+        plain = pc.and_not(pc.match_substring_regex(chunks, _SAFE), pc.match_substring_regex(chunks, _SEVERAL_BLANKS))
+        uncut = uncut.to_numpy(zero_copy_only=False)
+        plain = plain.to_numpy(zero_copy_only=False) & ~uncut
+
+        # Plain chunks are cut by Arrow; the first of the parts is what stands before the first mark: nothing.
+        marked = pc.replace_substring_regex(chunks.filter(pa.array(plain)), f"({_PIECE}|[{_BLANK}]+)", f"{_CUT}\\1")
+        parts = pc.split_pattern(marked, _CUT)
+        others = np.flatnonzero(~plain & ~uncut)
+        cut = [self._pieces(c) for c in chunks.take(pa.array(others)).to_pylist()]
+        values = pa.concat_arrays([parts.values, pa.array([p for c in cut for p in c], pa.large_string())])
+        coded = values.dictionary_encode()
+        flat, sizes = self._encode(coded.dictionary)
+        ids, own = picked(flat, sizes, coded.indices.to_numpy())
+
+        # Back into the order of the chunks: plain ones, then the others.
+        offsets = np.concatenate([parts.offsets.to_numpy(), len(parts.values) + np.cumsum([len(c) for c in cut], dtype=np.int64)])
+        found = sums_between(own, offsets.astype(np.int64))
+        order = np.concatenate([np.flatnonzero(plain), others])
+        sizes = np.zeros(len(chunks), dtype=np.int64)
+        sizes[order] = found
+        place = np.full(len(chunks), -1)
+        place[order] = np.arange(len(order))
+        flat, _ = picked(ids, found, place[place >= 0])
+        return flat, sizes, uncut
+
+    def _pieces(self, chunk: str) -> list[str]:
+        pieces = _PIECES.findall(chunk)
+        # A character of no known class is left out by the pattern; the library takes such a chunk as it is.
+        return pieces if sum(map(len, pieces)) == len(chunk) else [chunk]
+
+    def _encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some distinct pieces, and how many each has."""
+        joinable = pc.match_substring_regex(pieces, rf"^ (?:[{_LETTER}]+|[0-9]+|[{_MARK}]+)$").to_pylist()
+        words = pieces.to_pylist()
+        if len(self.known) > CACHE_ENTRIES:
+            self.known, self.older = {}, self.known
+        found = list(map(self.known.get, words))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        new = []
+        for i in gaps:
+            found[i] = ids = self.older.get(words[i])
+            if ids is None:
+                if joinable[i]:
+                    new.append(i)
+                else:
+                    found[i] = self.whole(words[i])
+        for i, ids in zip(new, self._joined([words[i] for i in new])):
+            found[i] = ids
+        self.known.update((words[i], found[i]) for i in gaps if len(words[i]) <= CACHE_CHARS)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), "<u4"), sizes
+
+    def _joined(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words that begin with a space, many of them as one text."""
+        first = chars = 0
+        for i, word in enumerate(words, 1):
+            chars += len(word)
+            if chars < JOINED_CHARS and i < len(words):
                 continue
-            waiting.append(chunk)
-            chars += len(chunk) + 1
-            if chars >= JOINED_CHARS:
-                self._joined(waiting, missing)
-                waiting, chars = [], 0
-        self._joined(waiting, missing)
-        room, met, mask = CACHE_ENTRIES - len(self.spaced), self.met, len(self.met) - 1
-        for chunk, ids in missing.items():
-            if room <= 0:
-                break
-            slot = hash(chunk) & mask
-            if met[slot] and len(chunk) <= CACHE_CHARS:
-                self.spaced[chunk] = ids
-                room -= 1
-            met[slot] = 1
-
-    def _joined(self, chunks: list[str], found: dict[str, bytes | None]) -> None:
-        if not chunks:
-            return
-        text = " " + " ".join(chunks)
-        ids = np.array(
-            self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4"
-        )
-        cuts = np.flatnonzero(self.opens[ids])
-        if len(cuts) != len(chunks):  # never seen; a chunk with an odd blank of its own
-            for chunk in chunks:
-                found[chunk] = self.whole(" " + chunk)
-            return
-        raw = ids.tobytes()
-        ends = [*(cuts[1:] * 4).tolist(), len(raw)]
-        for chunk, start, end in zip(chunks, (cuts * 4).tolist(), ends):
-            found[chunk] = raw[start:end]
+            found = self.tokenizer.encode_batch_fast(["".join(words[first:i])], add_special_tokens=False)[0].ids
+            ids = np.array(found, dtype="<u4")
+            cuts = (4 * np.flatnonzero(self.opens[ids])).tolist()
+            if len(cuts) != i - first:
+                raise RuntimeError("the vocabulary joins words over a space")
+            raw = ids.tobytes()
+            yield from (raw[a:b] for a, b in zip(cuts, [*cuts[1:], len(raw)]))
+            first, chars = i, 0
