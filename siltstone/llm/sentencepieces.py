@@ -14,7 +14,8 @@ nothing if byte-pair merging of their common string stops at just these two piec
 and infinitely much otherwise. Exactly one path, the model's own result, has a finite weight.
 
 No piece spans a pair of characters that stands in no piece. Texts are cut there, and
-the path of each distinct cut is remembered.
+the path of each distinct cut is remembered. The words of a batch that are new are composed all together, place by
+place (``Lattice``): numpy looks up which substrings are pieces and which pairs have a finite weight.
 """
 
 from __future__ import annotations
@@ -26,19 +27,138 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2
 
+from siltstone.llm.byte_bpe import picked, sums_between
 from siltstone.llm.common import whole_text
 
 MARK = "▁"
-#: What a worker remembers, and the longest entry (in characters).
-CACHE_ENTRIES = 500_000
+#: What a worker remembers in each of its memories (of whole words, in each of two generations), and the longest entry (in characters).
+CACHE_ENTRIES = 250_000
 CACHE_CHARS = 48
+#: Characters of text that are encoded together, and words that are composed together.
+BATCH_CHARS = 12_000_000
+LATTICE_WORDS = 20_000
 _NORMAL, _UNKNOWN, _CONTROL, _USER_DEFINED, _BYTE = 1, 2, 3, 4, 6
 _UNIGRAM, _BPE = 1, 2
 
 
+class Lattice:
+    """Least paths through many words at once, for a grammar whose weights are 0 or infinite.
+
+    Exactly one path leads to each place of a word that can be reached, so the first arc found is the path's.
+    Substrings are looked up by 64-bit hashes among the pieces of their length. A character in no piece is an
+    arc of its own, which any arc may follow, and spells its bytes.
+    """
+
+    _ALONE = 1 << 22  # arcs of characters in no piece: their code points from here on
+
+    _BASE = np.uint64(0x9E3779B97F4A7C15)
+    _SLOT_BITS = 21
+
+    def __init__(self, owner: Transducer):
+        self.owner = owner
+        hashes, lengths = self._hashes(list(owner.usable))
+        names, ids = hashes[np.arange(len(lengths)), lengths], np.fromiter(owner.usable.values(), np.int64, len(lengths))
+        self.pieces: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for length in np.unique(lengths).tolist():
+            own = np.flatnonzero(lengths == length)
+            own = own[np.argsort(names[own])]
+            self.pieces[length] = names[own], ids[own]
+        # Weights of pairs: a slot remembers the last pair that fell into it.
+        self.keys = np.full(1 << self._SLOT_BITS, -1, dtype=np.int64)
+        self.finite = np.zeros(1 << self._SLOT_BITS, dtype=bool)
+
+    def _hashes(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all prefixes of the words, and the words' lengths."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        longest = int(lengths.max(initial=0))
+        table = np.zeros((len(words), longest), dtype=np.uint64)
+        table[np.arange(longest) < lengths[:, None]] = codes + np.uint64(1)
+        hashes = np.zeros((len(words), longest + 1), dtype=np.uint64)
+        for i in range(longest):
+            hashes[:, i + 1] = hashes[:, i] * self._BASE + table[:, i]
+        return hashes, lengths
+
+    def _allowed(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        free = np.maximum(left, right) >= self._ALONE
+        if free.any():
+            out = free.copy()
+            out[~free] = self._allowed(left[~free], right[~free])
+            return out
+        keys = left << 32 | right
+        slots = (keys.astype(np.uint64) * self._BASE >> np.uint64(64 - self._SLOT_BITS)).astype(np.int64)
+        known = self.keys[slots] == keys
+        out = self.finite[slots]
+        if not known.all():
+            new, where = np.unique(keys[~known], return_inverse=True)
+            weights = np.array([self.owner._pair_weight(k >> 32, k & 0xFFFFFFFF) == 0 for k in new.tolist()])
+            out[~known] = weights[where]
+            self.keys[slots[~known]] = keys[~known]
+            self.finite[slots[~known]] = weights[where]
+        return out
+
+    def paths(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words one after the other, and how many each has."""
+        hashes, lengths = self._hashes(words)
+        longest = hashes.shape[1] - 1
+        last = np.full((len(words), longest + 1), -1, dtype=np.int64)
+        start = np.zeros((len(words), longest + 1), dtype=np.int16)
+        power = np.multiply.accumulate(np.append(np.uint64(1), np.full(longest, self._BASE)))
+        for end in range(1, longest + 1):
+            here = lengths >= end
+            for length in range(min(end, self.owner.longest), 0, -1):
+                if length not in self.pieces:
+                    continue
+                begin = end - length
+                rows = np.flatnonzero(here & (last[:, begin] >= 0)) if begin else np.flatnonzero(here)
+                if not len(rows):
+                    continue
+                names, ids = self.pieces[length]
+                found = hashes[rows, end] - hashes[rows, begin] * power[length]
+                at = np.minimum(np.searchsorted(names, found), len(names) - 1)
+                hit = names[at] == found
+                if length == 1:
+                    # The hash of one character is its code point plus one.
+                    piece = np.where(hit, ids[at], self._ALONE + found.astype(np.int64) - 1)
+                else:
+                    rows, piece = rows[hit], ids[at[hit]]
+                if begin and len(rows):
+                    fits = self._allowed(last[rows, begin], piece)
+                    rows, piece = rows[fits], piece[fits]
+                last[rows, end], start[rows, end] = piece, begin
+                here[rows] = False
+        # Back from the ends, one arc of every word at a time.
+        out = np.full((len(words), longest), -1, dtype=np.int64)
+        place = np.where(last[np.arange(len(words)), lengths] >= 0, lengths, 0)
+        column = longest
+        while place.any():
+            column -= 1
+            rows = np.flatnonzero(place)
+            out[rows, column] = last[rows, place[rows]]
+            place[rows] = start[rows, place[rows]]
+        return self._spelled(out[out >= 0], (out >= 0).sum(axis=1))
+
+    def _spelled(self, arcs: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The arcs of words with characters in no piece spelled out."""
+        alone = np.unique(arcs[arcs >= self._ALONE])
+        if not len(alone):
+            return arcs.astype("<i4"), sizes
+        spelled = [self.owner._fallback(chr(c - self._ALONE)) for c in alone.tolist()]
+        own = np.ones(len(arcs), dtype=np.int64)
+        for arc, ids in zip(alone, spelled):
+            own[arcs == arc] = len(ids)
+        word = np.repeat(np.arange(len(sizes)), sizes)
+        out = np.repeat(arcs, own)
+        for arc, ids in zip(alone, spelled):
+            places = np.flatnonzero(out == arc)
+            out[places] = np.tile(ids, len(places) // len(ids))
+        return out.astype("<i4"), np.bincount(word, weights=own, minlength=len(sizes)).astype(np.int64)
+
+
 class Transducer:
     _open: dict[str, Transducer] = {}
 
@@ -87,6 +207,9 @@ class Transducer:
         if self.bpe:
             self._compile_merges()
             self.usable = {p: i for p, i in self.ids.items() if i in self.split}
+        self.lattice = Lattice(self) if self.bpe else None
+        self.known: dict[str, bytes] = {}  # words that follow a blank -> ids
+        self.older: dict[str, bytes] = {}  # the generation before; what is met again moves to the new one
 
     # The grammar of a BPE model.
 
@@ -253,6 +376,65 @@ class Transducer:
                     parts[i] = self._word(MARK + word) if stem is None else stem + self._atom(word[-1])
         return b"".join(parts)
 
+    def encode_all(self, texts: Sequence[str]) -> list[bytes]:
+        """Ids of each text as ``encode`` gives them, of many texts together."""
+        if self.lattice is None or not self.prefix or not self.starts_words:
+            return [self.encode(t) for t in texts]
+        out: list[bytes] = [b""] * len(texts)
+        plain: list[int] = []
+        chars = 0
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if MARK in text or "  " in text or text[0] == " " or text[-1] == " ":
+                out[i] = self.encode(text)
+                continue
+            plain.append(i)
+            chars += len(text)
+            if chars >= BATCH_CHARS:
+                self._fill(texts, plain, out)
+                plain, chars = [], 0
+        self._fill(texts, plain, out)
+        return out
+
+    def _fill(self, texts: Sequence[str], rows: list[int], out: list[bytes]) -> None:
+        """Ids of texts whose words are parted by single blanks, from those of their distinct words."""
+        if not rows:
+            return
+        split = pc.split_pattern(pa.array([texts[i] for i in rows], pa.large_string()), " ")
+        coded = split.values.dictionary_encode()
+        found = self._ids_of(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids, own = picked(np.frombuffer(b"".join(found), "<i4"), sizes, coded.indices.to_numpy())
+        raw, ends = ids.tobytes(), np.cumsum(4 * sums_between(own, split.offsets.to_numpy())).tolist()
+        for i, a, b in zip(rows, [0, *ends], ends):
+            out[i] = raw[a:b]
+
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words that follow a blank; the new ones are composed together."""
+        if len(self.known) > CACHE_ENTRIES:
+            self.known, self.older = {}, self.known
+        found = list(map(self.known.get, words))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        new = []
+        for i in gaps:
+            found[i] = self.older.get(words[i])
+            if found[i] is None:
+                if len(words[i]) <= CACHE_CHARS:
+                    new.append(i)
+                else:
+                    found[i] = self._word(MARK + words[i])
+        # Words of like lengths together, so places at the end of long ones are not looked at for all.
+        new.sort(key=lambda i: len(words[i]))
+        for first in range(0, len(new), LATTICE_WORDS):
+            own = new[first : first + LATTICE_WORDS]
+            ids, sizes = self.lattice.paths([MARK + words[i] for i in own])
+            raw, ends = ids.tobytes(), np.cumsum(4 * sizes).tolist()
+            for i, a, b in zip(own, [0, *ends], ends):
+                found[i] = raw[a:b]
+        self.known.update((words[i], found[i]) for i in gaps if len(words[i]) <= CACHE_CHARS)
+        return found
+
     def decode(self, ids: Sequence[int]) -> str:
         """The text of ``ids``, without the blank that encoding puts in front; broken bytes are replaced."""
         text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -262,8 +444,7 @@ class Transducer:
 def encode_documents(docs: DataFrame, model: str) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, ids, and whether the decoded ids give the text back.
 
-    Whole texts are encoded, in Arrow batches a few hundred rows at a time; no rows are
-    shuffled. NULL and empty texts have no ids. A word mark in a text counts as a
+    Whole texts are encoded, a few megabytes at a time; no rows are shuffled. NULL and empty texts have no ids. A word mark in a text counts as a
     blank, and is compared as one. Rows that repeat are returned as often as they come; no rows give none; other
     columns are not read.
     """
@@ -271,12 +452,11 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = Transducer.at(model)
         for whole in batches:
-            for first in range(0, whole.num_rows, 500):
-                batch = whole.slice(first, 500)
-                raw, same = [], []
-                for text in batch.column(1).to_pylist():
-                    found = transducer.encode(text)
-                    raw.append(found)
+            for first in range(0, whole.num_rows, 2500):
+                batch = whole.slice(first, 2500)
+                texts, same = batch.column(1).to_pylist(), []
+                raw = transducer.encode_all(texts)
+                for text, found in zip(texts, raw):
                     ids = np.frombuffer(found, "<i4").tolist()
                     same.append(transducer.decode(ids) == text.replace(MARK, " "))
                 ends = np.cumsum([0, *(len(r) // 4 for r in raw)])
