@@ -6,12 +6,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from siltstone.llm import patched_for, queries, token_counts
+from siltstone.llm import byte_bpe, patched_for, queries, sentencepieces, token_counts
 from siltstone.llm.byte_bpe import ByteBpe
 from siltstone.llm.sentencepieces import Transducer, encode_documents
 from siltstone.llm.token_files import FILE_SCHEMA, read_token_files, write_token_files
@@ -114,6 +115,52 @@ def test_only_misses_are_encoded(spark, odd):
     assert spark.read.parquet(folder).count() == len(after)
 
 
+def test_a_cache_with_a_text_that_two_jobs_appended(spark, odd, odd_rows):
+    cache = new_folder(spark, "token-counts")
+    folder = f"{cache}/tokenizer={token_counts.tokenizer_version(BPE)}"
+    token_counts.count_tokens(odd.filter("doc_id < 3"), cache, BPE)
+    spark.createDataFrame(spark.read.parquet(folder).collect(), token_counts.CACHE_SCHEMA).write.mode("append").parquet(folder)
+    assert token_counts.count_tokens(odd, cache, BPE).count() == len(odd_rows)
+
+
+def test_a_warm_run_moves_only_texts_that_are_missing(spark, odd, monkeypatch):
+    """The plan of the texts that a warm run encodes reads them through a join with the missing digests."""
+    cache = new_folder(spark, "token-counts")
+    token_counts.count_tokens(odd.filter("doc_id < 100 OR doc_id IS NULL"), cache, BPE)
+    seen = []
+    keep = token_counts.kept
+    monkeypatch.setattr(token_counts, "kept", lambda df, purpose: seen.append(df.count()) or keep(df, purpose))
+    token_counts.count_tokens(odd, cache, BPE)
+    assert seen == [12]
+    token_counts.count_tokens(odd, cache, BPE)
+    assert seen == [12, 0]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(TEXTS, max_size=5))
+def test_words_composed_together_give_the_librarys_pieces(texts):
+    transducer = Transducer.at(PIECES)
+    transducer.known, transducer.older = {}, {}
+    found = [np.frombuffer(b, "<i4").tolist() for b in transducer.encode_all(texts)]
+    assert found == [_pieces.encode(t) for t in texts]
+
+
+def test_batches_of_many_words(documents):
+    """Caches that turn over, batches and rows for the library that are cut in the middle."""
+    texts = sorted(documents.values())[:60] + ["中文字 ab\x00cd", "é" * 70 + " x" * 50]
+    bpe, transducer = ByteBpe(BPE), Transducer(PIECES)
+    with pytest.MonkeyPatch.context() as patch:
+        for module in (byte_bpe, sentencepieces):
+            patch.setattr(module, "CACHE_ENTRIES", 100)
+            patch.setattr(module, "BATCH_CHARS", 5000)
+        patch.setattr(byte_bpe, "JOINED_CHARS", 90)
+        patch.setattr(sentencepieces, "LATTICE_WORDS", 7)
+        for _ in range(2):
+            assert [np.frombuffer(b, "<u4").tolist() for b in bpe.encode(texts)] == [ids_of(t) for t in texts]
+            found = [np.frombuffer(b, "<i4").tolist() for b in transducer.encode_all(texts)]
+            assert found == [_pieces.encode(t) for t in texts]
+
+
 @settings(max_examples=400, deadline=None)
 @given(TEXTS)
 def test_pieces_are_the_librarys(text):
