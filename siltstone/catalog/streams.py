@@ -23,6 +23,7 @@ from siltstone.streaming.streams import (
     order_feed_schema,
     rejects,
     stream_bronze,
+    stream_merge,
     stream_table,
     stream_upsert,
 )
@@ -99,10 +100,32 @@ def stream_routed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("""
+UPSERTED_SQL = """
 SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey
-  ORDER BY o_orderdate >= TIMESTAMP '1998-01-01' DESC, o_totalprice DESC, o_orderkey DESC) = 1""")
+  ORDER BY o_orderdate >= TIMESTAMP '1998-01-01' DESC, o_totalprice DESC, o_orderkey DESC) = 1"""
+
+
+@query(UPSERTED_SQL)
+def stream_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by one merge a batch, without a log of the rows."""
+    wh = warehouse(spark)
+    folder = new_folder(spark, "stream")
+    orders = table(spark, sf, "orders")
+    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    columns = ["o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice"]
+    for part in [early, ~early, None]:
+        if part is not None:
+            orders.filter(part).select(columns).write.mode("append").parquet(f"{folder}/in")
+        stream = stream_table(spark, f"{folder}/in", orders.select(columns).schema)
+        stream_merge(
+            wh, "silver.latest", stream, ["o_custkey"], [F.desc("o_totalprice"), F.desc("o_orderkey")],
+            f"{folder}/checkpoint",
+        )
+    return wh.read("silver.latest")
+
+
+@query(UPSERTED_SQL)
 def stream_upserted(spark: SparkSession, sf: str) -> DataFrame:
     """Each customer's dearest order of the last run that had one; a third run has no input."""
     wh = warehouse(spark)

@@ -183,3 +183,34 @@ def stream_upsert(
     if fresh.isEmpty():
         return wh.version(name)
     return merge(wh, name, dedupe(fresh, on, latest), on, properties={"stream_run": str(run)})
+
+
+def stream_merge(
+    wh: Warehouse,
+    name: str,
+    stream: DataFrame,
+    on: Sequence[str],
+    latest: Sequence[Column],
+    checkpoint: str,
+    feed: str = "stream",
+) -> int:
+    """Upsert a streamed source batch by batch, each as one merge that notes the batch's number with its commit.
+
+    Of several changes to a key in one batch the first in the order ``latest`` counts. A batch that died after its
+    merge and before its checkpoint is given again under the same number, and is then found noted: every batch is
+    merged once. ``feed`` keeps the numbers of several streams into one table apart. Nothing but the
+    table is written; ``stream_upsert`` does without a callback from the JVM, but logs the rows.
+    """
+    wh.create_if_absent(name, stream.schema)
+
+    def upsert(batch: DataFrame, number: int) -> None:
+        merge(wh, name, dedupe(batch, on, latest), on, batch_id=f"{feed} {number}")
+
+    query = (
+        stream.writeStream.foreachBatch(upsert)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return wh.version(name)

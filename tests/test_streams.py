@@ -14,6 +14,7 @@ from siltstone.streaming.streams import (
     stream_bronze,
     stream_checked_csv,
     stream_csv,
+    stream_merge,
     stream_routed,
     stream_table,
     stream_to_table,
@@ -118,3 +119,41 @@ def test_a_streamed_upsert_that_died_before_its_merge_is_finished(wh, spark, fra
     frame([(2, "b")], "k int, v string").write.mode("append").parquet(f"{root}/in")
     _upsert(wh, spark, root)
     assert rows(wh.read("t")) == [(1, "a"), (2, "b")]
+
+
+def _merged(wh, spark, root):
+    return stream_merge(wh, "t", stream_table(spark, f"{root}/in", SCHEMA, 1), ["k"], [F.desc("v")], f"{root}/cp")
+
+
+def test_every_streamed_batch_is_merged_once(wh, spark, frame):
+    root = new_folder(spark, "merge")
+    for batch in ([(1, "a"), (1, "b"), (2, "a")], [(2, "c"), (3, "a")]):
+        frame(batch, "k int, v string").coalesce(1).write.mode("append").parquet(f"{root}/in")
+        version = _merged(wh, spark, root)
+        assert _merged(wh, spark, root) == version
+    assert rows(wh.read("t")) == [(1, "b"), (2, "c"), (3, "a")]
+
+
+@pytest.mark.parametrize("after_the_merge", [False, True])
+def test_a_streamed_batch_that_died_is_taken_up_again(wh, spark, frame, monkeypatch, after_the_merge):
+    import siltstone.streaming.streams as streams
+
+    root = new_folder(spark, "merge")
+    frame([(1, "a")], "k int, v string").write.parquet(f"{root}/in")
+    _merged(wh, spark, root)
+    merge = streams.merge
+
+    def die(*args, **kwargs):
+        if after_the_merge:
+            merge(*args, **kwargs)
+        raise RuntimeError("lost")
+
+    frame([(1, "b"), (2, "b")], "k int, v string").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    monkeypatch.setattr(streams, "merge", die)
+    with pytest.raises(Exception, match="lost"):
+        _merged(wh, spark, root)
+    version = wh.version("t")
+    monkeypatch.setattr(streams, "merge", merge)
+    _merged(wh, spark, root)
+    assert rows(wh.read("t")) == [(1, "b"), (2, "b")]
+    assert (wh.version("t") == version) == after_the_merge
