@@ -28,6 +28,7 @@ from siltstone.sources.files import (
     route_csv,
     write_bronze,
 )
+from siltstone.sources.warehouse import read_snapshot
 
 EARLY_SQL = "o_orderdate < TIMESTAMP '1998-01-01'"
 
@@ -68,8 +69,8 @@ def append_rerun(spark: SparkSession, sf: str) -> DataFrame:
 def landing_replaced(spark: SparkSession, sf: str) -> DataFrame:
     wh = warehouse(spark)
     orders = table(spark, sf, "orders")
-    wh.publish(orders.filter(_early()).select("o_orderkey", "o_custkey"), "landing.orders")
-    wh.publish(orders.filter(~_early()).select("o_orderkey", "o_custkey"), "landing.orders")
+    wh.replace_landing(orders.filter(_early()).select("o_orderkey", "o_custkey"), "landing.orders")
+    wh.replace_landing(orders.filter(~_early()).select("o_orderkey", "o_custkey"), "landing.orders")
     return wh.read("landing.orders")
 
 
@@ -200,6 +201,32 @@ def delimited_mapped(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT CAST(event_id AS INTEGER) AS id, event_type AS kind, value FROM events""")
+def marked_files_mapped(spark: SparkSession, sf: str) -> DataFrame:
+    """Text files that each begin with a byte-order mark, read by their plain column names."""
+    folder = new_folder(spark, "marked")
+    events = table(spark, sf, "events").select("event_id", "event_type", "value").repartition(3)
+    # The header line starts with the first column's name, so the mark in it starts the file.
+    events.withColumnRenamed("event_id", "\ufeffevent_id").write.option("header", True).csv(folder)
+    mapping = [("event_id", "id", "int"), ("event_type", "kind", "string"), ("value", "value", "double")]
+    return read_delimited(spark, folder, mapping, strict=True)
+
+
+@query(f"""
+SELECT 'before' AS state, o_orderkey, o_totalprice FROM orders WHERE {EARLY_SQL}
+UNION ALL SELECT 'now', o_orderkey, o_totalprice FROM orders""")
+def snapshot_by_path(spark: SparkSession, sf: str) -> DataFrame:
+    """A table addressed by its path alone, as it is and as it was before the last batch."""
+    wh = warehouse(spark)
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    first = wh.publish(orders.filter(_early()).drop("o_orderdate"), "gold.orders")
+    wh.append(orders.filter(~_early()).drop("o_orderdate"), "gold.orders")
+    path = wh.path("gold.orders")
+    states = {"before": read_snapshot(spark, path, first), "now": read_snapshot(spark, path)}
+    return union_all([df.select(F.lit(state).alias("state"), "o_orderkey", "o_totalprice") for state, df in states.items()])
+
+
 @query("""
 SELECT CAST(o_orderkey AS VARCHAR) AS _c0, o_orderstatus AS _c1, o_orderpriority AS _c2 FROM orders""")
 def csv_path_as_table(spark: SparkSession, sf: str) -> DataFrame:

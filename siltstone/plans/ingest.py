@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import AbstractContextManager, nullcontext
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,13 +66,17 @@ def next_watermark(landed: DataFrame, column: str) -> str | None:
     return landed.agg(most.cast("string")).first()[0]
 
 
-def extract_incremental(wh: Warehouse, control: str, name: str, feed: Feed) -> int:
+def extract_incremental(
+    wh: Warehouse, control: str, name: str, feed: Feed, turn: AbstractContextManager | None = None
+) -> int:
     """Land the rows above the stored mark, add them to bronze, then move the mark.
 
     The mark moves last. A run that died after the bronze commit is finished from
     the mark noted with that commit, so rows that arrived since are neither
     skipped nor landed twice. Moving the mark, by a run or by hand, starts a new run; a
-    run from a NULL mark loads everything and replaces bronze. Returns the version of the bronze table.
+    run from a NULL mark loads everything and replaces bronze. The landing table holds the last batch only.
+    Runs that share a control table and go on at once commit their marks in ``turn``.
+    Returns the version of the bronze table.
     """
     bronze = f"bronze.{name}"
     mark = watermark(wh, control, name)
@@ -76,7 +84,7 @@ def extract_incremental(wh: Warehouse, control: str, name: str, feed: Feed) -> i
     done = wh.batch(bronze, batch_id)
     if done is None:
         landing = f"landing.{name}"
-        wh.publish(read_since(feed.read(), feed.column, mark), landing)
+        wh.replace_landing(read_since(feed.read(), feed.column, mark), landing)
         landed = wh.read(landing)
         next_mark = next_watermark(landed, feed.column)
         if next_mark is None:
@@ -88,13 +96,54 @@ def extract_incremental(wh: Warehouse, control: str, name: str, feed: Feed) -> i
             wh.append(landed, bronze, batch_id, note=note)
     else:
         next_mark = done["watermark"]
-    set_watermark(wh, control, name, next_mark)
+    with turn or nullcontext():
+        set_watermark(wh, control, name, next_mark)
     return wh.version(bronze)
 
 
+class ExtractionFailed(RuntimeError):
+    """Some tables of a control table could not be extracted; the others are done."""
+
+    def __init__(self, done: Mapping[str, int], failed: Mapping[str, BaseException]):
+        super().__init__("; ".join(f"{name}: {error}" for name, error in failed.items()))
+        self.done, self.failed = dict(done), dict(failed)
+
+
 def run_control_table(
-    wh: Warehouse, control: str, feeds: Mapping[str, Feed]
+    wh: Warehouse, control: str, feeds: Mapping[str, Feed], parallel: int = 1
 ) -> dict[str, int]:
-    """One extraction per control row, in order of its id."""
+    """One extraction per control row, in order of its id, ``parallel`` of them at once.
+
+    Each runs in a thread and a scheduler pool of its own, named after the table (where the cluster schedules fairly, its jobs
+    share the executors with the others'); marks are committed one by one. A
+    table that fails keeps its mark and does not stop the others: what is done is done, and then
+    ``ExtractionFailed`` names the rest. The next run takes these up again.
+    """
     names = [r[0] for r in wh.read(control).orderBy("id").select("table_name").collect()]
-    return {name: extract_incremental(wh, control, name, feeds[name]) for name in names}
+    turn = threading.Lock()
+    context = wh.spark.sparkContext
+
+    def extract(name: str) -> int:
+        context.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            return extract_incremental(wh, control, name, feeds[name], turn)
+        finally:
+            context.setLocalProperty("spark.scheduler.pool", None)
+
+    done: dict[str, int] = {}
+    failed: dict[str, BaseException] = {}
+    if parallel == 1:
+        for name in names:
+            done[name] = extract_incremental(wh, control, name, feeds[name])
+        return done
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        runs = {name: pool.submit(inheritable_thread_target(wh.spark)(extract), name) for name in names}
+        for name, run in runs.items():
+            error = run.exception()
+            if error is None:
+                done[name] = run.result()
+            else:
+                failed[name] = error
+    if failed:
+        raise ExtractionFailed(done, failed) from next(iter(failed.values()))
+    return done

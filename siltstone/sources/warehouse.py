@@ -55,11 +55,13 @@ class Warehouse:
             files = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
             numbers = (int(f.removesuffix(".json")) for f in files if f.endswith(".json"))
             self._last[name] = max(numbers, default=0)
+        newest = self._last[name]
         while True:
-            fs, file = self._record_file(name, self._last[name] + 1)
+            fs, file = self._record_file(name, newest + 1)
             if not fs.exists(file):
-                return self._last[name]
-            self._last[name] += 1
+                self._last[name] = newest
+                return newest
+            newest += 1
 
     def _load_record(self, name: str, version: int) -> dict | None:
         """A version's record, None where there is none; a record never changes once written."""
@@ -274,6 +276,21 @@ class Warehouse:
         schema = self._widened(rec, df, merge_schema)
         return self.replace(name, df, rec["folders"], batch_id, note, properties, schema, rebalance)
 
+    def replace_landing(self, df: DataFrame, name: str) -> int:
+        """Truncate and insert: the new rows are committed, then every other folder of the table is deleted.
+
+        A landing table holds one batch and no history: its older versions can no longer be read. What a run that died
+        left behind goes with the next run.
+        """
+        version = self.publish(df, name, merge_schema=True)
+        listed = {folder.split("/")[0] for folder in self.record(name)["folders"]}
+        fs, _ = hadoop_path(self.spark, self.root)
+        for status in self._list(self.path(name)):
+            folder = status.getPath()
+            if folder.getName().startswith("__load=") and folder.getName() not in listed:
+                fs.delete(folder, True)
+        return version
+
     def append(
         self,
         df: DataFrame,

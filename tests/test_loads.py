@@ -10,7 +10,15 @@ from siltstone.functions.columns import line_total
 from siltstone.operators.rows import dedupe, grain_violations, members, new_rows, preview
 from siltstone.plans.dimensions import load_date_dim, load_member_dim, load_scd2
 from siltstone.plans.facts import Dimension, load_fact, load_order_fact, lookup_keys
-from siltstone.plans.ingest import Feed, create_control, extract_incremental, set_watermark, watermark
+from siltstone.plans.ingest import (
+    ExtractionFailed,
+    Feed,
+    create_control,
+    extract_incremental,
+    run_control_table,
+    set_watermark,
+    watermark,
+)
 from siltstone.plans.orders import (
     counts_by_status,
     gold_by_status,
@@ -420,3 +428,54 @@ def test_flawed_rows_are_routed_and_short_ones_are_good(spark, tmp_path):
         ("b.csv", "id is no int; day is no date", "z,c,soon,"),
     ]
     assert read_csv(spark, str(tmp_path / "a.csv"), "id int, name string, day date").count() == 3
+
+
+def test_landing_keeps_one_folder(wh, frame):
+    """Ten runs, one of them after a run that died; every run sees its own rows only."""
+    def folders():
+        return [s.getPath().getName() for s in wh._list(wh.path("landing.t")) if s.getPath().getName().startswith("__load")]
+
+    for n in range(10):
+        if n == 5:
+            frame([(99,)], "id int").write.parquet(f"{wh.path('landing.t')}/__load=dead")
+        wh.replace_landing(frame([(n,)], "id int"), "landing.t")
+        assert [tuple(r) for r in wh.read("landing.t").collect()] == [(n,)]
+        assert len(folders()) == 1
+
+
+def feeds_of(frame, broken=()):
+    def read(name):
+        if name in broken:
+            raise OSError(f"{name} cannot be reached")
+        return frame([(n * 10, name) for n in range(1, 4)], "id int, t string")
+
+    return {name: Feed(lambda name=name: read(name), "id") for name in ["a", "b", "c", "d", "e"]}
+
+
+def test_tables_at_once_give_the_marks_of_a_run_one_by_one(wh, frame):
+    names = list(feeds_of(frame))
+    for control in ("one", "many"):
+        create_control(wh, control, dict.fromkeys(names, "key"))
+    run_control_table(wh, "one", feeds_of(frame))
+    one = rows(wh.read("one"))
+    for name in names:
+        wh.drop(f"bronze.{name}")
+    done = run_control_table(wh, "many", feeds_of(frame), parallel=4)
+    assert list(done) == names and rows(wh.read("many")) == one
+    assert all(wh.read(f"bronze.{n}").count() == 3 for n in names)
+    # A mark a table: five commits after the creation.
+    assert wh.version("many") == 6
+    run_control_table(wh, "many", feeds_of(frame), parallel=2)
+    assert rows(wh.read("many")) == one and all(wh.read(f"bronze.{n}").count() == 3 for n in names)
+
+
+def test_a_table_that_fails_leaves_the_others_done(wh, frame):
+    create_control(wh, "control", dict.fromkeys("abcde", "key"))
+    with pytest.raises(ExtractionFailed, match="b cannot be reached") as told:
+        run_control_table(wh, "control", feeds_of(frame, {"b", "d"}), parallel=5)
+    assert set(told.value.done) == {"a", "c", "e"} and set(told.value.failed) == {"b", "d"}
+    marks = {r["table_name"]: r["cdc_value"] for r in wh.read("control").collect()}
+    assert marks == {"a": "30", "b": None, "c": "30", "d": None, "e": "30"}
+    run_control_table(wh, "control", feeds_of(frame), parallel=5)
+    assert {r["cdc_value"] for r in wh.read("control").collect()} == {"30"}
+    assert all(wh.read(f"bronze.{n}").count() == 3 for n in "abcde")
