@@ -23,7 +23,7 @@ from tokenizers import Tokenizer
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one worker a core
 
 #: Characters of text that are encoded together, and of distinct words that go to the library in one row.
-BATCH_CHARS = 12_000_000
+BATCH_CHARS = 6_000_000
 JOINED_CHARS = 20_000
 #: Pieces in each of the two generations that a worker remembers, and the longest one (in characters) that it keeps.
 CACHE_ENTRIES = 250_000

@@ -39,7 +39,7 @@ MARK = "▁"
 CACHE_ENTRIES = 250_000
 CACHE_CHARS = 48
 #: Characters of text that are encoded together, and words that are composed together.
-BATCH_CHARS = 12_000_000
+BATCH_CHARS = 6_000_000
 LATTICE_WORDS = 20_000
 _NORMAL, _UNKNOWN, _CONTROL, _USER_DEFINED, _BYTE = 1, 2, 3, 4, 6
 _UNIGRAM, _BPE = 1, 2

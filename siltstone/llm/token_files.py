@@ -17,7 +17,7 @@ from siltstone.llm.common import whole_text
 
 #: A segment takes documents until it holds so many ids.
 SEGMENT_IDS = 1 << 19
-_BATCH_CHARS = 12_000_000
+_BATCH_CHARS = 6_000_000
 
 FILE_SCHEMA = (
     "part int, segment int, start_in_part long, n_ids long, doc_ids array<bigint>, "
