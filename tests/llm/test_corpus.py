@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import copy
 import hashlib
+import math
 import random
+import re
 import unicodedata
 import zlib
 from collections import Counter
@@ -309,6 +312,95 @@ def toxic_sample(rng, n):
     return rows
 
 
+def small_model(rng):
+    """A model with all its parts drawn at random, and every filter awake."""
+    model = toxicity._new_model(0.4, rng)
+    model.tables = rng.normal(0, 0.3, model.tables.shape).astype(np.float32)
+    model.tables[:, toxicity._PAD] = 0
+    model.bias = (4 + rng.normal(0, 0.1, model.bias.shape)).astype(np.float32)
+    return model
+
+
+def plain_score(model, text):
+    """Embeddings, windows, pooling and logit by loops over words, places and filters."""
+    words = re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").encode().lower())
+    vectors = []
+    for word in words:
+        own, stem = zlib.crc32(word), zlib.crc32(word[:5])
+        rows = [own & 0xFFFF, own >> 16, stem & 0xFFFF]
+        vectors.append([float(x) for table, row in zip(model.tables, rows) for x in table[row]])
+    vectors += [[0.0] * len(vectors[0])] * 3 if vectors else [[0.0] * toxicity.TABLES * toxicity.TABLE_DIMS] * 3
+    logit, unit = model.offset, 0
+    for width, filters in zip(toxicity.WIDTHS, model.filters):
+        for f in range(toxicity.FILTERS):
+            best = max(
+                sum(vectors[at + j][e] * float(filters[j, e, f]) for j in range(width) for e in range(len(vectors[0])))
+                for at in range(len(words) + 1)
+            )
+            logit += max(best + float(model.bias[unit]), 0.0) * float(model.weights[unit])
+            unit += 1
+    return 1 / (1 + math.exp(-logit))
+
+
+TOXIC_TEXTS = ["", "one", "Two words", "ärger über die Straße, drei four", "a b c d e f g a b c " * 4, "x-y_z 12 ab12"]
+
+
+def test_scores_are_those_of_plain_loops():
+    model = small_model(np.random.default_rng(3))
+    found = model.score([toxicity.word_rows(t) for t in TOXIC_TEXTS])
+    assert np.allclose(found, [plain_score(model, t) for t in TOXIC_TEXTS], atol=1e-5)
+    # A filter that is asleep passes nothing on.
+    model.bias[::2] = -9
+    found = model.score([toxicity.word_rows(t) for t in TOXIC_TEXTS])
+    assert np.allclose(found, [plain_score(model, t) for t in TOXIC_TEXTS], atol=1e-5)
+
+
+def test_a_training_step_follows_the_slope_of_the_error():
+    """Every part moves against the slope of the mean log loss, which is measured by small changes of it."""
+    y = np.array([1, 0, 1, 1, 0, 0], dtype=np.float32)
+    found = [toxicity.word_rows(t) for t in TOXIC_TEXTS]
+
+    def loss(model):
+        p = model.score(found)
+        return -float(np.mean(y * np.log(p) + (1 - y) * np.log(1 - p)))
+
+    def slope(values, at):
+        model_values, step = values[at], 1e-2
+        values[at] = model_values + step
+        up = loss(model)
+        values[at] = model_values - step
+        down = loss(model)
+        values[at] = model_values
+        return (up - down) / (2 * step)
+
+    model = small_model(np.random.default_rng(4))
+    moved = copy.deepcopy(model)
+    rate, start = 0.15, 1e-3
+    seen = {"tables": np.full(model.tables.shape[:2], start, np.float32)}
+    slow = {k: start for k in ("bias", "weights", "offset", *range(len(toxicity.WIDTHS)))}
+    toxicity._step(moved, found, y, rate, seen, slow)
+
+    def gradient(before, after):
+        """What gradient a first step of Adagrad came from."""
+        u = (np.asarray(before, float) - np.asarray(after, float)) / (0.5 * rate)
+        return u * np.sqrt(start) / np.sqrt(1 - u * u)
+
+    for name in ("weights", "bias"):
+        got = gradient(getattr(model, name), getattr(moved, name))
+        want = [slope(getattr(model, name), i) for i in range(len(got))]
+        assert np.allclose(got, want, rtol=0.05, atol=2e-3), name
+    for k, width in enumerate(toxicity.WIDTHS):
+        got = gradient(model.filters[k], moved.filters[k])
+        for at in [(0, 0, 0), (width - 1, 5, 3), (width - 1, 20, 7)]:
+            assert abs(got[at] - slope(model.filters[k], at)) < 0.05 * abs(got[at]) + 2e-3
+    for table in range(toxicity.TABLES):
+        row = int(found[4][table][2])
+        change = model.tables[table, row] - moved.tables[table, row]
+        want = np.array([slope(model.tables, (table, row, e)) for e in range(toxicity.TABLE_DIMS)])
+        assert float(change @ want) > 0.95 * np.linalg.norm(change) * np.linalg.norm(want)
+    assert (moved.tables[:, toxicity._PAD] == 0).all()
+
+
 def test_toxicity_on_held_out_rows(spark):
     rows = toxic_sample(random.Random(6), 1500)
     docs = spark.createDataFrame([(i, t, la, "s", "kept") for i, t, la, _ in rows], "doc_id long, text string, lang string, source string, score string")
