@@ -1,7 +1,7 @@
 """Signature rules for licence mentions, over lower-case words joined by single spaces.
 
-Written by hand as families: a name, its versions, and the forms in which it is
-mentioned. Every rule carries the keyword that must occur in a text before its
+Written by hand: sentences of licence texts (``license_texts``), and families of names, a name, its versions,
+and the forms in which it is mentioned. Every rule carries the keyword that must occur in a text before its
 pattern is tried, a priority and a confidence.
 """
 
@@ -11,8 +11,12 @@ import itertools
 import re
 from dataclasses import dataclass
 
+from siltstone.llm.license_texts import BODIES, KEYWORDS
 
 _OPTIONAL = re.compile(r"\(\?:[^()]*\)\?")
+# Groups, classes, and letters or words that may be missing or vary.
+_CHOICE = re.compile(r"\(\?:[^()]*\)(?:\?|\{[0-9,]+\})?")
+_ANY = re.compile(r"\\S\+|\[[^\]]*\](?:\{[0-9,]+\})?|.\?")
 
 
 @dataclass(frozen=True)
@@ -36,9 +40,9 @@ BASE_PHRASES = {
     "all rights reserved": "reserved",
 }
 
-# Priorities: a machine-readable tag beats a full name with a version, which beats a name
-# alone, which beats a hint.
-TAG, VERSIONED, NAMED, HINT = 40, 30, 20, 10
+# Priorities: a machine-readable tag beats a full name with a version, which beats a sentence of a licence's own
+# text, which beats a name alone, which beats a hint.
+TAG, VERSIONED, BODY, NAMED, HINT = 40, 30, 25, 20, 10
 _LICENCE = "licen[sc]es?"
 _VERSION = "(?: version)?(?: v)?"
 
@@ -134,6 +138,16 @@ _CC_KINDS = ["", "-sa", "-nd", "-nc", "-nc-sa", "-nc-nd"]
 _CC_VERSIONS = ["1.0", "2.0", "2.5", "3.0", "4.0"]
 
 
+def _keyword(pattern: str) -> str:
+    """A string that every match of a sentence's pattern holds: a stem that many sentences share, or its longest stretch."""
+    certain, before = pattern, ""
+    while certain != before:  # the innermost choices first
+        before, certain = certain, _CHOICE.sub("#", certain)
+    certain = _ANY.sub("#", certain)
+    shared = (k for k in KEYWORDS if k in certain)
+    return next(shared, None) or max(certain.split("#"), key=len).strip()
+
+
 def _creative_commons() -> list[Rule]:
     found = []
     for kind in _CC_KINDS:
@@ -172,6 +186,9 @@ def rules() -> list[Rule]:
     for label, keyword, pattern in _PLAIN:
         found.append(Rule(label, keyword, pattern, NAMED, 0.8))
         found.append(Rule(label, "spdx", f"spdx licen[sc]e identifier {label.replace('-', ' ')}", TAG, 1.0))
+    for label, pattern in BODIES:
+        priority, confidence = (HINT, 0.4) if label == "license-mention" else (BODY, 0.9)
+        found.append(Rule(label, _keyword(pattern), pattern, priority, confidence))
     found += _creative_commons()
     for verb in ("licen[sc]ed under", "distributed under", "released under", "subject to", "see the"):
         found.append(Rule("license-mention", "licen", f"{verb} (?:the |a )?(?:terms of (?:the |this )?)?{_LICENCE}", HINT, 0.4))

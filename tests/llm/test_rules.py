@@ -11,6 +11,7 @@ from collections import Counter
 from siltstone.llm import queries
 from siltstone.llm.license_rules import BASE_PHRASES, Rule, rules
 from siltstone.llm.license_scan import scan_licenses
+from siltstone.llm.license_texts import BODIES
 from siltstone.llm.quality import FEATURES, judge
 from siltstone.llm.sharding import shards
 
@@ -87,6 +88,51 @@ def test_license_texts(spark):
     assert "gpl-2.0-or-later" in labels[1] and "cc-by-sa-4.0" in labels[2]
 
 
+def sentence(pattern):
+    """A text that a signature matches: the first of each choice, and nothing that may be missing."""
+    before = None
+    while pattern != before:
+        before = pattern
+        pattern = re.sub(
+            r"\(\?:([^()|]*)(?:\|[^()]*)?\)(\?|\{\d+,\d+\})?",
+            lambda m: "" if m[2] and (m[2] == "?" or m[2].startswith("{0")) else m[1],
+            pattern,
+        )
+    pattern = re.sub(r"\[([^\]])[^\]]*\]\{(\d)\}", lambda m: m[1] * int(m[2]), pattern)
+    pattern = re.sub(r"\[([^\]])[^\]]*\]", r"\1", pattern).replace("\\S+", "some")
+    return " ".join(re.sub(r"(.)\?", r"\1", pattern).split())
+
+
+def test_every_signature_finds_a_text_of_its_own(spark):
+    assert len(BODIES) > 180 and len({label for label, _ in BODIES}) > 60
+    texts = [sentence(pattern) for _, pattern in BODIES]
+    texts = [t[0].upper() + t[1:].replace(" as is ", ' "AS IS", ') + "." for t in texts]
+    frame = spark.createDataFrame([(i, f"Some words before. {t} And after.") for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = {r["doc_id"]: r["labels"].split(",") for r in scan_licenses(frame).collect()}
+    missed = [(label, pattern) for i, (label, pattern) in enumerate(BODIES) if label not in labels[i]]
+    # A sentence may lie inside a longer one, or inside a name with its version, which then stands for it.
+    assert [m for m in missed if not labels[BODIES.index(m)] or labels[BODIES.index(m)] == [""]] == []
+    assert len(missed) < 12, missed
+    for rule in rules():
+        assert rule.keyword in sentence(rule.pattern) or rule.keyword.startswith(" ") or rule.keyword.endswith(" "), rule
+
+
+def test_a_whole_licence_text(spark):
+    mit = """Copyright (c) 2021 Some One
+
+    Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+    documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+    rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software. The above
+    copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+    THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED."""
+    french = "Tous droits réservés. Toute reproduction interdite. Este programa es software libre; alle Rechte vorbehalten"
+    rows = [(1, mit), (2, french)]
+    found = {r["doc_id"]: r for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[1]["labels"] == "copyright,mit" and found[1]["n_hits"] >= 5
+    assert found[2]["labels"] == "gpl,proprietary,reserved"
+    check_licenses(list(found.values()), rows, rules())
+
+
 def test_a_more_important_hit_hides_what_lies_inside_it(spark):
     signatures = [Rule("a", "x", "x y z", 2, 0.9), Rule("b", "y", "y z", 1, 0.5), Rule("c", "y", "y", 3, 0.7)]
     frame = spark.createDataFrame([(1, "x y z y z")], "doc_id long, text string")
