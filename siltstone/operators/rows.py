@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.functions.columns import differs, with_null_safe_keys
+from siltstone.session import new_folder
 
 NEW, UPDATED, REJECTED = "New Record", "Updated Record", "Rejected Records"
 CHANGE = "Dataset_Filtering"
@@ -189,8 +190,16 @@ def classify_changes(
 
 
 def split_changes(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """New and updated rows of a classified frame."""
+    """New and updated rows of a classified frame.
+
+    The frame is computed once and written by kind; each route reads its own folder.
+    """
+    spark = classified.sparkSession
+    path = new_folder(spark, "routes")
+    routed = classified.filter(F.col(CHANGE).isin(NEW, UPDATED))
+    routed.write.partitionBy(CHANGE).parquet(path)
+    rows = spark.read.schema(classified.schema).parquet(path)
     return (
-        classified.filter(F.col(CHANGE) == NEW).drop(CHANGE),
-        classified.filter(F.col(CHANGE) == UPDATED).drop(CHANGE),
+        rows.filter(F.col(CHANGE) == NEW).drop(CHANGE),
+        rows.filter(F.col(CHANGE) == UPDATED).drop(CHANGE),
     )

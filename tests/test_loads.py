@@ -7,7 +7,15 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from siltstone.functions.columns import line_total
-from siltstone.operators.rows import dedupe, grain_violations, members, new_rows, preview
+from siltstone.operators.rows import (
+    classify_changes,
+    dedupe,
+    grain_violations,
+    members,
+    new_rows,
+    preview,
+    split_changes,
+)
 from siltstone.plans.dimensions import load_date_dim, load_member_dim, load_scd2
 from siltstone.plans.facts import Dimension, load_fact, load_order_fact, lookup_keys
 from siltstone.plans.ingest import (
@@ -227,6 +235,18 @@ def test_dedupe_and_grain(frame):
     assert [r.n for r in preview(df, 2, [F.desc("n"), F.asc("k")]).collect()] == [5, 3]
 
 
+def test_changes_are_computed_once_and_routed_by_folder(frame):
+    source = frame([("a", "x"), ("b", "y"), ("c", None), ("d", "w")], "k string, v string")
+    target = frame([("b", "z"), ("c", None), ("d", None)], "k string, v string")
+    new, updated = split_changes(classify_changes(source, target, ["k"], ["v"]))
+    assert rows(new) == [("a", "x", None)] and rows(updated) == [("b", "y", "z"), ("d", "w", None)]
+    for route in (new, updated):
+        plan = route._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "Join" not in plan and "PartitionFilters: [isnotnull(Dataset" in plan
+    none = split_changes(classify_changes(source, source, ["k"], ["v"]))
+    assert [r.collect() for r in none] == [[], []]
+
+
 def test_new_rows_keep_repeated_source_rows(frame):
     source = frame([(1, "a"), (2, "b"), (2, "b"), (None, "c")], "k int, v string")
     target = frame([(1, "z"), (1, "z"), (None, "z")], "k int, v string")
