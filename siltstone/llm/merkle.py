@@ -5,7 +5,7 @@ reduced to one node by itself, and these nodes are the next level, until every t
 Downwards, a superblock's nodes are cogrouped with the one outer row they need, which carries the
 siblings between the superblock's node and the root; the group finishes its own reduction again,
 puts its own siblings before the outer ones and hands the whole path down. At the leaves the same group
-also folds every leaf, or what tampering made of it, along its path to a root.
+also folds every leaf, taken anew where values are not what they were, along its path to a root.
 """
 
 from __future__ import annotations
