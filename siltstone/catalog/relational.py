@@ -29,7 +29,6 @@ from siltstone.functions.columns import (
 )
 from siltstone.operators.keys import RANK, ranked
 from siltstone.operators.rows import (
-    CHANGE,
     classify_changes,
     dedupe,
     grain_violations,
