@@ -35,7 +35,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,8 +46,8 @@ from siltstone.session import new_folder
 CHUNK_BYTES = 1 << 18
 PART_BYTES = 8 << 20
 SLOT_BYTES = 16 << 20
-#: Parts lie in buckets of a table, of which Spark allows no more; beyond 800 GB a bucket holds several parts.
-MOST_BUCKETS = 100_000
+#: Parts lie in buckets of a table, of which Spark allows no more; beyond 800 GB parts grow.
+MOST_PARTS = 100_000
 GRAM = 32
 
 _U = np.uint64
@@ -285,7 +285,7 @@ def _settle(entries: pd.DataFrame) -> pd.DataFrame:
     cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
     return pd.DataFrame(
         {
-            "part": entries["part"].to_numpy(),
+            "bucket": entries["bucket"].to_numpy(),
             "place": (entries["kind"] * (1 << 40) + entries["slot"]).to_numpy(),
             "flags": [flags[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])],
         }
@@ -299,16 +299,28 @@ def _pieces(text: bytes, length: int) -> Iterator[tuple[bytes, int]]:
         yield piece, len(piece) - min(CHUNK_BYTES, len(text) - start)
 
 
+def _bucket_keys(spark: SparkSession, buckets: int) -> list[int]:
+    """For every bucket a number that Spark's hash puts into it, so that each part has a bucket, and a task, to itself."""
+    tries = buckets * (buckets.bit_length() + 20)  # some bucket stays without a number with odds of e**-20
+    place = F.pmod(F.hash(F.col("id").cast("int")), F.lit(buckets))
+    found = spark.range(tries).groupBy(place.alias("place")).agg(F.min("id").alias("id")).orderBy("place").collect()
+    return [r["id"] for r in found]
+
+
 def _chunks(docs: DataFrame, length: int) -> tuple[DataFrame, int]:
     """The documents in id order as chunks with their runs, bucketed so that flags come to them without moving texts."""
     spark = docs.sparkSession
     rest = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*(docs[c] for c in rest)).alias("row"), whole_text(docs).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-total // PART_BYTES))
+    parts = min(MOST_PARTS, max(1, -(-total // PART_BYTES)))
+    # As many buckets as a shuffle has partitions, or Spark would rather shuffle the texts to get as many.
+    buckets = max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keys = _bucket_keys(spark, buckets)
 
     schema = T.StructType(
         [
+            T.StructField("bucket", T.IntegerType()),
             T.StructField("part", T.IntegerType()),
             T.StructField("chunk", T.LongType()),
             T.StructField("rows", T.ArrayType(rows.schema["row"].dataType)),
@@ -327,6 +339,7 @@ def _chunks(docs: DataFrame, length: int) -> tuple[DataFrame, int]:
             limits = np.array(ends, dtype=np.int64)
             limits[-1:] += tail
             values = [
+                pa.array([keys[part]], pa.int32()),
                 pa.array([part], pa.int32()),
                 pa.array([number], pa.int64()),
                 pa.ListArray.from_arrays(pa.array([0, len(own_rows)], pa.int32()), pa.concat_arrays([own_rows])),
@@ -361,15 +374,13 @@ def _chunks(docs: DataFrame, length: int) -> tuple[DataFrame, int]:
                 yield chunk(own_rows.slice(first, len(held)), np.cumsum([len(t) for t in held]).tolist(), b"".join(held), 0)
 
     placed = rows.repartitionByRange(parts, "row.doc_id").sortWithinPartitions("row.doc_id", "text")
-    # As many buckets as a shuffle has partitions, or Spark would rather shuffle the texts to get as many.
-    buckets = min(MOST_BUCKETS, max(parts, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     name = f"repeat_chunks_{uuid.uuid4().hex[:12]}"
     (
         placed.mapInArrow(build, schema)
         .write.format("parquet")
         .option("path", new_folder(spark, "repeat-chunks"))
         .option("compression", "zstd")
-        .bucketBy(buckets, "part")
+        .bucketBy(buckets, "bucket")
         .saveAsTable(name)
     )
     chunks = spark.table(name)
@@ -405,17 +416,17 @@ def remove_repeats(docs: DataFrame, length: int = 100, texts: bool = False) -> D
 
     def over_parts(columns: Sequence[str], use, schema, rounds: int) -> DataFrame:
         """``use`` over the state of every part, from some columns of its chunks and the flags so far."""
-        own = chunks.select("part", "chunk", *columns)
+        own = chunks.select("bucket", "part", "chunk", *columns)
         if not rounds:
-            return own.groupBy("part").applyInArrow(lambda table: use(state(table, table, 0), table), schema)
+            return own.groupBy("bucket").applyInArrow(lambda table: use(state(table, table, 0), table), schema)
         told = settled[0]
         for flags in settled[1:]:
-            told = told.join(flags.hint("merge"), "part", "left")  # small files, but they unfold
-        return own.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(
+            told = told.join(flags.hint("merge"), "bucket", "left")  # small files, but they unfold
+        return own.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(
             lambda table, flags: use(state(table, flags, rounds), table), schema
         )
 
-    entry_schema = "round int, kind long, slot long, part int, keys binary"
+    entry_schema = "round int, kind long, slot long, bucket int, part int, keys binary"
     for rounds in range(3):
 
         def send(part: _Part, table: pa.Table, rounds: int = rounds) -> pa.Table:
@@ -425,12 +436,13 @@ def remove_repeats(docs: DataFrame, length: int = 100, texts: bool = False) -> D
                 used, begins = np.unique(slot, return_index=True)
                 for s, a, b in zip(used.tolist(), begins.tolist(), [*begins[1:].tolist(), len(slot)]):
                     found.append((kind, s, keys[a:b].tobytes()))
-            number = table.column("part")[0].as_py() if table.num_rows else 0
+            bucket, number = (table.column(c)[0].as_py() for c in ("bucket", "part"))
             return pa.table(
                 {
                     "round": pa.array([rounds + 1] * len(found), pa.int32()),
                     "kind": pa.array([f[0] for f in found], pa.int64()),
                     "slot": pa.array([f[1] for f in found], pa.int64()),
+                    "bucket": pa.array([bucket] * len(found), pa.int32()),
                     "part": pa.array([number] * len(found), pa.int32()),
                     "keys": pa.array([f[2] for f in found], pa.binary()),
                 }
@@ -438,11 +450,11 @@ def remove_repeats(docs: DataFrame, length: int = 100, texts: bool = False) -> D
 
         columns = [*_RUN_COLUMNS, "data"] if rounds else _RUN_COLUMNS
         entries = over_parts(columns, send, entry_schema, rounds)
-        flags = entries.groupBy("kind", "slot").applyInPandas(_settle, "part int, place long, flags binary")
+        flags = entries.groupBy("kind", "slot").applyInPandas(_settle, "bucket int, place long, flags binary")
         # A part's flags by kind and slot are in the order of its keys.
-        joined = flags.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("place", "flags"))).alias("parts"))
+        joined = flags.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("place", "flags"))).alias("parts"))
         column = F.col("parts")["flags"].alias(f"flags{rounds + 1}")
-        settled.append(kept(joined.select("part", column), f"repeat-flags{rounds + 1}"))
+        settled.append(kept(joined.select("bucket", column), f"repeat-flags{rounds + 1}"))
 
     row_type = chunks.schema["rows"].dataType.elementType
     new = {"n_bytes", "n_removed", "n_spans", "kept_sha256", "text"}
