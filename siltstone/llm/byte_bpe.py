@@ -26,7 +26,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one worke
 BATCH_CHARS = 6_000_000
 JOINED_CHARS = 20_000
 #: Pieces in each of the two generations that a worker remembers, and the longest one (in characters) that it keeps.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 150_000
 CACHE_CHARS = 48
 
 # Letters of Latin, Cyrillic, Japanese, Chinese and Korean script; ASCII and general punctuation; white space.

@@ -36,7 +36,7 @@ from siltstone.llm.common import whole_text
 
 MARK = "▁"
 #: What a worker remembers in each of its memories (of whole words, in each of two generations), and the longest entry (in characters).
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 150_000
 CACHE_CHARS = 48
 #: Characters of text that are encoded together, and words that are composed together.
 BATCH_CHARS = 6_000_000

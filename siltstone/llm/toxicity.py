@@ -246,18 +246,23 @@ def training_ids(labels: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
 def score_counts(docs: DataFrame, labels: DataFrame, fitted: DataFrame, model: Model) -> DataFrame:
     """(lang, is_toxic, step, n): all documents with a label, neither held out nor fitted on, by their scores.
 
-    Only these documents are scored. They are found by a join with the labelled ids, which
-    moves no texts as long as the ids are few enough for Spark to broadcast them.
+    Documents are scored where they are read; only ids, languages and score steps are joined to the labels. (A
+    join before the scores saves a quarter of the time and shuffles every text.)
     """
+    scores = docs.filter(docs["doc_id"].isNotNull() & ~held_out(docs["doc_id"])).select(
+        docs["doc_id"].alias("label_id"),
+        docs["lang"].cast("string").alias("lang"),
+        _scorer(docs.sparkSession, model)(whole_text(docs)).alias("score"),
+    )
+    step = F.least(F.floor(F.col("score") * SCORE_STEPS), F.lit(SCORE_STEPS - 1)).cast("int")
     # Broadcast: never more than the ids that were fitted on.
     others = _known(labels).join(F.broadcast(fitted.select("label_id")), "label_id", "left_anti")
-    rows = docs.filter(docs["doc_id"].isNotNull() & ~held_out(docs["doc_id"])).select(
-        docs["doc_id"].alias("label_id"), docs["lang"].cast("string").alias("lang"), whole_text(docs).alias("text")
+    return (
+        scores.select("label_id", "lang", step.alias("step"))
+        .join(others, "label_id")
+        .groupBy("lang", "is_toxic", "step")
+        .agg(F.count("*").alias("n"))
     )
-    score = _scorer(docs.sparkSession, model)(F.col("text"))
-    step = F.least(F.floor(score * SCORE_STEPS), F.lit(SCORE_STEPS - 1)).cast("int")
-    scored = rows.join(others, "label_id").select("lang", "is_toxic", step.alias("step"))
-    return scored.groupBy("lang", "is_toxic", "step").agg(F.count("*").alias("n"))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
