@@ -195,3 +195,64 @@ def _merge_hot_keys(wh, spark):
     merge(wh, "t", source.unionByName(one), ["k"])
     counts = dict(wh.read("t").groupBy("v").count().collect())
     assert counts == {"a": n - n // 3, "b": n, "c": n // 3}
+
+
+@pytest.fixture
+def big_sources(spark):
+    """Every source counts as too big to be broadcast."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+PKV = "k int, p string, v string"
+
+
+def test_a_big_source_updates_and_inserts_in_one_pass(wh, frame, big_sources):
+    """NULL keys, a key that repeats in the target, one that is new twice, and other types of key and value."""
+    old = [(None, "x", "a"), (1, None, "b"), (2, "x", "c"), (2, "x", "d"), (3, "y", "e")]
+    wh.publish(frame(old, PKV), "t", ["p"])
+    new = [(None, "x", 1), (1, None, 2), (2, "x", 3), (7, "x", 4), (7, "x", 5)]
+    merge(wh, "t", frame(new, "k bigint, p string, v int"), ["k", "p"], tag_column=None)
+    got = [(1, None, "2"), (2, "x", "3"), (2, "x", "3"), (3, "y", "e"), (7, "x", "4"), (7, "x", "5"), (None, "x", "1")]
+    assert rows(wh.read("t")) == sorted(got, key=lambda r: [(v is None, str(v)) for v in r])
+
+
+@pytest.mark.parametrize("clauses", [{"update": None}, {"insert": None}])
+def test_a_big_source_with_one_clause(wh, frame, big_sources, clauses):
+    wh.publish(frame([(1, "a"), (None, "b")], KV), "t")
+    merge(wh, "t", frame([(1, "x"), (None, "y"), (2, "z")], KV), ["k"], **clauses)
+    wanted = [(1, "a"), (2, "z"), (None, "b")] if "update" in clauses else [(1, "x"), (None, "y")]
+    assert rows(wh.read("t")) == wanted
+
+
+def test_a_big_source_leaves_the_target_outside_the_condition(wh, frame, big_sources):
+    wh.publish(frame([(1, "a"), (2, "b")], KV), "t")
+    merge(wh, "t", frame([(1, "x"), (2, "y")], KV), ["k"], target_where=F.col("v") == "a")
+    assert rows(wh.read("t")) == [(1, "x"), (2, "b"), (2, "y")]
+
+
+def test_a_big_source_with_a_matched_key_on_several_rows_fails(wh, frame, big_sources):
+    wh.publish(frame([(1, "a"), (2, "b")], KV), "t")
+    with pytest.raises(Exception, match="several source rows"):
+        merge(wh, "t", frame([(1, "x"), (1, "y")], KV), ["k"])
+
+
+@pytest.mark.parametrize("threshold", ["-1", "100KB"])
+def test_rows_of_a_big_source_that_are_new_are_not_joined_with_the_target(wh, spark, monkeypatch, threshold):
+    """No key, then a few keys of a big source are in the target: its rows never meet a stored one."""
+    from siltstone.operators import merge as module
+
+    taken = []
+    monkeypatch.setattr(module, "without_keys", lambda df, *a, f=module.without_keys: taken.append(df.count()) or f(df, *a))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        wh.publish(spark.range(20_000).selectExpr("CAST(id AS INT) AS k", "'a' AS v"), "t")
+        first = 20_000 if threshold == "-1" else 19_990
+        insert_absent(wh, "t", spark.range(first, 40_000).selectExpr("CAST(id AS INT) AS k", "'b' AS v"), ["k"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert sum(taken) == 20_000 - first
+    assert dict(wh.read("t").groupBy("v").count().collect()) == {"a": 20_000, "b": 20_000}
