@@ -152,3 +152,20 @@ def test_gold_scans_the_months_of_the_drop(wh, spark, frame, tmp_path):
     assert silver.count() == 2
     filters = silver._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
     assert "OrderMonth" in filters and "2024-03" in filters and "2024-05" in filters
+
+
+def test_a_batch_that_the_fact_has_noted_is_not_staged_again(wh, spark, frame, tmp_path, monkeypatch):
+    from siltstone.plans import star
+
+    lines = order_lines(spark, frame, str(tmp_path / "1"), [("o1", 1, dt.date(2024, 5, 1), "Ada L", "a", "pen", 1, 10.0, 0.5)])
+    first = load_orders_star(wh, lines, dt.datetime(2024, 5, 1), "1")
+    feed = frame([sale("B1", "M1", 10, "DT202001")], SALES_SCHEMA)
+    sold = load_sales_star(wh, feed, dt.datetime(2020, 1, 1), "1")
+
+    def none(*args, **kwargs):
+        raise AssertionError("staged again")
+
+    monkeypatch.setattr(star, "staged", none)
+    monkeypatch.setattr(star, "staged_with_size", none, raising=False)
+    assert load_orders_star(wh, lines, dt.datetime(2024, 5, 1), "1") == first
+    assert load_sales_star(wh, feed, dt.datetime(2020, 1, 1), "1") == sold
