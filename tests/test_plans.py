@@ -199,3 +199,32 @@ def test_a_hot_source_key_is_split_among_the_inserts(spark, wh, no_broadcast):
     with staged(held) as seen:
         out = without_keys(source, seen, ["k"])
         assert "skew=true" in ran(out)
+
+
+def test_order_drops_join_the_lines_once_and_group_where_they_lie(spark, tmp_path, no_broadcast):
+    from siltstone.catalog import loads
+
+    tables = {
+        "lineitem": "SELECT id DIV 2 AS l_orderkey, id % 3 AS l_partkey, CAST(id % 2 AS INT) AS l_linenumber, 1D AS l_quantity, "
+        "2D AS l_extendedprice, 0.5D AS l_tax, if(id % 2 = 0, 'R', NULL) AS l_returnflag, TIMESTAMP_NTZ '1998-01-01' AS l_shipdate FROM range(8)",
+        "orders": "SELECT id AS o_orderkey, id % 2 AS o_custkey, TIMESTAMP_NTZ '1997-01-01' AS o_orderdate FROM range(4)",
+        "customer": "SELECT id AS c_custkey, 'c' AS c_name, if(id = 0, 'BUILDING', 'x') AS c_mktsegment FROM range(2)",
+        "part": "SELECT id AS p_partkey, 'p' AS p_name FROM range(3)",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    for key in [loads.ITEM_KEY, loads.LINE_KEY]:
+        drops = loads._order_drops(spark, str(tmp_path), key)
+        text = plan(drops)
+        assert text.count("FileScan parquet") == 4
+        assert text.count("Exchange hashpartitioning(") == 6  # two sides of three joins, none for the grouping
+    # Every key has one row a drop; half of the lines were returned and come again without tax.
+    assert rows(drops.groupBy("b").agg(F.count("*"), F.max("Tax"))) == [(2, 8, 0.5), (3, 4, 0.0)]
+
+
+def test_a_feed_is_split_into_batches_without_a_shuffle(spark):
+    from siltstone.catalog.fixtures import split_into_batches
+
+    batch = split_into_batches(spark.range(0, 8, 1, 4).withColumn("b", F.col("id") % 2), "b", [0, 1])
+    assert rows(batch(1).select("id")) == [(1,), (3,), (5,), (7,)]
+    assert len(batch(1).inputFiles()) == 8  # two batches, a file of each from each task
