@@ -4,8 +4,8 @@ A text is cut before single spaces. The vocabulary's pre-tokenizer starts a new
 piece at every space that does not stand between two white-space characters, so
 chunks cut there are encoded as they would be in place. Distinct chunks of characters on whose classes all
 regular-expression engines agree are cut further, as the pre-tokenizer cuts them, and the distinct pieces go to the library
-in long rows: a word is encoded once, whatever mark follows it. Arrow finds what is distinct, and numpy puts
-the ids together. Other chunks go to the library by themselves, and texts with white space next to a space or
+in long rows: a word is encoded once, whatever mark follows it. Arrow finds what is distinct and which pieces are
+remembered, and numpy puts the ids together. Other chunks go to the library by themselves, and texts with white space next to a space or
 with a special string as a whole.
 """
 
@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +23,10 @@ from tokenizers import Tokenizer
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one worker a core
 
-#: Characters of text that are encoded together, and of distinct words that go to the library in one row.
+#: Characters of text that are encoded together, and of distinct pieces that go to the library in one call.
 BATCH_CHARS = 6_000_000
 JOINED_CHARS = 20_000
-#: Pieces in each of the two generations that a worker remembers, and the longest one (in characters) that it keeps.
+#: Pieces that a worker goes on with after it remembered twice as many, and the longest one (in characters) that it keeps.
 CACHE_ENTRIES = 150_000
 CACHE_CHARS = 48
 
@@ -38,6 +39,8 @@ _SAFE = rf"^[{_LETTER}0-9{_MARK}{_BLANK}]*$"
 # a piece of its own.
 _PIECE = rf"'(?:[sdmt]|ll|ve|re)| ?[{_LETTER}]+| ?[0-9]+| ?[{_MARK}]+"
 _PIECES = re.compile(rf"{_PIECE}|[{_BLANK}]+(?!\S)|[{_BLANK}]+")
+# A chunk, or a piece, that is a space and one word: it may stand between others of its kind.
+_WORD = rf"^ (?:[{_LETTER}]+|[0-9]+|[{_MARK}]+)$"
 _SEVERAL_BLANKS = rf"[{_BLANK}][{_BLANK}]+[^{_BLANK}]"
 # A chunk that is empty or begins with a blank, and white space other than blanks.
 _UNCUT = rf"^ $|^ [{_BLANK}]|[\x1c-\x1f\x{{85}}\x{{a0}}\x{{1680}}\x{{180e}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]"
@@ -63,6 +66,12 @@ def sums_between(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+def call_offsets(pieces: pa.Array) -> np.ndarray:
+    """Where the pieces of each call of the library begin, and the end; a call takes about JOINED_CHARS characters."""
+    call = np.cumsum(pc.utf8_length(pieces).to_numpy(), dtype=np.int64) // JOINED_CHARS
+    return np.append(np.flatnonzero(np.diff(call, prepend=-1)), len(pieces))
+
+
 class ByteBpe:
     """One tokenizer file; kept for the life of a worker."""
 
@@ -77,9 +86,10 @@ class ByteBpe:
         self.opens = np.zeros(size, dtype=bool)  # ids whose bytes begin with a blank
         for piece, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.opens[i] = piece.startswith("Ġ")
-        #: Ids of pieces; what is met again moves from the older generation to the new one.
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        #: Pieces that are remembered, all their ids, how many each has, and the last batch that held it.
+        self.known = pa.array([], pa.large_string())
+        self.flat, self.sizes, self.met = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.batch = 0
 
     @classmethod
     def at(cls, path: str) -> ByteBpe:
@@ -129,24 +139,29 @@ class ByteBpe:
         uncut = pc.match_substring_regex(chunks, _UNCUT)
         for special in self.specials:
             uncut = pc.or_(uncut, pc.match_substring(chunks, special))
-        plain = pc.and_not(pc.match_substring_regex(chunks, _SAFE), pc.match_substring_regex(chunks, _SEVERAL_BLANKS))
         uncut = uncut.to_numpy(zero_copy_only=False)
-        plain = plain.to_numpy(zero_copy_only=False) & ~uncut
+        word = pc.match_substring_regex(chunks, _WORD).to_numpy(zero_copy_only=False) & ~uncut
+        words, rest = np.flatnonzero(word), np.flatnonzero(~word & ~uncut)
+        mixed = chunks.take(pa.array(rest))
+        safe = pc.and_not(pc.match_substring_regex(mixed, _SAFE), pc.match_substring_regex(mixed, _SEVERAL_BLANKS))
+        plain = safe.to_numpy(zero_copy_only=False)
+        others = rest[~plain]
 
         # Plain chunks are cut by Arrow; the first of the parts is what stands before the first mark: nothing.
-        marked = pc.replace_substring_regex(chunks.filter(pa.array(plain)), f"({_PIECE}|[{_BLANK}]+)", f"{_CUT}\\1")
+        marked = pc.replace_substring_regex(mixed.filter(safe), f"({_PIECE}|[{_BLANK}]+)", f"{_CUT}\\1")
         parts = pc.split_pattern(marked, _CUT)
-        others = np.flatnonzero(~plain & ~uncut)
         cut = [self._pieces(c) for c in chunks.take(pa.array(others)).to_pylist()]
-        values = pa.concat_arrays([parts.values, pa.array([p for c in cut for p in c], pa.large_string())])
+        cut_pieces = pa.array([p for c in cut for p in c], pa.large_string())
+        values = pa.concat_arrays([chunks.take(pa.array(words)), parts.values, cut_pieces])
         coded = values.dictionary_encode()
         flat, sizes = self._encode(coded.dictionary)
         ids, own = picked(flat, sizes, coded.indices.to_numpy())
 
-        # Back into the order of the chunks: plain ones, then the others.
-        offsets = np.concatenate([parts.offsets.to_numpy(), len(parts.values) + np.cumsum([len(c) for c in cut], dtype=np.int64)])
-        found = sums_between(own, offsets.astype(np.int64))
-        order = np.concatenate([np.flatnonzero(plain), others])
+        # Back into the order of the chunks: words, plain ones, then the others.
+        ends = len(words) + len(parts.values) + np.cumsum([len(c) for c in cut], dtype=np.int64)
+        offsets = np.concatenate([np.arange(len(words)), len(words) + parts.offsets.to_numpy().astype(np.int64), ends])
+        found = sums_between(own, offsets)
+        order = np.concatenate([words, rest[plain], others])
         sizes = np.zeros(len(chunks), dtype=np.int64)
         sizes[order] = found
         place = np.full(len(chunks), -1)
@@ -161,38 +176,50 @@ class ByteBpe:
 
     def _encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some distinct pieces, and how many each has."""
-        joinable = pc.match_substring_regex(pieces, rf"^ (?:[{_LETTER}]+|[0-9]+|[{_MARK}]+)$").to_pylist()
-        words = pieces.to_pylist()
-        if len(self.known) > CACHE_ENTRIES:
-            self.known, self.older = {}, self.known
-        found = list(map(self.known.get, words))
-        gaps = [i for i, ids in enumerate(found) if ids is None]
-        new = []
-        for i in gaps:
-            found[i] = ids = self.older.get(words[i])
-            if ids is None:
-                if joinable[i]:
-                    new.append(i)
-                else:
-                    found[i] = self.whole(words[i])
-        for i, ids in zip(new, self._joined([words[i] for i in new])):
-            found[i] = ids
-        self.known.update((words[i], found[i]) for i in gaps if len(words[i]) <= CACHE_CHARS)
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        return np.frombuffer(b"".join(found), "<u4"), sizes
-
-    def _joined(self, words: list[str]) -> Iterator[bytes]:
-        """Ids of words that begin with a space, many of them as one text."""
-        first = chars = 0
-        for i, word in enumerate(words, 1):
-            chars += len(word)
-            if chars < JOINED_CHARS and i < len(words):
-                continue
-            found = self.tokenizer.encode_batch_fast(["".join(words[first:i])], add_special_tokens=False)[0].ids
-            ids = np.array(found, dtype="<u4")
-            cuts = (4 * np.flatnonzero(self.opens[ids])).tolist()
-            if len(cuts) != i - first:
-                raise RuntimeError("the vocabulary joins words over a space")
-            raw = ids.tobytes()
-            yield from (raw[a:b] for a, b in zip(cuts, [*cuts[1:], len(raw)]))
-            first, chars = i, 0
+        rows = pc.fill_null(pc.index_in(pieces, value_set=self.known), -1).to_numpy().astype(np.int64)
+        gaps = np.flatnonzero(rows < 0)
+        joinable = pc.match_substring_regex(pieces.take(pa.array(gaps)), _WORD).to_numpy(zero_copy_only=False)
+        gaps = np.concatenate([gaps[joinable], gaps[~joinable]])
+        new, n = pieces.take(pa.array(gaps)), int(joinable.sum())
+        parts = [(self.flat, self.sizes), self._joined(new[:n]), self._apart(new[n:])]
+        flat, sizes = (np.concatenate(x) for x in zip(*parts))
+        rows[gaps] = len(self.known) + np.arange(len(gaps))
+        found = picked(flat, sizes, rows)
+        self._remember(pa.concat_arrays([self.known, new]), flat, sizes, rows)
+        return found
+
+    def _remember(self, pieces: pa.Array, flat: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> None:
+        """Keep known and new pieces; of too many those that were met last. ``rows`` are met now."""
+        self.batch += 1
+        met = np.concatenate([self.met, np.zeros(len(pieces) - len(self.met), dtype=np.int64)])
+        met[rows] = self.batch
+        keep = pc.less_equal(pc.utf8_length(pieces), CACHE_CHARS).to_numpy(zero_copy_only=False)
+        if keep.sum() > 2 * CACHE_ENTRIES:
+            order = np.argsort(np.where(keep, -met, 1), kind="stable")
+            keep[order[CACHE_ENTRIES:]] = False
+        if not keep.all():
+            pieces, met, flat, sizes = pieces.filter(pa.array(keep)), met[keep], flat[np.repeat(keep, sizes)], sizes[keep]
+        self.known, self.flat, self.sizes, self.met = pieces, flat, sizes, met
+
+    def _joined(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of words that begin with a space, many of them as one text, and how many each has."""
+        texts = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(call_offsets(words)), words), _large(""))
+        ids, _ = self._library([text] for text in texts.to_pylist())
+        starts = np.flatnonzero(self.opens[ids])
+        if len(starts) != len(words):
+            raise RuntimeError("the vocabulary joins words over a space")
+        return ids, np.diff(starts, append=len(ids))
+
+    def _apart(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of pieces that are texts of their own, and how many each has."""
+        offsets = call_offsets(pieces).tolist()
+        return self._library(pieces[a:b].to_pylist() for a, b in zip(offsets, offsets[1:]))
+
+    def _library(self, calls: Iterable[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts of each call, and how many each has."""
+        ids, sizes = [np.zeros(0, dtype="<u4")], []
+        for texts in calls:
+            found = [row.ids for row in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ids.append(np.fromiter(chain.from_iterable(found), "<u4"))
+            sizes += map(len, found)
+        return np.concatenate(ids), np.array(sizes, dtype=np.int64)

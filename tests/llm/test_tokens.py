@@ -161,6 +161,57 @@ def test_batches_of_many_words(documents):
             assert found == [_pieces.encode(t) for t in texts]
 
 
+class Counting:
+    """A tokenizer that notes the texts it is given and how often it is called."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.calls, self.texts = tokenizer, 0, []
+
+    def encode(self, text, **options):
+        self.calls, self.texts = self.calls + 1, [*self.texts, text]
+        return self.tokenizer.encode(text, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.calls, self.texts = self.calls + 1, self.texts + texts
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_pieces_go_to_the_library_in_rows():
+    """Words with and without a space, marks and numbers take a few calls, and none when they are met again."""
+    texts = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}x, y{chr(97 + i // 26)}-z{chr(97 + i % 26)} {i}!" for i in range(400)]
+    bpe = ByteBpe(BPE)
+    bpe.tokenizer = Counting(bpe.tokenizer)
+    assert [np.frombuffer(b, "<u4").tolist() for b in bpe.encode(texts)] == [ids_of(t) for t in texts]
+    assert 0 < bpe.tokenizer.calls <= 5
+    bpe.tokenizer.calls = 0
+    assert [np.frombuffer(b, "<u4").tolist() for b in bpe.encode(texts[::-1])] == [ids_of(t) for t in texts[::-1]]
+    assert bpe.tokenizer.calls == 0
+
+
+def test_a_call_of_the_library_takes_few_characters(monkeypatch):
+    """Long chunks that are not cut are not put together into one call."""
+    monkeypatch.setattr(byte_bpe, "JOINED_CHARS", 90)
+    texts = ["".join(chr(0xE01 + (i * j) % 40) for j in range(70)) + f" {i}" for i in range(1, 30)]
+    bpe, sizes = ByteBpe(BPE), []
+    bpe.tokenizer = Counting(bpe.tokenizer)
+    call = bpe.tokenizer.encode_batch_fast
+    monkeypatch.setattr(bpe.tokenizer, "encode_batch_fast", lambda t, **o: sizes.append(sum(map(len, t))) or call(t, **o))
+    assert [np.frombuffer(b, "<u4").tolist() for b in bpe.encode(texts)] == [ids_of(t) for t in texts]
+    assert max(sizes) < 90 + 72
+
+
+def test_pieces_met_last_are_remembered(monkeypatch):
+    """Of more than twice the entries those of the newest batches stay; long pieces are not kept at all."""
+    monkeypatch.setattr(byte_bpe, "CACHE_ENTRIES", 4)
+    bpe = ByteBpe(BPE)
+    for text in ("a b c", "d e f", "a g h " + "x" * 60, "i j"):
+        assert np.frombuffer(bpe.encode([text])[0], "<u4").tolist() == ids_of(text)
+        assert len(bpe.known) == len(bpe.sizes) == len(bpe.met) and bpe.sizes.sum() == len(bpe.flat)
+        for piece, ids in zip(bpe.known.to_pylist(), np.split(bpe.flat, np.cumsum(bpe.sizes)[:-1])):
+            assert len(piece) <= byte_bpe.CACHE_CHARS and ids.tolist() == ids_of(piece)
+    assert sorted(bpe.known.to_pylist()) == ["", " i", " j", "i"]
+
+
 @settings(max_examples=400, deadline=None)
 @given(TEXTS)
 def test_pieces_are_the_librarys(text):
