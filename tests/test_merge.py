@@ -256,3 +256,67 @@ def test_rows_of_a_big_source_that_are_new_are_not_joined_with_the_target(wh, sp
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert sum(taken) == 20_000 - first
     assert dict(wh.read("t").groupBy("v").count().collect()) == {"a": 20_000, "b": 20_000}
+
+
+def _keyed(spark, first, n, value):
+    """Keys of three partitions, one of them NULL; the key itself is NULL in one row of each."""
+    part = F.when(F.col("id") % 3 < 2, F.concat(F.lit("p"), F.col("id") % 3))
+    key = F.when(F.col("id") >= 3, F.col("id")).cast("int")
+    return spark.range(first, first + n, 1, 4).select(key.alias("k"), part.alias("p"), F.lit(value).alias("v"))
+
+
+@pytest.mark.parametrize("part_bytes", [512 << 20, 20_000])
+@pytest.mark.parametrize("update", ["*", None])
+def test_a_big_source_meets_its_partitions_without_a_shuffle(wh, spark, monkeypatch, big_sources, update, part_bytes):
+    """Whole partitions, then shares of their keys: rows are updated and inserted where they lie."""
+    from siltstone.operators import merge as module
+
+    written = []
+    replace = type(wh).replace
+    monkeypatch.setattr(type(wh), "replace", lambda self, name, df, *a, **k: written.append(df) or replace(self, name, df, *a, **k))
+    monkeypatch.setattr(module, "_PART_BYTES", part_bytes, raising=False)
+    wh.publish(_keyed(spark, 0, 3000, "old"), "t", ["p"])
+    again = spark.createDataFrame([(3000 + 3, "p0", "twice"), (3000 + 3, "p0", "twice")], "k int, p string, v string")
+    source = _keyed(spark, 0, 3, "new").unionAll(_keyed(spark, 1500, 3000, "new"))
+    merge(wh, "t", source, ["k", "p"], update=update)
+    assert "Exchange" not in written[-1]._jdf.queryExecution().executedPlan().toString()
+    counts = dict(wh.read("t").groupBy("v").count().collect())
+    assert counts == ({"old": 1497, "new": 3003} if update else {"old": 3000, "new": 1500})
+    assert wh.read("t").select("k", "p").distinct().count() == 4500
+    before = set(wh.record("t")["folders"])
+    if update:  # no key is known: nothing is rewritten, and a new key may come twice
+        merge(wh, "t", _keyed(spark, 6000, 30, "later").unionAll(again.withColumn("k", F.col("k") + 9000)), ["k", "p"])
+        assert before < set(wh.record("t")["folders"]) and wh.read("t").count() == 4532
+        merge(wh, "t", _keyed(spark, 6000, 30, "last").filter("p = 'p1'"), ["k", "p"], insert=None)
+        assert dict(wh.read("t").groupBy("v").count().collect())["last"] == 10
+        assert {f for f in before if "p=p1" not in f} < set(wh.record("t")["folders"])
+
+
+def test_parts_keep_repeated_keys_and_rows_outside_the_condition(wh, frame, big_sources):
+    """A key on three target rows of two folders, a row that the condition leaves out, and a key of other type."""
+    wh.publish(frame([(1, "x", "a"), (1, "x", "b"), (2, "x", "c")], PKV), "t", ["p"])
+    wh.append(frame([(1, "x", "d"), (3, None, "e"), (4, "y", "keep")], PKV), "t")
+    new = frame([(1, "x", "z"), (3, None, "z"), (4, "y", "z"), (5, "y", "z")], "k bigint, p string, v string")
+    merge(wh, "t", new, ["k", "p"], target_where=F.col("v") != "keep")
+    wanted = [(1, "x", "z")] * 3 + [(2, "x", "c"), (3, None, "z"), (4, "y", "keep"), (4, "y", "z"), (5, "y", "z")]
+    assert rows(wh.read("t")) == sorted(wanted, key=lambda r: [(v is None, str(v)) for v in r])
+
+
+def test_a_hot_key_of_a_partition_is_not_met_in_one_task(wh, spark, big_sources):
+    hot = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).cast("int")
+    old = spark.range(9000).select(hot.alias("k"), F.lit("x").alias("p"), F.lit("a").alias("v"))
+    wh.publish(old, "t", ["p"])
+    one = spark.createDataFrame([(-1, "x", "c"), (9001, "x", "b")], PKV)
+    merge(wh, "t", one, ["k", "p"])
+    assert dict(wh.read("t").groupBy("v").count().collect()) == {"a": 6000, "b": 1, "c": 3000}
+
+
+def test_only_a_big_source_is_staged_in_folders(spark, big_sources):
+    from siltstone.session import staged_by
+
+    df = spark.range(100).selectExpr("id", "id % 4 AS p")
+    with staged_by(df, ["p"]) as (laid, size):
+        assert size == 1600 and all("/p=" in f for f in laid.inputFiles()) and laid.filter("p = 1").count() == 25
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    with staged_by(df, ["p"]) as (plain, _):
+        assert not any("/p=" in f for f in plain.inputFiles()) and plain.count() == 100
